@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from breakwater import constants as C
 from breakwater.functions import any_null, plain_price, severity_of
-from breakwater.operators.skew import HOT_MIN_ROWS, HOT_SHARE, SALT, salted
+from breakwater.operators.skew import DEFAULT, REPEATED, SkewPolicy, salted
 
 
 @dataclass(frozen=True)
@@ -111,19 +111,17 @@ def field_mismatches(
     back: DataFrame,
     rule: FieldRule,
     run_col: str | None = None,
-    share: float = HOT_SHARE,
-    min_rows: int = HOT_MIN_ROWS,
+    policy: SkewPolicy = DEFAULT,
 ) -> DataFrame:
     """Distinct (id, FO value, BO value) where the rule sees a difference."""
     keys = _keys(run_col)
-    bo, fo = salted(
+    bo, fo, on = salted(
         back.select(*keys, F.col(rule.column).alias("_bo")).filter(~any_null(keys)),
         front.select(*keys, F.col(rule.column).alias("_fo")).filter(~any_null(keys)),
         keys,
-        share,
-        min_rows,
+        policy,
     )
-    differing = fo.join(bo, [*keys, SALT], "inner").filter(rule.differs(F.col("_fo"), F.col("_bo")))
+    differing = fo.join(bo, on, "inner").filter(rule.differs(F.col("_fo"), F.col("_bo")))
     return _labelled(
         differing, keys, rule.break_type, rule.as_text(F.col("_fo")), rule.as_text(F.col("_bo"))
     ).distinct()
@@ -172,8 +170,7 @@ def all_breaks(
     back: DataFrame,
     run_col: str | None = None,
     rules: Sequence[FieldRule] | None = None,
-    share: float = HOT_SHARE,
-    min_rows: int = HOT_MIN_ROWS,
+    policy: SkewPolicy = DEFAULT,
 ) -> DataFrame:
     """All nine break types from one full outer join of the feeds.
 
@@ -187,15 +184,15 @@ def all_breaks(
 
     # FO rows without an id are missing trades, each on its own; they take no part in the join.
     absent_id = any_null(keys)
-    bo, fo = salted(
-        back.select(*keys, *columns), front.select(*keys, *columns).filter(~absent_id), keys, share, min_rows
+    bo, fo, on = salted(
+        back.select(*keys, *columns), front.select(*keys, *columns).filter(~absent_id), keys, policy
     )
-    fo = fo.select(*keys, SALT, F.struct("_repeated", *columns).alias("_fo"))
-    bo = bo.select(*keys, SALT, F.struct(*columns).alias("_bo"))
-    joined = fo.join(bo, [*keys, SALT], "full_outer")
+    fo = fo.select(*on, F.struct(REPEATED, *columns).alias("_fo"))
+    bo = bo.select(*on, F.struct(*columns).alias("_bo"))
+    joined = fo.join(bo, on, "full_outer")
 
     # An FO row repeated for a hot id has BO rows by definition, only not in every salt.
-    missing = F.col("_bo").isNull() & ~F.col("_fo._repeated")
+    missing = F.col("_bo").isNull() & ~F.col(f"_fo.{REPEATED}")
     unexpected = F.col("_fo").isNull()
 
     def entry(hit: Column, break_type: str, expected: Column, actual: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from breakwater import constants as C
-from breakwater.operators.skew import salted_lookup
+from breakwater.operators.skew import DEFAULT, SkewPolicy, salted_lookup
 
 ATTRIBUTES = list(C.ENRICHMENT_DEFAULTS)
 
@@ -67,6 +67,7 @@ def enrich(
     run_col: str | None = None,
     every_copy: bool = False,
     few: bool = False,
+    policy: SkewPolicy = DEFAULT,
 ) -> DataFrame:
     """Breaks with their trade attributes.
 
@@ -78,7 +79,7 @@ def enrich(
     if few:
         joined = breaks.join(known, keys, "left")
     else:
-        joined = salted_lookup(breaks, known, keys, "left")
+        joined = salted_lookup(breaks, known, keys, "left", policy)
     filled = [F.coalesce(F.col(a), F.lit(default)).alias(a) for a, default in C.ENRICHMENT_DEFAULTS.items()]
     # A break without an id matches no trade and stands for itself.
     copies = [F.coalesce(F.col("Row_Copies"), F.lit(1)).alias("Row_Copies")] if every_copy else []

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from breakwater import constants as C
-from breakwater.operators.skew import HOT_MIN_ROWS, HOT_SHARE, previous_value, salted_lookup
+from breakwater.operators.skew import DEFAULT, SkewPolicy, previous_value, salted_lookup
 
 ORDER = ["Created_At", "Action_Seq"]
 
@@ -19,12 +19,10 @@ def normalise(actions: DataFrame) -> DataFrame:
     return actions.withColumns({"New_Status": status, **defaults})
 
 
-def judge(
-    actions: DataFrame, breaks: DataFrame, share: float = HOT_SHARE, min_rows: int = HOT_MIN_ROWS
-) -> DataFrame:
+def judge(actions: DataFrame, breaks: DataFrame, policy: SkewPolicy = DEFAULT) -> DataFrame:
     """Normalised actions with the trade of their break and a ``Reject_Reason`` (NULL when accepted)."""
     known = breaks.select("Break_ID", "Trade_ID").distinct().withColumn("_known", F.lit(True))
-    looked_up = salted_lookup(normalise(actions), known, ["Break_ID"], "left", share, min_rows)
+    looked_up = salted_lookup(normalise(actions), known, ["Break_ID"], "left", policy)
     reason = (
         F.when(F.coalesce(F.col("Break_ID"), F.lit("")) == "", "Missing break id")
         .when(~F.col("New_Status").isin(C.RESOLUTION_STATUSES), "Invalid status")
@@ -41,12 +39,7 @@ def rejected(judged: DataFrame) -> DataFrame:
     return judged.filter(F.col("Reject_Reason").isNotNull())
 
 
-def history(
-    actions: DataFrame,
-    share: float = HOT_SHARE,
-    min_rows: int = HOT_MIN_ROWS,
-    slices: int = 256,
-) -> DataFrame:
+def history(actions: DataFrame, slices: int = 256, policy: SkewPolicy = DEFAULT) -> DataFrame:
     """Audit trail: every accepted action with the status it replaced."""
     trail = previous_value(
         actions,
@@ -56,8 +49,7 @@ def history(
         C.RESOLUTION_STATUSES[0],
         "Previous_Status",
         slices=slices,
-        share=share,
-        min_rows=min_rows,
+        policy=policy,
     )
     return trail.select(
         "Break_ID", "Trade_ID", "Previous_Status", "New_Status", "Reason", "Action_By", "Notes", *ORDER

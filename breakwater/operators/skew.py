@@ -1,44 +1,69 @@
 """Joins and lags that keep working when one key holds a large part of all rows.
 
-A key is *hot* when its row count exceeds ``share`` of the counted frame. By that definition there
-are never more than ``1 / share`` hot keys, whatever the size of the data, which is why the table
-of hot keys may be broadcast. Rows of a hot key are divided over as many salts as it takes to bring
-each (key, salt) group back under the limit; in sum that is at most ``2 / share`` groups.
+A key is *hot* when it exceeds ``share`` of the rows of a frame. Hot keys are looked for in a sample
+of the key columns, in one scan that shuffles only the sample. By definition there are never more
+than ``1 / share`` of them, whatever the size of the data, so the list may go through the driver and
+be broadcast. The sample decides only how rows are spread over tasks: every row takes part in every
+result, and a hot key that the sample missed is merely not split.
+
+Rows of a hot key are divided over enough salts to bring each (key, salt) group back under the
+limit; in sum that is at most about ``2 / share`` groups.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from breakwater.functions import any_null
+from breakwater.sources.shared import shared_dir
 
-HOT_SHARE = 1e-4      # at most 10,000 hot keys
-HOT_MIN_ROWS = 20_000  # below this a group is not worth splitting
+SALT = "_salt"
+REPEATED = "_repeated"
 NULL_SALTS = 4096
+SAMPLE_SEED = 7
 
-SALT = "_salt"
 
+@dataclass(frozen=True)
+class SkewPolicy:
+    """When a key counts as hot.
 
-def hot_keys(
-    df: DataFrame,
-    keys: Sequence[str],
-    share: float = HOT_SHARE,
-    min_rows: int = HOT_MIN_ROWS,
-) -> DataFrame:
-    """Keys with more than ``max(share x rows, min_rows)`` rows and the number of salts each needs.
-
-    The counts are combined map-side, so a hot key costs one row per input partition.
+    ``share``: part of all rows; also bounds the number of hot keys to ``1 / share``.
+    ``min_rows``: groups below this size are never worth splitting.
+    ``fraction``: part of the rows that is looked at; 1 looks at all of them.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    limit = F.greatest(counts.agg(F.sum("_n")).scalar() * F.lit(share), F.lit(float(min_rows)))
-    return (
-        counts.filter(~any_null(keys))
-        .filter(F.col("_n") > limit)
-        .select(*keys, F.ceil(F.col("_n") / limit).cast("int").alias("_salts"))
+
+    share: float = 1e-4
+    min_rows: int = 20_000
+    fraction: float = 1e-3
+
+
+DEFAULT = SkewPolicy()
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], policy: SkewPolicy = DEFAULT) -> list[tuple]:
+    """Hot keys as ``(key values..., salts)``. A NULL key can be hot as well."""
+    keys = list(keys)
+    sample = df.select(*keys)
+    if policy.fraction < 1:
+        sample = sample.sample(policy.fraction, seed=SAMPLE_SEED)
+    counts = sample.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    # Only groups that can reach the limit are kept, with the size of the sample next to them. The
+    # partial counts combine map-side, so a hot key costs one row per task.
+    floor = max(1.0, policy.min_rows * policy.fraction)
+    total = counts.agg(F.sum("_n")).scalar()
+    limit = F.greatest(total * F.lit(policy.share), F.lit(floor))
+    rows = (
+        counts.filter(F.col("_n") >= limit)
+        .select(*keys, (F.col("_n") / limit).alias("_times"))
+        .collect()  # at most 1 / share rows
     )
+    return [(*[r[k] for k in keys], max(2, math.ceil(r["_times"]))) for r in rows]
 
 
 def scatter(columns: Sequence[str], buckets: Column) -> Column:
@@ -50,57 +75,58 @@ def scatter(columns: Sequence[str], buckets: Column) -> Column:
 
 
 def salted(
-    many: DataFrame,
-    one: DataFrame,
-    keys: Sequence[str],
-    share: float = HOT_SHARE,
-    min_rows: int = HOT_MIN_ROWS,
-) -> tuple[DataFrame, DataFrame]:
-    """Adds a salt column to both sides so that they can be joined on ``keys + [SALT]``.
-
-    Rows of ``many`` with a hot key are scattered, the matching rows of ``one`` are repeated once
-    per salt and get ``_repeated = true``. Rows with a NULL key match nothing in a join, so their
-    salt is free: they are scattered too instead of meeting in the partition of NULL.
+    many: DataFrame, one: DataFrame, keys: Sequence[str], policy: SkewPolicy = DEFAULT
+) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both sides prepared for a join that survives hot keys in ``many``, and the columns to join on.
+
+    Rows of ``many`` with a hot key are scattered over the salts of the key. The matching rows of
+    ``one`` are repeated once per salt and marked ``REPEATED``; such a key does exist in ``many``,
+    for that is where it was found. Rows with a NULL key match nothing, so their salt is free and
+    they are scattered as well. Without hot keys the frames come back unsalted.
     """
-    hot = hot_keys(many, keys, share, min_rows)
+    keys = list(keys)
+    found = hot_keys(many, keys, policy)
+    if not found:
+        return many, one.withColumn(REPEATED, F.lit(False)), keys
+
+    spark = many.sparkSession
+    fields = [T.StructField(k, many.schema[k].dataType) for k in keys]
+    hot = spark.createDataFrame(
+        [row for row in found if None not in row], T.StructType([*fields, T.StructField("_salts", T.IntegerType())])
+    )
     hot_salts = hot.select(*keys, F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)).alias("_hot_salt"))
-    nulls = any_null(keys)
+    no_key = any_null(keys)
 
-    # Both broadcasts are bounded by construction: 1/share rows and 2/share rows.
-    left = many.join(F.broadcast(hot), list(keys), "left")
+    # Bounded by construction: 1 / share keys on the left, about 2 / share salts on the right.
+    left = many.join(F.broadcast(hot), keys, "left")
     left = left.withColumn(
         SALT,
-        F.when(nulls, scatter(many.columns, F.lit(NULL_SALTS)))
+        F.when(no_key, scatter(many.columns, F.lit(NULL_SALTS)))
         .when(F.col("_salts").isNotNull(), scatter(many.columns, F.col("_salts")))
         .otherwise(F.lit(0)),
     ).drop("_salts")
-    right = one.join(F.broadcast(hot_salts), list(keys), "left")
+    right = one.join(F.broadcast(hot_salts), keys, "left")
     right = (
-        right.withColumn("_repeated", F.col("_hot_salt").isNotNull())
+        right.withColumn(REPEATED, F.col("_hot_salt").isNotNull())
         .withColumn(
             SALT,
-            F.when(nulls, scatter(one.columns, F.lit(NULL_SALTS))).otherwise(
+            F.when(no_key, scatter(one.columns, F.lit(NULL_SALTS))).otherwise(
                 F.coalesce(F.col("_hot_salt"), F.lit(0))
             ),
         )
         .drop("_hot_salt")
     )
-    return left, right
+    return left, right, [*keys, SALT]
 
 
 def salted_lookup(
-    many: DataFrame,
-    one: DataFrame,
-    keys: Sequence[str],
-    how: str = "left",
-    share: float = HOT_SHARE,
-    min_rows: int = HOT_MIN_ROWS,
+    many: DataFrame, one: DataFrame, keys: Sequence[str], how: str = "left", policy: SkewPolicy = DEFAULT
 ) -> DataFrame:
     """``many`` joined to ``one`` (one row per key) on ``keys``; ``how`` is ``left`` or ``inner``."""
     if how not in ("left", "inner"):
         raise ValueError("a repeated side can only be looked up, use 'left' or 'inner'")
-    left, right = salted(many, one, keys, share, min_rows)
-    return left.join(right, [*keys, SALT], how).drop(SALT, "_repeated")
+    left, right, on = salted(many, one, keys, policy)
+    return left.join(right, on, how).drop(SALT, REPEATED)
 
 
 def previous_value(
@@ -111,8 +137,7 @@ def previous_value(
     default: str,
     out: str,
     slices: int = 256,
-    share: float = HOT_SHARE,
-    min_rows: int = HOT_MIN_ROWS,
+    policy: SkewPolicy = DEFAULT,
 ) -> DataFrame:
     """``lag(value, 1, default)`` per key in the given total order.
 
@@ -126,15 +151,18 @@ def previous_value(
     def plain(rows: DataFrame) -> DataFrame:
         return rows.withColumn(out, F.lag(value, 1, default).over(per_key))
 
-    hot = hot_keys(df, [key], share, min_rows).select(key)
-    if hot.isEmpty():
+    found = [row[0] for row in hot_keys(df, [key], policy) if row[0] is not None]
+    if not found:
         return plain(df)
 
-    cold = plain(df.join(F.broadcast(hot), [key], "left_anti"))
+    spark = df.sparkSession
+    hot = F.broadcast(spark.createDataFrame([(k,) for k in found], T.StructType([df.schema[key]])))
+    cold = plain(df.join(hot, [key], "left_anti"))
     # The slice number comes from sampled range bounds. It is written down once, because the rows
     # are read twice below and both readers have to see the same slices.
+    shared_dir(spark)
     sliced = (
-        df.join(F.broadcast(hot), [key], "left_semi")
+        df.join(hot, [key], "left_semi")
         .repartitionByRange(slices, key, *order)
         .withColumn("_slice", F.spark_partition_id())
         .checkpoint()
@@ -151,6 +179,5 @@ def previous_value(
         .withColumn("_first", F.row_number().over(within) == 1)
         .join(tails, [key, "_slice"], "left")
         .withColumn(out, F.when(F.col("_first"), F.col("_before")).otherwise(F.col("_lag")))
-        .select(*df.columns, out)
     )
-    return cold.select(*df.columns, out).unionByName(carried)
+    return cold.select(*df.columns, out).unionByName(carried.select(*df.columns, out))

@@ -13,7 +13,7 @@ from breakwater.operators import detect, enrich, explore, perturb, quality, reso
 from breakwater.plans import reports, runs
 from breakwater.sources import files, star_feeds, tables
 from breakwater.sources.shared import fresh_path
-from breakwater.sources.star_feeds import PERIOD, as_of, fault_bucket, key_parts, with_run_id
+from breakwater.sources.star_feeds import PERIOD, as_of, fault_bucket, key_parts, period_of_run, run_id
 from breakwater.sources.tables import ACTIONS, BACK, BREAKS, FRONT, RUNS, ControlTables
 
 STAR_TABLES = ["lineitem", "orders", "customer", "nation", "part", "supplier"]
@@ -25,10 +25,6 @@ _loaded: dict[tuple, ControlTables] = {}
 # --- inputs ----------------------------------------------------------------------------------------
 
 
-def _run_id():
-    return F.concat(F.lit("REC_"), F.col(PERIOD).cast("string"))
-
-
 def _version(spark: SparkSession, sf_dir: str) -> tuple:
     """Sizes and times of the source files, so that changed tables are loaded again."""
     paths = [f"{sf_dir}/{t}.parquet" for t in STAR_TABLES]
@@ -59,7 +55,7 @@ def load_feeds(spark: SparkSession, sf_dir: str) -> ControlTables:
 
 
 def reconcile_all(control: ControlTables) -> None:
-    runs.reconcile_runs(control, _run_id(), as_of(F.col(C.RUN)))
+    runs.reconcile_runs(control, run_id(), as_of(), PERIOD)
 
 
 def _bucketed(feed: DataFrame) -> DataFrame:
@@ -77,15 +73,19 @@ def _feeds(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return control.read(FRONT), control.read(BACK)
 
 
-def _run_feeds(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    front, back = _feeds(spark, sf_dir)
-    return with_run_id(front), with_run_id(back)
-
-
 def _breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return control_tables(spark, sf_dir).read(BREAKS)
 
 
+def _breaks_of_period(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Breaks with the period under which their trades are found in the feeds."""
+    return _breaks(spark, sf_dir).withColumn(PERIOD, period_of_run())
+
+
+def _by_run(breaks: DataFrame) -> DataFrame:
+    return breaks.withColumn(C.RUN, run_id()).drop(PERIOD)
+
+
 def _runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     # How long a run took is not a function of the data.
     return control_tables(spark, sf_dir).read(RUNS).drop("Execution_Time")
@@ -190,7 +190,8 @@ def _state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _enriched(spark: SparkSession, sf_dir: str, with_state: bool = False) -> DataFrame:
     breaks = _state(spark, sf_dir) if with_state else _breaks(spark, sf_dir)
-    return enrich.enrich(breaks, *_run_feeds(spark, sf_dir), C.RUN)
+    breaks = breaks.withColumn(PERIOD, period_of_run())
+    return enrich.enrich(breaks, *_feeds(spark, sf_dir), PERIOD).drop(PERIOD)
 
 
 # --- sources and sinks -------------------------------------------------------------------------------
@@ -207,10 +208,11 @@ def _csv_roundtrip(table: str) -> Callable[[SparkSession, str], DataFrame]:
 
 def _break_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two batches of runs, appended one after the other."""
-    front, back = _run_feeds(spark, sf_dir)
+    front, back = _feeds(spark, sf_dir)
     history = ControlTables(spark, fresh_path(spark, "history"), PERIOD)
     for batch in (F.col(PERIOD) < OPEN_RUNS_BEFORE, F.col(PERIOD) >= OPEN_RUNS_BEFORE):
-        history.store_breaks(runs.detect_runs(front.filter(batch), back.filter(batch), as_of(F.col(C.RUN))))
+        found = runs.detect_runs(front.filter(batch), back.filter(batch), run_id(), as_of(), PERIOD)
+        history.store_breaks(found)
     return history.read(BREAKS)
 
 
@@ -265,7 +267,7 @@ def _control_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _analytics_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The nine analytics datasets written as CSV, with the number of rows found in each."""
     written = reports.write_analytics_datasets(
-        control_tables(spark, sf_dir), fresh_path(spark, "analytics"), _run_id()
+        control_tables(spark, sf_dir), fresh_path(spark, "analytics"), PERIOD, period_of_run()
     )
     out = None
     for name, path in written.items():
@@ -312,21 +314,25 @@ def _severity_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _one_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both feeds as a single run."""
-    front, back = [f.withColumn(C.RUN, F.lit("REC_ALL")) for f in _feeds(spark, sf_dir)]
-    return summarise.run_summary(front, back, detect.all_breaks(front, back, C.RUN))
+    front, back = _feeds(spark, sf_dir)
+    everything = F.lit("REC_ALL")
+    breaks = detect.all_breaks(front, back).withColumn(C.RUN, everything)
+    return summarise.run_summary(
+        front.select(everything.alias(C.RUN)), back.select(everything.alias(C.RUN)), breaks
+    )
 
 
 def _backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    front, back = _run_feeds(spark, sf_dir)
-    stamp = as_of(F.col(C.RUN))
-    return runs.summarise_runs(front, back, runs.detect_runs(front, back, stamp), stamp)
+    front, back = _feeds(spark, sf_dir)
+    breaks = runs.detect_runs(front, back, run_id(), as_of(), PERIOD)
+    return runs.summarise_runs(front, back, breaks, run_id(), as_of())
 
 
 def _dimension(name: str, *severities: str, every_copy: bool = False):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         # unique_ids: reconcile_runs has checked the FO feed.
         one = summarise.dimension_summary(
-            *_run_feeds(spark, sf_dir), _breaks(spark, sf_dir), name, C.RUN, every_copy, unique_ids=True
+            *_feeds(spark, sf_dir), _breaks_of_period(spark, sf_dir), name, PERIOD, every_copy, unique_ids=True
         )
         return one.select(
             name, "Total_Trades", "Total_Notional", "Total_Breaks", *severities, "Exception_Rate"
@@ -337,12 +343,21 @@ def _dimension(name: str, *severities: str, every_copy: bool = False):
 
 def _entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summarise.entity_summary(
-        *_run_feeds(spark, sf_dir), _breaks(spark, sf_dir), run_col=C.RUN, unique_ids=True
+        *_feeds(spark, sf_dir), _breaks_of_period(spark, sf_dir), run_col=PERIOD, unique_ids=True
     )
 
 
+def _break_counts(dimension: str):
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return summarise.break_counts(
+            _breaks_of_period(spark, sf_dir), *_feeds(spark, sf_dir), dimension, PERIOD
+        )
+
+    return query
+
+
 def _top_counterparties(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = summarise.break_counts(_breaks(spark, sf_dir), *_run_feeds(spark, sf_dir), "Counterparty", C.RUN)
+    counts = _break_counts("Counterparty")(spark, sf_dir)
     return counts.orderBy(F.desc("Total_Breaks"), "Counterparty").limit(10)
 
 
@@ -401,7 +416,7 @@ def _feed_columns(feed: DataFrame) -> DataFrame:
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     two = _feeds
-    all_runs = _run_feeds
+    dated = _breaks_of_period
     return {
         # feeds
         "front_office_feed": lambda s, d: _feed_columns(star_feeds.front_office(s, d)),
@@ -432,8 +447,8 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "trade_date_mismatches": lambda s, d: detect.trade_date_mismatches(*two(s, d)),
         "settlement_date_mismatches": lambda s, d: detect.settlement_date_mismatches(*two(s, d)),
         "currency_mismatches": lambda s, d: detect.currency_mismatches(*two(s, d)),
-        "all_breaks": lambda s, d: detect.all_breaks(*all_runs(s, d), C.RUN),
-        "all_breaks_one_by_one": lambda s, d: detect.breaks_one_by_one(*all_runs(s, d), C.RUN),
+        "all_breaks": lambda s, d: _by_run(detect.all_breaks(*two(s, d), PERIOD)),
+        "all_breaks_one_by_one": lambda s, d: _by_run(detect.breaks_one_by_one(*two(s, d), PERIOD)),
         "severity_map": _severity_map,
         # runs
         "run_summary": _one_run,
@@ -451,14 +466,16 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         # enrichment
         "breaks_enriched": lambda s, d: _enriched(s, d, True),
         "breaks_enriched_fanout": lambda s, d: enrich.enrich(
-            _breaks(s, d), *all_runs(s, d), C.RUN, every_copy=True
-        ),
-        "star_breaks": lambda s, d: reports.star_breaks(_runs(s, d), _breaks(s, d), all_runs(s, d)[0]),
+            dated(s, d), *two(s, d), PERIOD, every_copy=True
+        ).drop(PERIOD),
+        "star_breaks": lambda s, d: reports.star_breaks(
+            _runs(s, d), dated(s, d), two(s, d)[0], PERIOD
+        ).drop(PERIOD),
         "recent_breaks": lambda s, d: explore.recent_breaks(
-            _breaks(s, d), *all_runs(s, d), C.RUN, _actions(s, d)
-        ),
+            dated(s, d), *two(s, d), PERIOD, _actions(s, d)
+        ).drop(PERIOD),
         "top_critical": lambda s, d: explore.top_critical(
-            _breaks(s, d), *all_runs(s, d), C.RUN, _actions(s, d)
+            dated(s, d), *two(s, d), PERIOD, _actions(s, d)
         ),
         "search_breaks": lambda s, d: explore.search(_enriched(s, d), "nation_7"),
         "filter_breaks": lambda s, d: explore.filter_breaks(
@@ -487,14 +504,12 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "top_counterparties": _top_counterparties,
         "severity_summary": lambda s, d: summarise.severity_distribution(_breaks(s, d)),
         "break_type_summary": lambda s, d: summarise.break_type_distribution(_breaks(s, d)),
-        "severity_exposure": lambda s, d: summarise.severity_exposure(_breaks(s, d), *all_runs(s, d), C.RUN),
+        "severity_exposure": lambda s, d: summarise.severity_exposure(dated(s, d), *two(s, d), PERIOD),
         "exposure_by_counterparty": lambda s, d: summarise.entity_exposure(
-            _breaks(s, d), *all_runs(s, d), "Counterparty", C.RUN
-        ),
-        "breaks_by_desk": lambda s, d: summarise.break_counts(_breaks(s, d), *all_runs(s, d), "Desk", C.RUN),
-        "breaks_by_asset_class": lambda s, d: summarise.break_counts(
-            _breaks(s, d), *all_runs(s, d), "Asset_Class", C.RUN
+            dated(s, d), *two(s, d), "Counterparty", PERIOD
         ),
+        "breaks_by_desk": _break_counts("Desk"),
+        "breaks_by_asset_class": _break_counts("Asset_Class"),
         # trades
         "trade_details": _details,
         "trade_population": lambda s, d: explore.trade_population(_details(s, d)),

@@ -9,6 +9,7 @@ from breakwater import constants as C
 from breakwater.functions import control_band, dashboard_band, notional, to_money
 from breakwater.operators import summarise
 from breakwater.operators.enrich import enrich
+from breakwater.operators.skew import salted_lookup
 from breakwater.operators.trades import trade_details
 from breakwater.sources import files
 from breakwater.sources.tables import BACK, BREAKS, FRONT, RUNS, ControlTables
@@ -71,16 +72,19 @@ def control_status(counts: DataFrame, runs: DataFrame) -> DataFrame:
     return sizes.unionByName(latest.select(F.explode(entries).alias("_s")).select("_s.*"))
 
 
-def star_breaks(runs: DataFrame, breaks: DataFrame, trades: DataFrame, run_col: str | None = C.RUN) -> DataFrame:
+def star_breaks(runs: DataFrame, breaks: DataFrame, trades: DataFrame, run_col: str | None = None) -> DataFrame:
     """Breaks with the figures of their run and the FO trade they belong to."""
     keys = [run_col, "Trade_ID"] if run_col else ["Trade_ID"]
-    facts = breaks.select("Break_ID", C.RUN, "Trade_ID", "Break_Type", "Severity")
+    facts = breaks.select("Break_ID", C.RUN, *keys, "Break_Type", "Severity")
     traded = trades.select(
         *keys,
         *C.DIMENSIONS,
         to_money(notional(F.col("Quantity"), F.col("Price"))).alias("Trade_Notional"),
     )
-    return facts.join(traded, keys).join(runs.select(C.RUN, "Created_At", "Match_Percentage"), [C.RUN])
+    # One run can own most breaks; if the runs are not small enough to be broadcast by their size,
+    # the salts keep such a run from meeting in one task.
+    facts = salted_lookup(facts, traded, keys, "inner")
+    return salted_lookup(facts, runs.select(C.RUN, "Created_At", "Match_Percentage"), [C.RUN], "inner")
 
 
 # --- files -----------------------------------------------------------------------------------------
@@ -96,24 +100,22 @@ def write_json_audit(summary: DataFrame, breaks: DataFrame, path: str) -> None:
     files.write_json(breaks, f"{path}/breaks")
 
 
-def _with_run(tables: ControlTables, table: str, run_id: Column | None) -> DataFrame:
-    feed = tables.read(table)
-    return feed.withColumn(C.RUN, run_id) if run_id is not None else feed
-
-
-def analytics_datasets(tables: ControlTables, run_id: Column | None = None) -> dict[str, DataFrame]:
+def analytics_datasets(
+    tables: ControlTables, run_col: str | None = None, run_of_break: Column | None = None
+) -> dict[str, DataFrame]:
     """The nine analytics datasets over the recorded history.
 
-    ``run_id`` derives the run of a feed row where the feeds cover several runs; without it, trades
-    are matched by id alone.
+    Where the feeds cover several runs, ``run_col`` names the feed column that tells them apart and
+    ``run_of_break`` derives it from the ``Run_ID`` of a break; without them, trades are matched by
+    id alone.
     """
     if not tables.exists(RUNS) or not tables.exists(BREAKS) or tables.read(RUNS).isEmpty():
         raise ValueError(NO_HISTORY)
-    run_col = C.RUN if run_id is not None else None
     runs, breaks = tables.read(RUNS), tables.read(BREAKS)
-    front, back = _with_run(tables, FRONT, run_id), _with_run(tables, BACK, run_id)
+    front, back = tables.read(FRONT), tables.read(BACK)
+    if run_col:
+        breaks = breaks.withColumn(run_col, run_of_break)
     enriched = enrich(breaks, front, back, run_col).orderBy("Detected_At", "Break_ID")
-    dropped = ["Break_ID"]
 
     def dimension(name: str, *severities: str) -> DataFrame:
         # The FO table was checked for unique ids when it was loaded or reconciled.
@@ -124,7 +126,7 @@ def analytics_datasets(tables: ControlTables, run_id: Column | None = None) -> d
 
     return {
         "reconciliation_runs": summarise.run_history(runs),
-        "reconciliation_breaks": enriched.drop(*dropped),
+        "reconciliation_breaks": enriched.drop("Break_ID", *([run_col] if run_col else [])),
         "trade_details": trade_details(front).orderBy("Trade_ID"),
         "desk_summary": dimension("Desk", *C.SEVERITY_COUNT_COLUMNS.values()),
         "portfolio_summary": dimension("Portfolio"),
@@ -135,10 +137,12 @@ def analytics_datasets(tables: ControlTables, run_id: Column | None = None) -> d
     }
 
 
-def write_analytics_datasets(tables: ControlTables, path: str, run_id: Column | None = None) -> dict[str, str]:
+def write_analytics_datasets(
+    tables: ControlTables, path: str, run_col: str | None = None, run_of_break: Column | None = None
+) -> dict[str, str]:
     """Writes each dataset as CSV into its own folder."""
     written = {}
-    for name, df in analytics_datasets(tables, run_id).items():
+    for name, df in analytics_datasets(tables, run_col, run_of_break).items():
         written[name] = f"{path}/{name}"
         files.write_csv(df, written[name])
     return written

@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 import uuid
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,51 +17,76 @@ from breakwater.operators.detect import all_breaks, field_rules
 from breakwater.operators.summarise import run_summary
 from breakwater.sources.tables import BACK, BREAKS, FRONT, ControlTables
 
+MAX_LISTED = 1000
+
 
 def new_run_id(now: datetime | None = None) -> str:
     return f"REC_{(now or datetime.now(timezone.utc)):%Y%m%d_%H%M%S}_{uuid.uuid4().hex[:6]}"
 
 
-def identified(breaks: DataFrame, detected_at: Column) -> DataFrame:
-    """Break rows with their key and the time they were detected."""
-    key = break_id(*[F.col(c) for c in (C.RUN, "Trade_ID", "Break_Type", "Expected_Value", "Actual_Value")])
-    return breaks.withColumns({"Break_ID": key, "Detected_At": detected_at})
+def identified(breaks: DataFrame, run_id: Column, detected_at: Column) -> DataFrame:
+    """Break rows with their run, their key and the time they were detected."""
+    parts = [F.col(c) for c in (C.RUN, "Trade_ID", "Break_Type", "Expected_Value", "Actual_Value")]
+    return breaks.withColumn(C.RUN, run_id).withColumns({"Break_ID": break_id(*parts), "Detected_At": detected_at})
 
 
 def detect_runs(
-    front: DataFrame, back: DataFrame, detected_at: Column, price_tolerance: float = C.PRICE_TOLERANCE
+    front: DataFrame,
+    back: DataFrame,
+    run_id: Column,
+    detected_at: Column,
+    run_col: str | None = None,
+    price_tolerance: float = C.PRICE_TOLERANCE,
 ) -> DataFrame:
-    """Breaks of every run found in the feeds, whose rows carry their ``Run_ID``."""
-    return identified(all_breaks(front, back, C.RUN, field_rules(price_tolerance)), detected_at)
+    """Breaks of every run in the feeds.
+
+    ``run_col`` is the feed column that tells the runs apart; ``run_id`` is computed from it, and
+    ``detected_at`` from ``Run_ID``. Both are worked out on the breaks, not on the feeds.
+    """
+    return identified(all_breaks(front, back, run_col, field_rules(price_tolerance)), run_id, detected_at)
 
 
-def summarise_runs(front: DataFrame, back: DataFrame, breaks: DataFrame, created_at: Column) -> DataFrame:
+def summarise_runs(
+    front: DataFrame,
+    back: DataFrame,
+    breaks: DataFrame,
+    run_id: Column,
+    created_at: Column,
+) -> DataFrame:
+    """Run summaries of the feeds, whose rows give ``run_id``; ``breaks`` carry theirs."""
+    front, back = [feed.select(run_id.alias(C.RUN)) for feed in (front, back)]
     return run_summary(front, back, breaks).withColumn("Created_At", created_at)
 
 
+def _of_runs(breaks: DataFrame, *runs: DataFrame) -> DataFrame:
+    """Breaks of the given runs. Up to MAX_LISTED runs become a filter that prunes partitions of the history."""
+    ids = reduce(DataFrame.unionByName, runs).distinct().limit(MAX_LISTED + 1).collect()
+    return breaks.filter(F.col(C.RUN).isin([r[0] for r in ids])) if len(ids) <= MAX_LISTED else breaks
+
+
 def reconcile_runs(
     tables: ControlTables,
     run_id: Column,
     as_of: Column,
+    run_col: str | None = None,
     price_tolerance: float = C.PRICE_TOLERANCE,
 ) -> None:
     """Reconciles the loaded feeds and records breaks and summaries.
 
-    ``run_id`` and ``as_of`` are expressions over the feed row and over ``Run_ID``, so one job covers
-    as many runs as there are distinct ids. Breaks are written first and the summaries are
-    computed from the written table: the detection runs once, and a lost job can be repeated.
+    One job covers as many runs as ``run_col`` has values. Breaks are written first and the
+    summaries are computed from the written table: the detection runs once, and a lost job can be
+    repeated.
     """
     started = time.perf_counter()
-    front = tables.read(FRONT).withColumn(C.RUN, run_id)
-    back = tables.read(BACK).withColumn(C.RUN, run_id)
+    front, back = tables.read(FRONT), tables.read(BACK)
     quality.require_rows(front, FRONT)
     quality.require_rows(back, BACK)
-    quality.require_unique_ids(front, FRONT, C.RUN)
-    tables.store_breaks(detect_runs(front, back, as_of, price_tolerance))
-    # Only the runs of these feeds: the table holds earlier ones as well.
-    runs_here = front.select(C.RUN).unionByName(back.select(C.RUN)).distinct()
-    stored = tables.read(BREAKS).join(runs_here, [C.RUN], "left_semi")
-    summary = summarise_runs(front, back, stored, as_of)
+    quality.require_unique_ids(front, FRONT, run_col)
+    tables.store_breaks(detect_runs(front, back, run_id, as_of, run_col, price_tolerance))
+    stored = _of_runs(tables.read(BREAKS), front.select(run_id.alias(C.RUN)), back.select(run_id.alias(C.RUN)))
+    summary = summarise_runs(front, back, stored, run_id, as_of)
+    # Whatever the filter above could not prune: only runs with trades in these feeds count.
+    summary = summary.filter((F.col("Front_Count") > 0) | (F.col("Back_Count") > 0))
     elapsed = round(time.perf_counter() - started, 4)
     tables.store_runs(summary.withColumn("Execution_Time", F.lit(elapsed)))
 
@@ -75,5 +101,5 @@ def reconcile(
     now = as_of or datetime.now(timezone.utc)
     run_id = run_id or new_run_id(now)
     stamp = F.lit(f"{now:%Y-%m-%d %H:%M:%S}").cast("timestamp_ntz")
-    reconcile_runs(tables, F.lit(run_id), stamp, price_tolerance)
+    reconcile_runs(tables, F.lit(run_id), stamp, price_tolerance=price_tolerance)
     return run_id

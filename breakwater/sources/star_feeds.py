@@ -166,12 +166,16 @@ def injected_truth(front: DataFrame) -> DataFrame:
     return perturb.truth_table(bo, entries)
 
 
-def with_run_id(feed: DataFrame, period: str = PERIOD) -> DataFrame:
-    """Adds the run id of a backfill: one run per feed period."""
-    return feed.withColumn(C.RUN, F.concat(F.lit("REC_"), F.col(period).cast("string")))
+def run_id() -> Column:
+    """Run id of a backfill: one run per feed period."""
+    return F.concat(F.lit("REC_"), F.col(PERIOD).cast("string"))
 
 
-def as_of(run_id: Column) -> Column:
+def period_of_run() -> Column:
+    """The feed period a backfilled run belongs to."""
+    return F.substring(C.RUN, 5, 6).cast("int")
+
+
+def as_of() -> Column:
     """Time stamp of a backfilled run: the last day of its month."""
-    month_start = F.to_date(F.substring(run_id, 5, 6), "yyyyMM")
-    return F.last_day(month_start).cast("timestamp_ntz")
+    return F.last_day(F.to_date(F.substring(C.RUN, 5, 6), "yyyyMM")).cast("timestamp_ntz")
