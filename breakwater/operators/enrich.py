@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from breakwater import constants as C
-from breakwater.operators.skew import DEFAULT, SkewPolicy, salted_lookup
+from breakwater.functions import any_null
+from breakwater.operators.skew import DEFAULT, REPEATED, SALT, SkewPolicy, salted, salted_lookup
 
 ATTRIBUTES = list(C.ENRICHMENT_DEFAULTS)
+BROADCAST_ROWS = 100_000  # keys of that many breaks are a few megabytes
 
 
 def _keys(run_col: str | None) -> list[str]:
@@ -24,32 +26,43 @@ def known_attributes(
     run_col: str | None = None,
     attributes: Sequence[str] = tuple(ATTRIBUTES),
     every_copy: bool = False,
-    few: bool = False,
+    policy: SkewPolicy = DEFAULT,
 ) -> DataFrame:
-    """Attributes of the trades that have breaks, NULL where neither feed knows one.
+    """Attributes of the trades that have breaks; trades neither feed knows are left out.
 
-    One row per key by default: the copies of a BO trade are reduced to the smallest one, map-side
-    first, before anything is joined. ``every_copy`` keeps the distinct BO variants apart and counts
-    the BO rows behind each result row in ``Row_Copies``; that is the bag a plain join with all BO
-    rows would give, without writing it out.
+    One row per key by default. The BO feed is only searched for the trades FO does not know in
+    full, and the copies of such a trade are reduced to the smallest one. ``every_copy`` keeps the
+    distinct BO variants apart and counts the BO rows behind each result row in ``Row_Copies``; that
+    is the bag a plain join with all BO rows would give, without writing it out.
 
-    ``few`` promises that ``breaks`` is the result of a limit. Only then are its keys broadcast,
-    to cut the feeds down before their shuffles.
+    The number of breaks is looked at first. Up to ``BROADCAST_ROWS``, their keys are broadcast and
+    the feeds are only scanned; beyond, the keys are joined by shuffles, hot BO keys salted.
     """
     keys = _keys(run_col)
     attributes = list(attributes)
-    wanted = breaks.select(*keys).distinct()
-    fo = front.select(*keys, F.struct(*attributes).alias("_fo"))
-    bo = back.select(*keys, F.struct(*attributes).alias("_bo"))
+    wanted = breaks.select(*keys).filter(~any_null(keys)).distinct()
+    few = breaks.select(*keys).limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+
+    fo = front.select(*keys, *attributes)
+    fo = fo.join(F.broadcast(wanted) if few else wanted, keys)
+    bo = back.select(*keys, *attributes)
+    if every_copy:
+        searched = wanted
+    else:
+        searched = wanted.join(fo.filter(~any_null(attributes)).select(*keys), keys, "left_anti")
     if few:
-        fo = fo.join(F.broadcast(wanted), keys, "left_semi")
-        bo = bo.join(F.broadcast(wanted), keys, "left_semi")
+        bo = bo.join(F.broadcast(searched), keys)
+    else:
+        many, one, on = salted(bo.filter(~any_null(keys)), searched, keys, policy)
+        bo = many.join(one, on).drop(SALT, REPEATED)
+
+    fo = fo.select(*keys, F.struct(*attributes).alias("_fo"))
+    bo = bo.select(*keys, F.struct(*attributes).alias("_bo"))
     if every_copy:
         bo = bo.groupBy(*keys, "_bo").agg(F.count(F.lit(1)).alias("_copies"))
     else:
         bo = bo.groupBy(*keys).agg(F.min("_bo").alias("_bo"))
-    known = wanted.join(fo, keys, "left").join(bo, keys, "left")
-    known = known.select(
+    known = fo.join(bo, keys, "full_outer").select(
         *keys,
         *[F.coalesce(F.col(f"_fo.{a}"), F.col(f"_bo.{a}")).alias(a) for a in attributes],
         *([F.coalesce(F.col("_copies"), F.lit(1)).alias("_copies")] if every_copy else []),
@@ -66,7 +79,6 @@ def enrich(
     back: DataFrame,
     run_col: str | None = None,
     every_copy: bool = False,
-    few: bool = False,
     policy: SkewPolicy = DEFAULT,
 ) -> DataFrame:
     """Breaks with their trade attributes.
@@ -75,12 +87,9 @@ def enrich(
     run. Ids with very many breaks are salted.
     """
     keys = _keys(run_col)
-    known = known_attributes(breaks, front, back, run_col, every_copy=every_copy, few=few)
-    if few:
-        joined = breaks.join(known, keys, "left")
-    else:
-        joined = salted_lookup(breaks, known, keys, "left", policy)
+    known = known_attributes(breaks, front, back, run_col, every_copy=every_copy, policy=policy)
+    joined = salted_lookup(breaks, known, keys, "left", policy)
     filled = [F.coalesce(F.col(a), F.lit(default)).alias(a) for a, default in C.ENRICHMENT_DEFAULTS.items()]
-    # A break without an id matches no trade and stands for itself.
+    # A break whose trade is unknown stands for itself.
     copies = [F.coalesce(F.col("Row_Copies"), F.lit(1)).alias("Row_Copies")] if every_copy else []
     return joined.select(*breaks.columns, *filled, *copies)

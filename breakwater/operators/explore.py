@@ -70,7 +70,7 @@ def recent_breaks(
     """The newest breaks with their trade attributes. The limit comes first, so few trades are looked up."""
     newest_first = [F.desc("Detected_At"), F.desc("Break_ID")]
     newest = _with_state(breaks.orderBy(*newest_first).limit(limit), actions)
-    return enrich(newest, front, back, run_col, few=True).orderBy(*newest_first)
+    return enrich(newest, front, back, run_col).orderBy(*newest_first)
 
 
 def trade_population(details: DataFrame, limit: int = 500) -> DataFrame:
@@ -91,7 +91,7 @@ def top_critical(
     # Sorted like this, one CRITICAL row among the few proves the fallback unnecessary.
     any_critical = F.max(critical).over(Window.partitionBy(F.lit(0)))
     chosen = first.withColumn("_any", any_critical).filter(critical | ~F.col("_any")).drop("_any")
-    return enrich(_with_state(chosen, actions), front, back, run_col, few=True).select(
+    return enrich(_with_state(chosen, actions), front, back, run_col).select(
         "Break_ID", "Trade_ID", "Desk", "Counterparty", "Break_Type", "Severity", "Resolution_Status"
     )
 

@@ -166,14 +166,12 @@ def severity_exposure(
     The notional is that of the FO trade, or of the smallest BO copy where FO has none.
     """
     keys = _keys(run_col)
-    severities = C.SEVERITY_COUNT_COLUMNS
-    bo = _valued(back, *keys).groupBy(*keys).agg(F.min("_value").alias("_bo"))
+    known = known_attributes(breaks, _valued(front, *keys), _valued(back, *keys), run_col, ["_value"])
     valued = (
         breaks.groupBy(*keys, "Severity")
         .agg(F.count(F.lit(1)).alias("_breaks"))
-        .join(_valued(front, *keys).withColumnRenamed("_value", "_fo"), keys, "left")
-        .join(bo, keys, "left")
-        .withColumn("_value", F.coalesce("_fo", "_bo").cast("decimal(28,8)"))
+        .join(known, keys, "left")
+        .withColumn("_value", F.col("_value").cast("decimal(28,8)"))
     )
     sums = valued.groupBy("Severity").agg(
         F.sum("_breaks").alias("Break_Count"),
@@ -195,22 +193,19 @@ def entity_exposure(
     """Breaks, affected trades and their notional per value of one dimension; a trade counts once."""
     keys = _keys(run_col)
     label = C.ENRICHMENT_DEFAULTS[dimension]
-    fo = _valued(front, *keys, dimension).select(*keys, F.struct(dimension, "_value").alias("_fo"))
-    bo = (
-        _valued(back, *keys, dimension)
-        .groupBy(*keys)
-        .agg(F.min(F.struct(dimension, "_value")).alias("_bo"))
+    columns = [*keys, dimension]
+    known = known_attributes(
+        breaks, _valued(front, *columns), _valued(back, *columns), run_col, [dimension, "_value"]
     )
     return (
         breaks.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_breaks"))
-        .join(fo, keys, "left")
-        .join(bo, keys, "left")
-        .groupBy(F.coalesce(F.col(f"_fo.{dimension}"), F.col(f"_bo.{dimension}"), F.lit(label)).alias(dimension))
+        .join(known, keys, "left")
+        .groupBy(F.coalesce(F.col(dimension), F.lit(label)).alias(dimension))
         .agg(
             F.sum("_breaks").alias("Total_Breaks"),
             F.count(F.lit(1)).alias("Affected_Trades"),
-            to_money(F.sum(F.coalesce(F.col("_fo._value"), F.col("_bo._value")))).alias("Notional_Exposure"),
+            to_money(F.sum("_value")).alias("Notional_Exposure"),
         )
     )
 

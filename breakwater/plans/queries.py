@@ -135,7 +135,7 @@ def _raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def resolution_requests(breaks: DataFrame) -> DataFrame:
     """Requests to resolve breaks, by the bucket of the trade: none, one, two, and some to be rejected."""
-    k = fault_bucket(*key_parts(F.col("Trade_ID")))
+    k = F.col("_k")
 
     def step(hit, status, seq, break_id=None):
         key = F.col("Break_ID") if break_id is None else break_id
@@ -155,12 +155,11 @@ def resolution_requests(breaks: DataFrame) -> DataFrame:
         step(k % 50 == 9, "RESOLVED", 3, F.lit(None).cast("string")),
     ]
     requests = (
-        breaks.withColumn("_k", k)
+        breaks.withColumn("_k", fault_bucket(*key_parts(F.col("Trade_ID"))))
         .select("_k", "Detected_At", F.explode(F.array(*steps)).alias("_s"))
         .filter(F.col("_s").isNotNull())
         .select("_k", "Detected_At", "_s.*")
     )
-    k = F.col("_k")
     left_out = (k % 7 == 0) & (F.col("New_Status") == "RESOLVED")
     return requests.select(
         "Break_ID",

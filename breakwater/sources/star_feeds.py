@@ -49,8 +49,8 @@ def fault_variant(order: Column, part: Column, supplier: Column, line: Column) -
 
 def key_parts(trade_id: Column) -> list[Column]:
     """The four integers inside a trade id, with or without the prefix of a BO-only trade."""
-    parts = F.split(F.regexp_replace(trade_id, f"^{UNEXPECTED_PREFIX}", ""), "_")
-    return [F.get(parts, i).cast("long") for i in range(1, 5)]
+    parts = F.split(trade_id, "_")
+    return [F.element_at(parts, i).cast("long") for i in (-4, -3, -2, -1)]
 
 
 def front_office(spark: SparkSession, sf_dir: str) -> DataFrame:
