@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from breakwater import constants as C
 from breakwater.functions import contains_text
 from breakwater.operators.enrich import enrich
 from breakwater.operators.resolution import current_state
+from breakwater.sources.shared import shared_dir
 
 SEARCHED = ["Trade_ID", "Trader", "Counterparty", "Symbol"]
 ANY = "ALL"
@@ -53,10 +54,17 @@ def slice_breaks(
     return out
 
 
-def _with_state(breaks: DataFrame, actions: DataFrame | None) -> DataFrame:
+def _first(breaks: DataFrame, order: Sequence[Column], limit: int) -> DataFrame:
+    """The first rows in a total order, written down: several joins read them, the breaks are sorted once."""
+    shared_dir(breaks.sparkSession)
+    return breaks.orderBy(*order).limit(limit).checkpoint()
+
+
+def _with_state(few: DataFrame, actions: DataFrame | None) -> DataFrame:
+    """Resolution state of a limited number of breaks."""
     if actions is not None:
-        return current_state(breaks, actions)
-    return breaks.withColumn("Resolution_Status", F.lit(C.RESOLUTION_STATUSES[0]))
+        return current_state(few, actions.join(F.broadcast(few.select("Break_ID")), ["Break_ID"], "left_semi"))
+    return few.withColumn("Resolution_Status", F.lit(C.RESOLUTION_STATUSES[0]))
 
 
 def recent_breaks(
@@ -69,7 +77,7 @@ def recent_breaks(
 ) -> DataFrame:
     """The newest breaks with their trade attributes. The limit comes first, so few trades are looked up."""
     newest_first = [F.desc("Detected_At"), F.desc("Break_ID")]
-    newest = _with_state(breaks.orderBy(*newest_first).limit(limit), actions)
+    newest = _with_state(_first(breaks, newest_first, limit), actions)
     return enrich(newest, front, back, run_col).orderBy(*newest_first)
 
 
@@ -87,7 +95,8 @@ def top_critical(
 ) -> DataFrame:
     """The first CRITICAL breaks; only where there are none, the first breaks of any severity."""
     critical = F.col("Severity") == "CRITICAL"
-    first = breaks.orderBy(F.when(critical, 0).otherwise(1), "Detected_At", "Break_ID").limit(limit)
+    order = [F.when(critical, 0).otherwise(1), F.col("Detected_At"), F.col("Break_ID")]
+    first = _first(breaks, order, limit)
     # Sorted like this, one CRITICAL row among the few proves the fallback unnecessary.
     any_critical = F.max(critical).over(Window.partitionBy(F.lit(0)))
     chosen = first.withColumn("_any", any_critical).filter(critical | ~F.col("_any")).drop("_any")
@@ -107,6 +116,25 @@ def top_entities(entities: DataFrame, limit: int = 10) -> DataFrame:
     )
 
 
+def break_table(enriched: DataFrame) -> DataFrame:
+    """Rows as the exception table shows them: a dash for absent values, words instead of codes."""
+    status = F.coalesce(F.col("Resolution_Status"), F.lit(C.RESOLUTION_STATUSES[0]))
+    return enriched.select(
+        "Break_ID",
+        C.RUN,
+        "Trade_ID",
+        "Severity",
+        "Break_Type",
+        F.coalesce("Expected_Value", F.lit("-")).alias("Expected_Value"),
+        F.coalesce("Actual_Value", F.lit("-")).alias("Actual_Value"),
+        "Desk",
+        "Counterparty",
+        "Asset_Class",
+        F.replace(status, F.lit("_"), F.lit(" ")).alias("Resolution_Status"),
+        F.date_format("Detected_At", "yyyy-MM-dd").alias("Detected_On"),
+    )
+
+
 def filtered_extract(enriched: DataFrame) -> DataFrame:
     """The column set of the break-explorer extract."""
     rows = enriched.withColumn("Field_Name", F.lit(None).cast("string"))

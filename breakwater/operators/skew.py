@@ -51,7 +51,7 @@ def hot_keys(df: DataFrame, keys: Sequence[str], policy: SkewPolicy = DEFAULT) -
     keys = list(keys)
     sample = df.select(*keys)
     if policy.fraction < 1:
-        sample = sample.sample(policy.fraction, seed=SAMPLE_SEED)
+        sample = sample.sample(fraction=policy.fraction, seed=SAMPLE_SEED)
     counts = sample.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     # Only groups that can reach the limit are kept, with the size of the sample next to them. The
     # partial counts combine map-side, so a hot key costs one row per task.

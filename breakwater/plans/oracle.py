@@ -489,6 +489,22 @@ def _kpis() -> str:
     )
 
 
+def _cards() -> str:
+    cards = [
+        ("Total FO Trades", "format('{:,}', Front_Count)"),
+        ("Total BO Trades", "format('{:,}', Back_Count)"),
+        ("Matched Trades", "format('{:,}', Matched_Count)"),
+        ("Match Rate %", "printf('%.2f%%', Match_Percentage)"),
+        ("Total Exceptions", f"format('{{:,}}', {_TOTAL})"),
+        ("Critical Breaks", "format('{:,}', Critical_Breaks)"),
+    ]
+    latest = "(SELECT * FROM runs ORDER BY Created_At DESC, Run_ID DESC LIMIT 1) AS r"
+    return " UNION ALL ".join(
+        f"SELECT {i} AS Position, '{name}' AS Card, {value} AS Value FROM {latest}"
+        for i, (name, value) in enumerate(cards, start=1)
+    )
+
+
 def _sizes(name: str, count: str, cast: str = "count(*)") -> str:
     tables = {
         "front_office_trades": "fo",
@@ -591,6 +607,7 @@ def statements() -> dict[str, str]:
             " ELSE 'ATTENTION' END AS Dashboard_Status FROM runs",
         ),
         "executive_kpis": _with(["runs"], _kpis()),
+        "kpi_cards": _with(["runs"], _cards()),
         "measures": _with(["runs", "breaks"], _measures()),
         "breaks_enriched": _with(["enriched_state"], "SELECT * FROM enriched_state"),
         "breaks_enriched_fanout": _with(
@@ -625,6 +642,13 @@ def statements() -> dict[str, str]:
             " AND Desk IN ('BUILDING', 'MACHINERY') AND Counterparty IN ('NATION_1', 'NATION_2', 'NATION_3')"
             " AND Severity IN ('CRITICAL', 'HIGH')",
         ),
+        "break_table": _with(
+            ["enriched_state"],
+            "SELECT Break_ID, Run_ID, Trade_ID, Severity, Break_Type, coalesce(Expected_Value, '-') AS Expected_Value,"
+            " coalesce(Actual_Value, '-') AS Actual_Value, Desk, Counterparty, Asset_Class,"
+            " replace(Resolution_Status, '_', ' ') AS Resolution_Status,"
+            " strftime(Detected_At, '%Y-%m-%d') AS Detected_On FROM enriched_state",
+        ),
         "filtered_breaks_export": _with(
             ["enriched_state"],
             "SELECT Break_ID, Run_ID, Trade_ID, Break_Type, Severity, CAST(NULL AS VARCHAR) AS Field_Name,"
@@ -719,7 +743,12 @@ def statements() -> dict[str, str]:
             f" AND try_strptime(t, '%Y-%m-%d') IS NOT NULL AS Is_Valid FROM (SELECT Trade_ID, {_DATE_TEXT} AS t FROM fo) AS x",
         ),
         "dq_orphan_breaks": _with(
-            ["breaks"], "SELECT Run_ID, count(*) AS Row_Count FROM breaks WHERE Feed_Month % 2 = 1 GROUP BY Run_ID"
+            ["breaks"], "SELECT Run_ID, count(*) AS Row_Count FROM breaks WHERE Feed_Month >= 199601 GROUP BY Run_ID"
+        ),
+        "dq_orphan_actions": _with(
+            ["requests"],
+            "SELECT Break_ID, count(*) AS Row_Count FROM requests"
+            " WHERE Break_ID IS NULL OR Break_ID NOT IN (SELECT Break_ID FROM breaks) GROUP BY Break_ID",
         ),
         "resolution_apply": _with(["state"], "SELECT * FROM state"),
         "resolution_history": _with(

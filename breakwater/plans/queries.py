@@ -55,7 +55,8 @@ def load_feeds(spark: SparkSession, sf_dir: str) -> ControlTables:
 
 
 def reconcile_all(control: ControlTables) -> None:
-    runs.reconcile_runs(control, run_id(), as_of(), PERIOD)
+    # front_office keeps one row per line key, and the id is that key.
+    runs.reconcile_runs(control, run_id(), as_of(), PERIOD, ids_checked=True)
 
 
 def _bucketed(feed: DataFrame) -> DataFrame:
@@ -296,9 +297,14 @@ def _date_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _orphan_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Breaks of runs that the summaries of even months don't know."""
-    even = _runs(spark, sf_dir).filter(F.substring(C.RUN, -1, 1).cast("int") % 2 == 0)
-    return quality.orphan_counts(_breaks(spark, sf_dir).select(C.RUN), even, C.RUN)
+    """Breaks of runs that an older state of the run summaries does not know."""
+    older = _runs(spark, sf_dir).filter(F.col("Created_At") < F.lit("1996-01-01").cast("timestamp_ntz"))
+    return quality.orphan_counts(_breaks(spark, sf_dir).select(C.RUN), older, C.RUN)
+
+
+def _orphan_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    breaks = _breaks(spark, sf_dir)
+    return quality.orphan_counts(resolution_requests(breaks).select("Break_ID"), breaks, "Break_ID")
 
 
 def _severity_map(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -461,6 +467,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "critical_trend": lambda s, d: summarise.critical_trend(_breaks(s, d)),
         "run_status_bands": lambda s, d: reports.run_status(_runs(s, d)),
         "executive_kpis": _executive_kpis,
+        "kpi_cards": lambda s, d: reports.kpi_cards(summarise.latest_run(_runs(s, d))),
         "measures": _measures,
         # enrichment
         "breaks_enriched": lambda s, d: _enriched(s, d, True),
@@ -488,6 +495,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             Counterparty=["NATION_1", "NATION_2", "NATION_3"],
             Severity=["CRITICAL", "HIGH"],
         ),
+        "break_table": lambda s, d: explore.break_table(_enriched(s, d, True)),
         "filtered_breaks_export": _filtered_extract,
         # summaries
         "desk_summary": _dimension("Desk", *C.SEVERITY_COUNT_COLUMNS.values()),
@@ -527,6 +535,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dq_null_counts": lambda s, d: quality.null_counts(_defective(s, d)),
         "dq_date_format": _date_format,
         "dq_orphan_breaks": _orphan_breaks,
+        "dq_orphan_actions": _orphan_actions,
         # resolution
         "resolution_apply": lambda s, d: _state(s, d),
         "resolution_history": lambda s, d: resolution.history(_actions(s, d)),

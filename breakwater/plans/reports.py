@@ -60,6 +60,27 @@ def executive_kpis(run: DataFrame) -> DataFrame:
     return run.select(F.explode(F.array(*entries)).alias("_k")).select("_k.*").orderBy("Position")
 
 
+def kpi_cards(run: DataFrame) -> DataFrame:
+    """The headline cards of one run as (Position, Card, Value), numbers with thousands separators."""
+
+    def grouped(value: Column) -> Column:
+        return F.format_number(value, 0)
+
+    cards = [
+        ("Total FO Trades", grouped(F.col("Front_Count"))),
+        ("Total BO Trades", grouped(F.col("Back_Count"))),
+        ("Matched Trades", grouped(F.col("Matched_Count"))),
+        ("Match Rate %", F.format_string("%.2f%%", "Match_Percentage")),
+        ("Total Exceptions", grouped(summarise.total_breaks())),
+        ("Critical Breaks", grouped(F.col("Critical_Breaks"))),
+    ]
+    entries = [
+        F.struct(F.lit(i).alias("Position"), F.lit(name).alias("Card"), value.alias("Value"))
+        for i, (name, value) in enumerate(cards, start=1)
+    ]
+    return run.select(F.explode(F.array(*entries)).alias("_k")).select("_k.*").orderBy("Position")
+
+
 def control_status(counts: DataFrame, runs: DataFrame) -> DataFrame:
     """Table sizes and the latest run as (Item, Value) text rows."""
     latest = summarise.latest_run(runs)
@@ -81,10 +102,9 @@ def star_breaks(runs: DataFrame, breaks: DataFrame, trades: DataFrame, run_col:
         *C.DIMENSIONS,
         to_money(notional(F.col("Quantity"), F.col("Price"))).alias("Trade_Notional"),
     )
-    # One run can own most breaks; if the runs are not small enough to be broadcast by their size,
-    # the salts keep such a run from meeting in one task.
-    facts = salted_lookup(facts, traded, keys, "inner")
-    return salted_lookup(facts, runs.select(C.RUN, "Created_At", "Match_Percentage"), [C.RUN], "inner")
+    # One run can own most of the breaks, and one id many: neither may meet in one task.
+    dated = salted_lookup(facts, runs.select(C.RUN, "Created_At", "Match_Percentage"), [C.RUN], "inner")
+    return salted_lookup(dated, traded, keys, "inner")
 
 
 # --- files -----------------------------------------------------------------------------------------

@@ -70,18 +70,20 @@ def reconcile_runs(
     as_of: Column,
     run_col: str | None = None,
     price_tolerance: float = C.PRICE_TOLERANCE,
+    ids_checked: bool = False,
 ) -> None:
     """Reconciles the loaded feeds and records breaks and summaries.
 
     One job covers as many runs as ``run_col`` has values. Breaks are written first and the
     summaries are computed from the written table: the detection runs once, and a lost job can be
-    repeated.
+    repeated. ``ids_checked`` says that the FO ids are known to be unique, which saves a shuffle.
     """
     started = time.perf_counter()
     front, back = tables.read(FRONT), tables.read(BACK)
     quality.require_rows(front, FRONT)
     quality.require_rows(back, BACK)
-    quality.require_unique_ids(front, FRONT, run_col)
+    if not ids_checked:
+        quality.require_unique_ids(front, FRONT, run_col)
     tables.store_breaks(detect_runs(front, back, run_id, as_of, run_col, price_tolerance))
     stored = _of_runs(tables.read(BREAKS), front.select(run_id.alias(C.RUN)), back.select(run_id.alias(C.RUN)))
     summary = summarise_runs(front, back, stored, run_id, as_of)
