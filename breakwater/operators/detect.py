@@ -15,7 +15,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from breakwater import constants as C
@@ -102,8 +102,11 @@ def duplicate_trades(back: DataFrame, run_col: str | None = None) -> DataFrame:
     """BO ids that occur more than once, with the number of entries."""
     keys = _keys(run_col)
     repeated = back.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
-    actual = F.concat(F.lit(C.DUPLICATE_ACTUAL + " ("), F.col("_n").cast("string"), F.lit(")"))
-    return _labelled(repeated, keys, C.DUPLICATE, F.lit(C.DUPLICATE_EXPECTED), actual)
+    return _labelled(repeated, keys, C.DUPLICATE, F.lit(C.DUPLICATE_EXPECTED), _entries_text(F.col("_n")))
+
+
+def _entries_text(count: Column) -> Column:
+    return F.concat(F.lit(C.DUPLICATE_ACTUAL + " ("), count.cast("string"), F.lit(")"))
 
 
 def field_mismatches(
@@ -187,8 +190,13 @@ def all_breaks(
     bo, fo, on = salted(
         back.select(*keys, *columns), front.select(*keys, *columns).filter(~absent_id), keys, policy
     )
+    # Without hot ids, a window over the join keys counts the copies: the join needs the same shuffle
+    # and sort. A hot id must not meet in one window; then a separate aggregate counts.
+    counted = on == keys
+    if counted:
+        bo = bo.withColumn("_entries", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
     fo = fo.select(*on, F.struct(REPEATED, *columns).alias("_fo"))
-    bo = bo.select(*on, F.struct(*columns).alias("_bo"))
+    bo = bo.select(*on, F.struct(*columns, *(["_entries"] if counted else [])).alias("_bo"))
     joined = fo.join(bo, on, "full_outer")
 
     # An FO row repeated for a hot id has BO rows by definition, only not in every salt.
@@ -210,6 +218,10 @@ def all_breaks(
         entry(missing, C.MISSING, F.lit(C.MISSING_EXPECTED), F.lit(C.MISSING_ACTUAL)),
         entry(unexpected, C.UNEXPECTED, F.lit(C.UNEXPECTED_EXPECTED), F.lit(C.UNEXPECTED_ACTUAL)),
     ]
+    if counted:
+        repeated = F.coalesce(F.col("_bo._entries") > 1, F.lit(False))
+        hits.append(repeated)
+        entries.append(entry(repeated, C.DUPLICATE, F.lit(C.DUPLICATE_EXPECTED), _entries_text(F.col("_bo._entries"))))
     for rule in rules:
         front_value, back_value = F.col(f"_fo.{rule.column}"), F.col(f"_bo.{rule.column}")
         hit = F.coalesce(rule.differs(front_value, back_value), F.lit(False))
@@ -241,4 +253,5 @@ def all_breaks(
         F.lit(C.MISSING_EXPECTED),
         F.lit(C.MISSING_ACTUAL),
     )
-    return pairwise.unionByName(without_id).unionByName(duplicate_trades(back, run_col))
+    found = pairwise.unionByName(without_id)
+    return found if counted else found.unionByName(duplicate_trades(back, run_col))
