@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from breakwater import constants as C
+from breakwater.operators.skew import DEFAULT, SkewPolicy, salted_lookup
 
 
 class FeedRejected(ValueError):
@@ -73,10 +74,9 @@ def duplicate_ids(feed: DataFrame, run_col: str | None = None) -> DataFrame:
     return feed.groupBy(*keys).agg(F.count(F.lit(1)).alias("Row_Count")).filter(F.col("Row_Count") > 1)
 
 
-def orphans(children: DataFrame, parents: DataFrame, key: str) -> DataFrame:
+def orphans(children: DataFrame, parents: DataFrame, key: str, policy: SkewPolicy = DEFAULT) -> DataFrame:
     """Child rows whose key has no parent row."""
-    known = parents.select(key).distinct()
-    return children.join(known, [key], "left_anti")
+    return salted_lookup(children, parents.select(key).distinct(), [key], "left_anti", policy)
 
 
 def orphan_counts(children: DataFrame, parents: DataFrame, key: str) -> DataFrame:

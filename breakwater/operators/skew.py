@@ -122,9 +122,13 @@ def salted(
 def salted_lookup(
     many: DataFrame, one: DataFrame, keys: Sequence[str], how: str = "left", policy: SkewPolicy = DEFAULT
 ) -> DataFrame:
-    """``many`` joined to ``one`` (one row per key) on ``keys``; ``how`` is ``left`` or ``inner``."""
-    if how not in ("left", "inner"):
-        raise ValueError("a repeated side can only be looked up, use 'left' or 'inner'")
+    """``many`` joined to ``one`` (one row per key) on ``keys``.
+
+    ``how`` is ``left``, ``inner``, ``left_semi`` or ``left_anti``: ``one`` may be repeated, so it can
+    be looked up in, but its own rows can't be kept.
+    """
+    if how not in ("left", "inner", "left_semi", "left_anti"):
+        raise ValueError(f"a repeated side cannot be joined with {how!r}")
     left, right, on = salted(many, one, keys, policy)
     return left.join(right, on, how).drop(SALT, REPEATED)
 

@@ -112,7 +112,14 @@ class ControlTables:
         rows.write.mode("overwrite").parquet(self.path(table))
 
     def append_feed(self, feed: DataFrame, table: str) -> None:
+        """Adds rows to a feed; FO ids have to stay unique."""
         quality.require_valid(feed, table)
+        if table == FRONT:
+            keys = [self.period, "Trade_ID"] if self.period else ["Trade_ID"]
+            ids = feed.select(*keys)
+            if self.exists(table):
+                ids = ids.unionByName(self.read(table).select(*keys))
+            quality.require_unique_ids(ids, table, self.period)
         feed.select(*self._feed_schema().names).write.mode("append").parquet(self.path(table))
 
     def feed(self, table: str) -> DataFrame:

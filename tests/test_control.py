@@ -108,6 +108,15 @@ def test_csv_load(control, feed, tmp_path):
     assert control.read(FRONT).filter("Trade_ID = 'T1'").first()["Trader"] == 'O"Hara, Ann'
 
 
+def test_append_keeps_fo_ids_unique(control, feed):
+    control.append_feed(feed({"Trade_ID": "A"}), FRONT)
+    control.append_feed(feed({"Trade_ID": "B"}), FRONT)
+    with pytest.raises(quality.FeedRejected, match="'A' is not unique"):
+        control.append_feed(feed({"Trade_ID": "A"}), FRONT)
+    control.append_feed(feed({}, {}), BACK)
+    assert (control.row_count(FRONT), control.row_count(BACK)) == (2, 2)
+
+
 def test_csv_columns_by_name(spark, feed, tmp_path):
     path = str(tmp_path / "turned")
     turned = feed({}).select(*reversed(C.FEED_COLUMNS), F.lit("x").alias("Extra"))

@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -39,9 +40,12 @@ def test_salted_lookup_equals_plain_join(spark):
     one = [(k, k.upper()) for k in ("a", "b", "d", "x7", "x8")] + [(None, "NONE")] * 5
     left = spark.createDataFrame(many, "k string, v int").repartition(6)
     right = spark.createDataFrame(one, "k string, w string")
-    for how in ("left", "inner"):
-        salted = skew.salted_lookup(left, right, ["k"], how, TOUCHY).select("k", "v", "w")
-        assert _rows(salted) == _rows(left.join(right, ["k"], how).select("k", "v", "w"))
+    for how in ("left", "inner", "left_semi", "left_anti"):
+        columns = ["k", "v"] if "_" in how else ["k", "v", "w"]
+        salted = skew.salted_lookup(left, right, ["k"], how, TOUCHY).select(*columns)
+        assert _rows(salted) == _rows(left.join(right, ["k"], how).select(*columns))
+    with pytest.raises(ValueError):
+        skew.salted_lookup(left, right, ["k"], "full_outer", TOUCHY)
 
 
 def test_sliced_lag_equals_one_window(spark):

@@ -153,6 +153,28 @@ def test_top_critical_is_not_padded_and_falls_back(feed, breaks):
     assert explore.top_critical(low, front, back).count() == 8
 
 
+def test_measures(spark, feed, breaks):
+    runs = spark.createDataFrame([("R", 4, 3, 1.0), ("S", 4, 4, 2.0)], "Run_ID string, Front_Count long, Matched_Count long, Execution_Time double")
+    found = breaks(("A", C.MISSING), ("A", C.STATUS), ("B", C.DUPLICATE))
+    out = {r[0]: r[1] for r in summarise.measures(runs, found, feed({}, {"Quantity": -1})).collect()}
+    assert out == {
+        "Total_Trades": 8.0,
+        "Matched_Trades": 7.0,
+        "Total_Breaks": 3.0,
+        "Affected_Trades": 2.0,
+        "Critical_Breaks": 1.0,
+        "High_Breaks": 1.0,
+        "Medium_Breaks": 0.0,
+        "Low_Breaks": 1.0,
+        "Total_Notional": 1010.0,
+        "Match_Rate": 87.5,
+        "Exception_Rate": 25.0,
+        "Average_Processing_Time": 1.5,
+    }
+    empty = summarise.measures(runs.limit(0), found.limit(0), feed({}).limit(0))
+    assert {r[0]: r[1] for r in empty.collect()}["Match_Rate"] == 0.0
+
+
 def test_facets(breaks):
     found = breaks(("A", C.MISSING), ("B", C.PRICE)).withColumns(
         {c: F.lit("Some Name") for c in ("Trader", "Counterparty", "Symbol")}
