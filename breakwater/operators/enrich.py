@@ -28,7 +28,7 @@ def known_attributes(
     every_copy: bool = False,
     policy: SkewPolicy = DEFAULT,
 ) -> DataFrame:
-    """Attributes of the trades that have breaks; trades neither feed knows are left out.
+    """Attributes of the trades that have breaks, NULL where neither feed knows one.
 
     One row per key by default. The BO feed is only searched for the trades FO does not know in
     full, and the copies of such a trade are reduced to the smallest one. ``every_copy`` keeps the
@@ -43,28 +43,27 @@ def known_attributes(
     wanted = breaks.select(*keys).filter(~any_null(keys)).distinct()
     few = breaks.select(*keys).limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
 
-    fo = front.select(*keys, *attributes)
-    fo = fo.join(F.broadcast(wanted) if few else wanted, keys)
-    bo = back.select(*keys, *attributes)
-    if every_copy:
-        searched = wanted
-    else:
-        searched = wanted.join(fo.filter(~any_null(attributes)).select(*keys), keys, "left_anti")
+    fo, bo = front.select(*keys, *attributes), back.select(*keys, *attributes)
+    if few:
+        fo = fo.join(F.broadcast(wanted), keys, "left_semi")
+    # Read twice: as a result, and to find the trades FO does not know in full. Both need the same
+    # columns after the same shuffle, so FO is shuffled once.
+    from_fo = wanted.join(fo, keys, "left")
+    searched = wanted if every_copy else from_fo.filter(any_null(attributes)).select(*keys)
     if few:
         bo = bo.join(F.broadcast(searched), keys)
     else:
         many, one, on = salted(bo.filter(~any_null(keys)), searched, keys, policy)
         bo = many.join(one, on).drop(SALT, REPEATED)
 
-    fo = fo.select(*keys, F.struct(*attributes).alias("_fo"))
-    bo = bo.select(*keys, F.struct(*attributes).alias("_bo"))
+    variant = bo.select(*keys, F.struct(*attributes).alias("_bo"))
     if every_copy:
-        bo = bo.groupBy(*keys, "_bo").agg(F.count(F.lit(1)).alias("_copies"))
+        from_bo = variant.groupBy(*keys, "_bo").agg(F.count(F.lit(1)).alias("_copies"))
     else:
-        bo = bo.groupBy(*keys).agg(F.min("_bo").alias("_bo"))
-    known = fo.join(bo, keys, "full_outer").select(
+        from_bo = variant.groupBy(*keys).agg(F.min("_bo").alias("_bo"))
+    known = from_fo.join(from_bo, keys, "left").select(
         *keys,
-        *[F.coalesce(F.col(f"_fo.{a}"), F.col(f"_bo.{a}")).alias(a) for a in attributes],
+        *[F.coalesce(F.col(a), F.col(f"_bo.{a}")).alias(a) for a in attributes],
         *([F.coalesce(F.col("_copies"), F.lit(1)).alias("_copies")] if every_copy else []),
     )
     if every_copy:
