@@ -12,6 +12,7 @@ from breakwater.operators.enrich import enrich
 from breakwater.operators.skew import salted_lookup
 from breakwater.operators.trades import trade_details
 from breakwater.sources import files
+from breakwater.sources.shared import shared_dir
 from breakwater.sources.tables import BACK, BREAKS, FRONT, RUNS, ControlTables
 
 NO_HISTORY = "no reconciliation run on record"
@@ -137,11 +138,20 @@ def analytics_datasets(
         breaks = breaks.withColumn(run_col, run_of_break)
     enriched = enrich(breaks, front, back, run_col).orderBy("Detected_At", "Break_ID")
 
+    # The FO table was checked for unique ids when it was loaded or reconciled. The four dimensions
+    # are computed in one pass and written down, for four datasets are cut out of them.
+    shared_dir(tables.spark)
+    entities = summarise.entity_summary(front, back, breaks, run_col=run_col, unique_ids=True).checkpoint()
+
     def dimension(name: str, *severities: str) -> DataFrame:
-        # The FO table was checked for unique ids when it was loaded or reconciled.
-        one = summarise.dimension_summary(front, back, breaks, name, run_col, unique_ids=True)
+        one = entities.filter(F.col("Dimension") == name)
         return one.select(
-            name, "Total_Trades", "Total_Notional", "Total_Breaks", *severities, "Exception_Rate"
+            F.col("Entity").alias(name),
+            "Total_Trades",
+            "Total_Notional",
+            "Total_Breaks",
+            *severities,
+            "Exception_Rate",
         ).orderBy(name)
 
     return {

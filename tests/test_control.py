@@ -164,6 +164,14 @@ def test_row_rules(feed, change, rule):
     assert broken == {rule: 1}
 
 
+def test_load_rejects_gaps_and_reports_date_order(feed):
+    quality.require_valid(feed({"Settlement_Date": dt.date(2020, 1, 1)}), "x")
+    with pytest.raises(quality.FeedRejected, match=r"DESK_MISSING \(1\)"):
+        quality.require_valid(feed({}, {"Desk": None}), "x")
+    with pytest.raises(quality.FeedRejected, match="Price"):
+        quality.require_valid(feed({}).drop("Price"), "x")
+
+
 def test_domains_are_parameters(feed):
     quality.require_valid(feed({"Currency": "CHF"}), "x", currencies=["CHF"])
     with pytest.raises(quality.FeedRejected):
