@@ -26,7 +26,7 @@ def known_attributes(
     run_col: str | None = None,
     attributes: Sequence[str] = tuple(ATTRIBUTES),
     every_copy: bool = False,
-    policy: SkewPolicy = DEFAULT,
+    policy: SkewPolicy | None = DEFAULT,
 ) -> DataFrame:
     """Attributes of the trades that have breaks, NULL where neither feed knows one.
 
@@ -78,7 +78,7 @@ def enrich(
     back: DataFrame,
     run_col: str | None = None,
     every_copy: bool = False,
-    policy: SkewPolicy = DEFAULT,
+    policy: SkewPolicy | None = DEFAULT,
 ) -> DataFrame:
     """Breaks with their trade attributes.
 

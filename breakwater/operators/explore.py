@@ -63,7 +63,8 @@ def _first(breaks: DataFrame, order: Sequence[Column], limit: int) -> DataFrame:
 def _with_state(few: DataFrame, actions: DataFrame | None) -> DataFrame:
     """Resolution state of a limited number of breaks."""
     if actions is not None:
-        return current_state(few, actions.join(F.broadcast(few.select("Break_ID")), ["Break_ID"], "left_semi"))
+        theirs = actions.join(F.broadcast(few.select("Break_ID")), ["Break_ID"], "left_semi")
+        return current_state(few, theirs, policy=None)
     return few.withColumn("Resolution_Status", F.lit(C.RESOLUTION_STATUSES[0]))
 
 
@@ -78,7 +79,7 @@ def recent_breaks(
     """The newest breaks with their trade attributes. The limit comes first, so few trades are looked up."""
     newest_first = [F.desc("Detected_At"), F.desc("Break_ID")]
     newest = _with_state(_first(breaks, newest_first, limit), actions)
-    return enrich(newest, front, back, run_col).orderBy(*newest_first)
+    return enrich(newest, front, back, run_col, policy=None).orderBy(*newest_first)
 
 
 def trade_population(details: DataFrame, limit: int = 500) -> DataFrame:
@@ -100,7 +101,7 @@ def top_critical(
     # Sorted like this, one CRITICAL row among the few proves the fallback unnecessary.
     any_critical = F.max(critical).over(Window.partitionBy(F.lit(0)))
     chosen = first.withColumn("_any", any_critical).filter(critical | ~F.col("_any")).drop("_any")
-    return enrich(_with_state(chosen, actions), front, back, run_col).select(
+    return enrich(_with_state(chosen, actions), front, back, run_col, policy=None).select(
         "Break_ID", "Trade_ID", "Desk", "Counterparty", "Break_Type", "Severity", "Resolution_Status"
     )
 

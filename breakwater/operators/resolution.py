@@ -56,7 +56,12 @@ def history(actions: DataFrame, slices: int = 256, policy: SkewPolicy = DEFAULT)
     )
 
 
-def current_state(breaks: DataFrame, actions: DataFrame, policy: SkewPolicy = DEFAULT) -> DataFrame:
+def current_state(
+    breaks: DataFrame,
+    actions: DataFrame,
+    policy: SkewPolicy | None = DEFAULT,
+    like: DataFrame | None = None,
+) -> DataFrame:
     """Breaks with the outcome of their latest accepted action; UNRESOLVED without one.
 
     The latest action is found by an aggregate, so many actions on one break combine map-side.
@@ -66,7 +71,7 @@ def current_state(breaks: DataFrame, actions: DataFrame, policy: SkewPolicy = DE
         F.max(F.struct(*ORDER, "New_Status", "Reason", "Action_By")).alias("_last")
     )
     plain = [c for c in breaks.columns if not c.startswith("Resol")]
-    return salted_lookup(breaks, latest, ["Break_ID"], "left", policy).select(
+    return salted_lookup(breaks, latest, ["Break_ID"], "left", policy, like).select(
         *plain,
         F.coalesce(F.col("_last.New_Status"), F.lit(C.RESOLUTION_STATUSES[0])).alias("Resolution_Status"),
         F.col("_last.Reason").alias("Resolution_Reason"),

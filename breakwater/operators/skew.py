@@ -46,8 +46,13 @@ class SkewPolicy:
 DEFAULT = SkewPolicy()
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], policy: SkewPolicy = DEFAULT) -> list[tuple]:
-    """Hot keys as ``(key values..., salts)``. A NULL key can be hot as well."""
+def hot_keys(df: DataFrame, keys: Sequence[str], policy: SkewPolicy | None = DEFAULT) -> list[tuple]:
+    """Hot keys as ``(key values..., salts)``. A NULL key can be hot as well.
+
+    ``None`` as policy: the frame is known to be small, there is nothing to look for.
+    """
+    if policy is None:
+        return []
     keys = list(keys)
     sample = df.select(*keys)
     if policy.fraction < 1:
@@ -75,17 +80,22 @@ def scatter(columns: Sequence[str], buckets: Column) -> Column:
 
 
 def salted(
-    many: DataFrame, one: DataFrame, keys: Sequence[str], policy: SkewPolicy = DEFAULT
+    many: DataFrame,
+    one: DataFrame,
+    keys: Sequence[str],
+    policy: SkewPolicy | None = DEFAULT,
+    like: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame, list[str]]:
     """Both sides prepared for a join that survives hot keys in ``many``, and the columns to join on.
 
     Rows of ``many`` with a hot key are scattered over the salts of the key. The matching rows of
     ``one`` are repeated once per salt and marked ``REPEATED``; such a key does exist in ``many``,
     for that is where it was found. Rows with a NULL key match nothing, so their salt is free and
-    they are scattered as well. Without hot keys the frames come back unsalted.
+    they are scattered as well. Without hot keys the frames come back unsalted. ``like`` is a frame
+    with the keys of ``many`` that is cheaper to look at, such as the table it was derived from.
     """
     keys = list(keys)
-    found = hot_keys(many, keys, policy)
+    found = hot_keys(many if like is None else like, keys, policy)
     if not found:
         return many, one.withColumn(REPEATED, F.lit(False)), keys
 
@@ -120,7 +130,12 @@ def salted(
 
 
 def salted_lookup(
-    many: DataFrame, one: DataFrame, keys: Sequence[str], how: str = "left", policy: SkewPolicy = DEFAULT
+    many: DataFrame,
+    one: DataFrame,
+    keys: Sequence[str],
+    how: str = "left",
+    policy: SkewPolicy | None = DEFAULT,
+    like: DataFrame | None = None,
 ) -> DataFrame:
     """``many`` joined to ``one`` (one row per key) on ``keys``.
 
@@ -129,7 +144,7 @@ def salted_lookup(
     """
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"a repeated side cannot be joined with {how!r}")
-    left, right, on = salted(many, one, keys, policy)
+    left, right, on = salted(many, one, keys, policy, like)
     return left.join(right, on, how).drop(SALT, REPEATED)
 
 

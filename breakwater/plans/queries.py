@@ -20,6 +20,7 @@ STAR_TABLES = ["lineitem", "orders", "customer", "nation", "part", "supplier"]
 OPEN_RUNS_BEFORE = 199601  # break_history appends the runs before and from this month separately
 
 _loaded: dict[tuple, ControlTables] = {}
+_seen: dict[tuple, tuple | None] = {}  # version of the source files, for the duration of one query
 
 
 # --- inputs ----------------------------------------------------------------------------------------
@@ -39,7 +40,11 @@ def control_tables(spark: SparkSession, sf_dir: str) -> ControlTables:
     This is the load-then-reconcile step users take before they ask questions. Feeds, breaks and
     run summaries become tables in the shared folder, which also cuts the lineage of all queries.
     """
-    key = (spark.sparkContext.applicationId, sf_dir, _version(spark, sf_dir))
+    source = (spark.sparkContext.applicationId, sf_dir)
+    version = _seen.get(source) or _version(spark, sf_dir)
+    if source in _seen:
+        _seen[source] = version
+    key = (*source, version)
     if key not in _loaded:
         control = load_feeds(spark, sf_dir)
         reconcile_all(control)
@@ -189,9 +194,11 @@ def _state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _enriched(spark: SparkSession, sf_dir: str, with_state: bool = False) -> DataFrame:
-    breaks = _state(spark, sf_dir) if with_state else _breaks(spark, sf_dir)
-    breaks = breaks.withColumn(PERIOD, period_of_run())
-    return enrich.enrich(breaks, *_feeds(spark, sf_dir), PERIOD).drop(PERIOD)
+    breaks = _breaks_of_period(spark, sf_dir)
+    enriched = enrich.enrich(breaks, *_feeds(spark, sf_dir), PERIOD).drop(PERIOD)
+    if not with_state:
+        return enriched
+    return resolution.current_state(enriched, _actions(spark, sf_dir), like=breaks)
 
 
 # --- sources and sinks -------------------------------------------------------------------------------
@@ -420,6 +427,24 @@ def _feed_columns(feed: DataFrame) -> DataFrame:
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {name: _looking_once(query) for name, query in _queries().items()}
+
+
+def _looking_once(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """The query, with the source files listed at most once while it is put together."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        source = (spark.sparkContext.applicationId, sf_dir)
+        _seen[source] = None
+        try:
+            return query(spark, sf_dir)
+        finally:
+            _seen.pop(source, None)
+
+    return run
+
+
+def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     two = _feeds
     dated = _breaks_of_period
     return {

@@ -105,7 +105,7 @@ def star_breaks(runs: DataFrame, breaks: DataFrame, trades: DataFrame, run_col:
     )
     # One run can own most of the breaks, and one id many: neither may meet in one task.
     dated = salted_lookup(facts, runs.select(C.RUN, "Created_At", "Match_Percentage"), [C.RUN], "inner")
-    return salted_lookup(dated, traded, keys, "inner")
+    return salted_lookup(dated, traded, keys, "inner", like=facts)
 
 
 # --- files -----------------------------------------------------------------------------------------
