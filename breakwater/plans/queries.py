@@ -193,12 +193,34 @@ def _state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolution.current_state(_breaks(spark, sf_dir), _actions(spark, sf_dir))
 
 
-def _enriched(spark: SparkSession, sf_dir: str, with_state: bool = False) -> DataFrame:
-    breaks = _breaks_of_period(spark, sf_dir)
-    enriched = enrich.enrich(breaks, *_feeds(spark, sf_dir), PERIOD).drop(PERIOD)
-    if not with_state:
-        return enriched
-    return resolution.current_state(enriched, _actions(spark, sf_dir), like=breaks)
+def _enriched(spark: SparkSession, sf_dir: str, breaks: DataFrame | None = None) -> DataFrame:
+    """All breaks, or the given ones, with their trade attributes."""
+    breaks = _breaks(spark, sf_dir) if breaks is None else breaks
+    dated = breaks.withColumn(PERIOD, period_of_run())
+    return enrich.enrich(dated, *_feeds(spark, sf_dir), PERIOD).drop(PERIOD)
+
+
+def _enriched_state(spark: SparkSession, sf_dir: str, breaks: DataFrame | None = None) -> DataFrame:
+    """The same with the resolution state."""
+    breaks = _breaks(spark, sf_dir) if breaks is None else breaks
+    return resolution.current_state(_enriched(spark, sf_dir, breaks), _actions(spark, sf_dir), like=breaks)
+
+
+def _filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # What the breaks tell themselves is filtered before anything is looked up for them.
+    prices = explore.filter_breaks(_breaks(spark, sf_dir), break_type=C.PRICE)
+    return explore.filter_breaks(_enriched_state(spark, sf_dir, prices), text="supplier", resolution="RESOLVED")
+
+
+def _sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dated = explore.slice_breaks(
+        _breaks(spark, sf_dir), "1994-01-01", "1996-12-31", Severity=["CRITICAL", "HIGH"]
+    )
+    return explore.slice_breaks(
+        _enriched(spark, sf_dir, dated),
+        Desk=["BUILDING", "MACHINERY"],
+        Counterparty=["NATION_1", "NATION_2", "NATION_3"],
+    )
 
 
 # --- sources and sinks -------------------------------------------------------------------------------
@@ -247,7 +269,8 @@ def _run_audit_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _filtered_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "filtered")
-    chosen = explore.filter_breaks(_enriched(spark, sf_dir, True), severity="HIGH", resolution="RESOLVED")
+    high = explore.filter_breaks(_breaks(spark, sf_dir), severity="HIGH")
+    chosen = explore.filter_breaks(_enriched_state(spark, sf_dir, high), resolution="RESOLVED")
     extract = explore.filtered_extract(chosen)
     files.write_csv(extract, path)
     return files.read_csv(spark, path, extract.schema)
@@ -495,7 +518,7 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "kpi_cards": lambda s, d: reports.kpi_cards(summarise.latest_run(_runs(s, d))),
         "measures": _measures,
         # enrichment
-        "breaks_enriched": lambda s, d: _enriched(s, d, True),
+        "breaks_enriched": _enriched_state,
         "breaks_enriched_fanout": lambda s, d: enrich.enrich(
             dated(s, d), *two(s, d), PERIOD, every_copy=True
         ).drop(PERIOD),
@@ -509,18 +532,9 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             dated(s, d), *two(s, d), PERIOD, _actions(s, d)
         ),
         "search_breaks": lambda s, d: explore.search(_enriched(s, d), "nation_7"),
-        "filter_breaks": lambda s, d: explore.filter_breaks(
-            _enriched(s, d, True), text="supplier", break_type=C.PRICE, resolution="RESOLVED"
-        ),
-        "filter_breaks_dims": lambda s, d: explore.slice_breaks(
-            _enriched(s, d),
-            "1994-01-01",
-            "1996-12-31",
-            Desk=["BUILDING", "MACHINERY"],
-            Counterparty=["NATION_1", "NATION_2", "NATION_3"],
-            Severity=["CRITICAL", "HIGH"],
-        ),
-        "break_table": lambda s, d: explore.break_table(_enriched(s, d, True)),
+        "filter_breaks": _filtered,
+        "filter_breaks_dims": _sliced,
+        "break_table": lambda s, d: explore.break_table(_enriched_state(s, d)),
         "filtered_breaks_export": _filtered_extract,
         # summaries
         "desk_summary": _dimension("Desk", *C.SEVERITY_COUNT_COLUMNS.values()),

@@ -31,8 +31,10 @@ def run_status(runs: DataFrame) -> DataFrame:
 def report_input(runs: DataFrame, breaks: DataFrame) -> DataFrame:
     """Breaks of the latest run next to the headline figures of that run."""
     latest = summarise.latest_run(runs).select(C.RUN, "Front_Count", "Back_Count", "Match_Percentage")
-    # A single row: the limit proves it small enough to broadcast.
-    return breaks.join(F.broadcast(latest), [C.RUN])
+    # The id as a subquery prunes the history to one partition. The figures are a single row, which
+    # the limit proves small enough to broadcast.
+    of_latest = breaks.filter(F.col(C.RUN) == latest.select(C.RUN).scalar())
+    return of_latest.join(F.broadcast(latest), [C.RUN])
 
 
 def executive_kpis(run: DataFrame) -> DataFrame:
