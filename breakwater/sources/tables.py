@@ -102,10 +102,11 @@ class ControlTables:
         self.load_feed(read_feed_csv(self.spark, path), table)
         return self.row_count(table)
 
-    def replace_feed(self, feed: DataFrame, table: str) -> None:
+    def replace_feed(self, feed: DataFrame, table: str, in_order: bool = False) -> None:
+        """Writes a feed as it is. ``in_order``: its rows already lie together by period."""
         columns = self._feed_schema().names
         rows = feed.select(*columns)
-        if self.period:
+        if self.period and not in_order:
             # Rows of a period lie together, so a filter on it skips row groups; rebalancing splits
             # a period that is too large for one file and merges small ones.
             rows = rows.hint("rebalance", self.period).sortWithinPartitions(self.period)
