@@ -5,8 +5,11 @@ import pytest
 import __spark_entry__ as entry_point
 from compare import connect, differences
 
-QUERIES = entry_point.queries()
-SQL = entry_point.oracle_sql()
+from breakwater.plans.oracle import statements
+from breakwater.plans.queries import registry
+
+QUERIES = registry()
+SQL = statements()
 
 
 @pytest.fixture(scope="module")
@@ -16,6 +19,8 @@ def duck(small_dir):
 
 def test_every_query_has_a_statement():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry_point.queries())
+    assert set(SQL) <= set(entry_point.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
