@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from breakwater.llm import chat, mixing, sharding
+from breakwater.llm import bpe, chat, mixing, sharding, tokenfiles
+
+#: The id that ends a document in the token files.
+END_ID = 2
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +32,11 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return bpe.digests(_table(spark, sf_dir, "documents"), vocabulary, public_tokenizers.PATTERN)
+
+
 def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.render(_table(spark, sf_dir, "conversations"))
 
@@ -46,11 +55,25 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenfiles.fresh_path(spark)
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    tokenfiles.write(_table(spark, sf_dir, "documents"), tokenizer, END_ID, path)
+    return tokenfiles.read(spark, path).select(
+        "doc_id",
+        "start",
+        F.expr("octet_length(ids) div 4").alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sharding": op1_sharding,
+        "op3_bpe": op3_bpe,
         "op6_chat": op6_chat,
         "op8_mixing": op8_mixing,
+        "op10_token_files": op10_token_files,
     }
 
 
