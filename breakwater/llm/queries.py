@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from breakwater.llm import bpe, chat, mixing, sharding, tokenfiles
+from breakwater.llm import bpe, chat, mixing, prints, sharding, tokenfiles, toxicity
 
 #: The id that ends a document in the token files.
 END_ID = 2
@@ -37,6 +37,10 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(_table(spark, sf_dir, "documents"), vocabulary, public_tokenizers.PATTERN)
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.render(_table(spark, sf_dir, "conversations"))
 
@@ -55,6 +59,10 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prints.compare_edits(_table(spark, sf_dir, "documents"))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenfiles.fresh_path(spark)
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
@@ -71,8 +79,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sharding": op1_sharding,
         "op3_bpe": op3_bpe,
+        "op4_toxicity": op4_toxicity,
         "op6_chat": op6_chat,
         "op8_mixing": op8_mixing,
+        "op9_fingerprints": op9_fingerprints,
         "op10_token_files": op10_token_files,
     }
 
