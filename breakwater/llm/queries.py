@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from breakwater.llm import bpe, chat, mixing, prints, sharding, tokenfiles, toxicity
+from breakwater.llm import bpe, chat, mixing, prints, sharding, tokenfiles, toxicity, vectors
 
 #: The id that ends a document in the token files.
 END_ID = 2
@@ -32,6 +32,10 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return bpe.digests(_table(spark, sf_dir, "documents"), vocabulary, public_tokenizers.PATTERN)
@@ -78,6 +82,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sharding": op1_sharding,
+        "op2_vectors": op2_vectors,
         "op3_bpe": op3_bpe,
         "op4_toxicity": op4_toxicity,
         "op6_chat": op6_chat,
