@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from breakwater.llm import bpe, chat, mixing, prints, sharding, tokenfiles, toxicity, vectors
+from breakwater.llm import bpe, chat, jaccard, mixing, prints, sharding, tokenfiles, toxicity, vectors
 
 #: The id that ends a document in the token files.
 END_ID = 2
@@ -49,6 +49,10 @@ def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.render(_table(spark, sf_dir, "conversations"))
 
 
+def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar(_table(spark, sf_dir, "documents"), words=4, similarity=(85, 100))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.schedule(_table(spark, sf_dir, "documents"))
     return plan.select(
@@ -86,6 +90,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_bpe": op3_bpe,
         "op4_toxicity": op4_toxicity,
         "op6_chat": op6_chat,
+        "op7_jaccard": op7_jaccard,
         "op8_mixing": op8_mixing,
         "op9_fingerprints": op9_fingerprints,
         "op10_token_files": op10_token_files,
