@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from breakwater.llm import bpe, chat, jaccard, mixing, prints, sharding, tokenfiles, toxicity, vectors
+from breakwater.llm import bpe, chat, jaccard, mixing, prints, sharding, suffixes, tokenfiles, toxicity, vectors
 
 #: The id that ends a document in the token files.
 END_ID = 2
@@ -45,6 +45,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op5_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.digests(_table(spark, sf_dir, "documents"))
+
+
 def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.render(_table(spark, sf_dir, "conversations"))
 
@@ -89,6 +93,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_vectors": op2_vectors,
         "op3_bpe": op3_bpe,
         "op4_toxicity": op4_toxicity,
+        "op5_suffixes": op5_suffixes,
         "op6_chat": op6_chat,
         "op7_jaccard": op7_jaccard,
         "op8_mixing": op8_mixing,
