@@ -17,7 +17,7 @@ BITS = 20
 #: Labelled documents that the classifier is fitted on at most: those with the smallest hashes.
 FITTED_ON = 8000
 #: Learning rate, smoothing, L1 and L2 of the proximal step; passes over the sample.
-ALPHA, BETA, L1, L2, PASSES = 1.0, 1.0, 10.0, 0.1, 6
+ALPHA, BETA, L1, L2, PASSES = 0.5, 1.0, 6.0, 0.3, 3
 #: A document is called toxic from this score on.
 THRESHOLD = 0.3
 #: Labels of the documents with this remainder of the id's CRC are never learned.
@@ -51,9 +51,14 @@ class Features:
 
 
 def fit(examples: list[tuple[np.ndarray, int]]) -> tuple[np.ndarray, np.ndarray]:
-    """Indices and weights that are not zero, after passes over (features, label) in order."""
+    """Indices and weights that are not zero, after passes over (features, label) in order.
+
+    The bias starts from the share of label 1, held low where there are few examples.
+    """
     size = 2 << BITS
     z, n = np.zeros(size), np.zeros(size)
+    toxic = sum(y for _, y in examples)
+    prior = float(np.log((toxic + 1) / (len(examples) - toxic + 10)))
     for _ in range(PASSES):
         for x, y in examples:
             zx, nx = z[x], n[x]
@@ -62,12 +67,13 @@ def fit(examples: list[tuple[np.ndarray, int]]) -> tuple[np.ndarray, np.ndarray]
             w = np.where(
                 np.abs(zx) <= l1, 0.0, -(zx - np.sign(zx) * l1) / ((BETA + root) / ALPHA + L2)
             )
-            g = _sigmoid(w.sum()) - y
+            g = _sigmoid(prior + w.sum()) - y
             z[x] = zx + g - (np.sqrt(nx + g * g) - root) / ALPHA * w
             n[x] = nx + g * g
     l1 = np.full(size, L1)
     l1[BIAS] = 0.0
     w = np.where(np.abs(z) <= l1, 0.0, -(z - np.sign(z) * l1) / ((BETA + np.sqrt(n)) / ALPHA + L2))
+    w[BIAS] += prior
     at = np.flatnonzero(w)
     return at, w[at]
 
