@@ -21,7 +21,6 @@ RUNS = 3
 
 HEADLINES = [
     "all_breaks",
-    "all_breaks_one_by_one",
     "run_summary",
     "backfill_runs",
     "breaks_enriched",

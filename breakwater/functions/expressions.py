@@ -35,8 +35,9 @@ def severity_rank(severity: Column) -> Column:
 
 
 def notional(quantity: Column, price: Column) -> Column:
-    """|quantity x price| as an exact decimal, so that sums don't depend on row order."""
-    return F.abs(price.cast("decimal(20,8)") * quantity.cast("decimal(17,0)"))
+    """|quantity x price| as an exact decimal, so that sums don't depend on row order; NULL where one
+    of them is beyond its decimal."""
+    return F.abs(price.try_cast("decimal(20,8)") * quantity.try_cast("decimal(17,0)"))
 
 
 def to_money(amount: Column, places: int = 2) -> Column:

@@ -12,7 +12,6 @@ from breakwater.functions import any_null
 from breakwater.operators.skew import DEFAULT, REPEATED, SALT, SkewPolicy, salted, salted_lookup
 
 ATTRIBUTES = list(C.ENRICHMENT_DEFAULTS)
-BROADCAST_ROWS = 100_000  # keys of that many breaks are a few megabytes
 
 
 def _keys(run_col: str | None) -> list[str]:
@@ -35,26 +34,20 @@ def known_attributes(
     distinct BO variants apart and counts the BO rows behind each result row in ``Row_Copies``; that
     is the bag a plain join with all BO rows would give, without writing it out.
 
-    The number of breaks is looked at first. Up to ``BROADCAST_ROWS``, their keys are broadcast and
-    the feeds are only scanned; beyond, the keys are joined by shuffles, hot BO keys salted.
+    The keys are joined without a hint, hot BO keys salted: the engine broadcasts what it measures
+    to be small.
     """
     keys = _keys(run_col)
     attributes = list(attributes)
     wanted = breaks.select(*keys).filter(~any_null(keys)).distinct()
-    few = breaks.select(*keys).limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
 
     fo, bo = front.select(*keys, *attributes), back.select(*keys, *attributes)
-    if few:
-        fo = fo.join(F.broadcast(wanted), keys, "left_semi")
     # Read twice: as a result, and to find the trades FO does not know in full. Both need the same
     # columns after the same shuffle, so FO is shuffled once.
     from_fo = wanted.join(fo, keys, "left")
     searched = wanted if every_copy else from_fo.filter(any_null(attributes)).select(*keys)
-    if few:
-        bo = bo.join(F.broadcast(searched), keys)
-    else:
-        many, one, on = salted(bo.filter(~any_null(keys)), searched, keys, policy)
-        bo = many.join(one, on).drop(SALT, REPEATED)
+    many, one, on = salted(bo.filter(~any_null(keys)), searched, keys, policy)
+    bo = many.join(one, on).drop(SALT, REPEATED)
 
     variant = bo.select(*keys, F.struct(*attributes).alias("_bo"))
     if every_copy:

@@ -21,7 +21,7 @@ def normalise(actions: DataFrame) -> DataFrame:
 
 def judge(actions: DataFrame, breaks: DataFrame, policy: SkewPolicy = DEFAULT) -> DataFrame:
     """Normalised actions with the trade of their break and a ``Reject_Reason`` (NULL when accepted)."""
-    known = breaks.select("Break_ID", "Trade_ID").distinct().withColumn("_known", F.lit(True))
+    known = breaks.groupBy("Break_ID").agg(F.min("Trade_ID").alias("Trade_ID"), F.lit(True).alias("_known"))
     looked_up = salted_lookup(normalise(actions), known, ["Break_ID"], "left", policy)
     reason = (
         F.when(F.coalesce(F.col("Break_ID"), F.lit("")) == "", "Missing break id")

@@ -19,7 +19,8 @@ def trade_details(feed: DataFrame) -> DataFrame:
 def trade_records(rows: DataFrame) -> DataFrame:
     """Loosely typed rows as trade records: missing or unreadable fields take their defaults.
 
-    Numbers are read with ``try_cast``; the notional is quantity x price to four places.
+    Numbers are read with ``try_cast``; the notional is quantity x price to four places, NULL where
+    one of them is beyond its decimal.
     """
 
     def field(name: str) -> Column:
@@ -30,7 +31,7 @@ def trade_records(rows: DataFrame) -> DataFrame:
         return F.coalesce(F.col(name).try_cast(kind), F.lit(default))
 
     records = rows.select(*[field(n).alias(n) for n in C.TRADE_RECORD_DEFAULTS])
-    amount = F.col("price").cast("decimal(20,8)") * F.col("quantity").cast("decimal(17,4)")
+    amount = F.col("price").try_cast("decimal(20,8)") * F.col("quantity").try_cast("decimal(17,4)")
     return records.withColumn("notional_amount", to_money(amount, 4))
 
 

@@ -379,7 +379,7 @@ _DATE_TEXT = """
          WHEN 4 THEN substr(CAST(Trade_Date AS VARCHAR), 3, 8)
          WHEN 5 THEN CAST(Trade_Date AS VARCHAR) || ' 00:00' ELSE CAST(Trade_Date AS VARCHAR) END
 """
-_AUDIT_COLUMNS = ["Break_ID", "Run_ID", "Trade_ID", "Break_Type", "Expected_Value", "Actual_Value", "Severity"]
+_AUDIT_COLUMNS = ["Break_ID", "Trade_ID", "Break_Type", "Expected_Value", "Actual_Value", "Severity"]
 _SEARCHED = ["Trade_ID", "Trader", "Counterparty", "Symbol"]
 
 
@@ -511,13 +511,13 @@ def _sizes(name: str, count: str, cast: str = "count(*)") -> str:
         "back_office_trades": "bo",
         "reconciliation_breaks": "breaks",
         "reconciliation_summary": "runs",
+        "break_resolutions_history": "actions",
     }
     return " UNION ALL ".join(f"SELECT '{t}' AS {name}, {cast} AS {count} FROM {cte}" for t, cte in tables.items())
 
 
 def statements() -> dict[str, str]:
     """Query name -> SQL with the same columns and rows."""
-    run_columns = "* EXCLUDE (Created_At)"
     severity = _severity("Break_Type")
     single = {
         name: _with(
@@ -526,7 +526,9 @@ def statements() -> dict[str, str]:
         )
         for name, sql in {
             **_DETECTORS,
+            "price_mismatches_narrow_tolerance": _mismatch(C.PRICE, "Price", "0.001"),
             "price_mismatches_wide_tolerance": _mismatch(C.PRICE, "Price", "0.50"),
+            "price_mismatches_widest_tolerance": _mismatch(C.PRICE, "Price", "75.0"),
         }.items()
     }
     break_rows = "SELECT Run_ID, Trade_ID, Break_Type, Expected_Value, Actual_Value, Severity FROM breaks"
@@ -541,6 +543,7 @@ def statements() -> dict[str, str]:
         return {column: f"CASE WHEN k BETWEEN {low} AND {high} THEN {value} ELSE {column} END"}
 
     json_fields = ", ".join(f"'{c}', {c}" for c in _AUDIT_COLUMNS)
+    json_fields += ", 'Detected_At', strftime(Detected_At, '%Y-%m-%dT%H:%M:%S.%g'), 'Run_ID', Run_ID"
     return {
         "front_office_feed": _with(["fo"], f"SELECT {FEED}, Feed_Month FROM fo"),
         "back_office_feed": _with(["bo"], f"SELECT {FEED}, Feed_Month FROM bo"),
@@ -548,11 +551,11 @@ def statements() -> dict[str, str]:
         "scan_back_office": _with(["bo"], f"SELECT {FEED}, Feed_Month FROM bo"),
         "csv_roundtrip_fo": _with(["fo"], f"SELECT {FEED} FROM fo"),
         "csv_roundtrip_bo": _with(["bo"], f"SELECT {FEED} FROM bo"),
-        "append_feed": _with(["fo"], "SELECT Feed_Month, count(*) AS Row_Count FROM fo GROUP BY Feed_Month"),
+        "append_feed": _with(["fo"], f"SELECT {FEED}, Feed_Month FROM fo"),
         "trade_lookup": _with(["fo"], f"SELECT {FEED} FROM fo WHERE Trade_ID = (SELECT min(Trade_ID) FROM fo) LIMIT 1"),
-        "table_counts": _with(["runs", "breaks"], _sizes("Table_Name", "Row_Count")),
+        "table_counts": _with(["runs", "actions"], _sizes("Table_Name", "Row_Count")),
         "control_status": _with(
-            ["runs", "breaks"],
+            ["runs", "actions"],
             _sizes("Item", "Value", "CAST(count(*) AS VARCHAR)")
             + " UNION ALL SELECT i.Item, CASE i.Item WHEN 'latest_run' THEN Run_ID"
             " WHEN 'latest_match_percentage' THEN printf('%.2f', Match_Percentage)"
@@ -771,7 +774,7 @@ def statements() -> dict[str, str]:
         "breaks_json": _with(
             ["breaks"], f"SELECT Break_ID, CAST(json_object({json_fields}) AS VARCHAR) AS Json FROM breaks"
         ),
-        "run_audit_json": _with(["runs"], f"SELECT {run_columns} FROM runs"),
+        "run_audit_json": _with(["runs"], "SELECT * FROM runs"),
         "analytics_export": _with(
             ["runs", "breaks"],
             "SELECT 'reconciliation_runs' AS Dataset, count(*) AS Row_Count FROM runs"

@@ -48,6 +48,8 @@ def control_tables(spark: SparkSession, sf_dir: str) -> ControlTables:
     if key not in _loaded:
         control = load_feeds(spark, sf_dir)
         reconcile_all(control)
+        breaks = control.read(BREAKS)
+        control.store_actions(resolution.accepted(resolution.judge(resolution_requests(breaks), breaks)))
         _loaded[key] = control
     return _loaded[key]
 
@@ -187,7 +189,7 @@ def _judged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _actions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return resolution.accepted(_judged(spark, sf_dir))
+    return control_tables(spark, sf_dir).read(ACTIONS)
 
 
 def _state(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -255,15 +257,14 @@ def _category_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _breaks_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "audit")
-    columns = ["Break_ID", C.RUN, "Trade_ID", "Break_Type", "Expected_Value", "Actual_Value", "Severity"]
-    breaks = _breaks(spark, sf_dir).select(*columns)
+    breaks = _breaks(spark, sf_dir)
     reports.write_json_audit(_runs(spark, sf_dir), breaks, path)
     return files.as_json(files.read_json(spark, f"{path}/breaks", breaks.schema), "Break_ID")
 
 
 def _run_audit_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "run-audit")
-    summary = _runs(spark, sf_dir).drop("Created_At")
+    summary = _runs(spark, sf_dir)
     files.write_json(summary, path)
     return files.read_json(spark, path, summary.schema)
 
@@ -283,12 +284,12 @@ def _trade_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _append_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A feed loaded in two appends, per-period row counts of the result."""
+    """A feed loaded in two appends."""
     front = control_tables(spark, sf_dir).read(FRONT)
     target = ControlTables(spark, fresh_path(spark, "appended"), PERIOD)
     for batch in (F.col(PERIOD) < OPEN_RUNS_BEFORE, F.col(PERIOD) >= OPEN_RUNS_BEFORE):
         target.append_feed(front.filter(batch), FRONT)
-    return target.read(FRONT).groupBy(PERIOD).agg(F.count(F.lit(1)).alias("Row_Count"))
+    return target.read(FRONT)
 
 
 def _control_status(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -495,7 +496,9 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "unexpected_trades": lambda s, d: detect.unexpected_trades(*two(s, d)),
         "duplicate_trades": lambda s, d: detect.duplicate_trades(two(s, d)[1]),
         "price_mismatches": lambda s, d: detect.price_mismatches(*two(s, d)),
+        "price_mismatches_narrow_tolerance": lambda s, d: detect.price_mismatches(*two(s, d), tolerance=0.001),
         "price_mismatches_wide_tolerance": lambda s, d: detect.price_mismatches(*two(s, d), tolerance=0.50),
+        "price_mismatches_widest_tolerance": lambda s, d: detect.price_mismatches(*two(s, d), tolerance=75.0),
         "quantity_mismatches": lambda s, d: detect.quantity_mismatches(*two(s, d)),
         "status_mismatches": lambda s, d: detect.status_mismatches(*two(s, d)),
         "trade_date_mismatches": lambda s, d: detect.trade_date_mismatches(*two(s, d)),

@@ -105,8 +105,8 @@ def star_breaks(runs: DataFrame, breaks: DataFrame, trades: DataFrame, run_col:
         *C.DIMENSIONS,
         to_money(notional(F.col("Quantity"), F.col("Price"))).alias("Trade_Notional"),
     )
-    # One run can own most of the breaks, and one id many: neither may meet in one task.
-    dated = salted_lookup(facts, runs.select(C.RUN, "Created_At", "Match_Percentage"), [C.RUN], "inner")
+    # The run table, one row for each run, is joined plainly; an id can own many breaks and is salted.
+    dated = facts.join(runs.select(C.RUN, "Created_At", "Match_Percentage"), [C.RUN])
     return salted_lookup(dated, traded, keys, "inner", like=facts)
 
 

@@ -17,8 +17,6 @@ from breakwater.operators.detect import all_breaks, field_rules
 from breakwater.operators.summarise import run_summary
 from breakwater.sources.tables import BACK, BREAKS, FRONT, ControlTables
 
-MAX_LISTED = 1000
-
 
 def new_run_id(now: datetime | None = None) -> str:
     return f"REC_{(now or datetime.now(timezone.utc)):%Y%m%d_%H%M%S}_{uuid.uuid4().hex[:6]}"
@@ -58,10 +56,9 @@ def summarise_runs(
     return run_summary(front, back, breaks).withColumn("Created_At", created_at)
 
 
-def _of_runs(breaks: DataFrame, *runs: DataFrame) -> DataFrame:
-    """Breaks of the given runs. Up to MAX_LISTED runs become a filter that prunes partitions of the history."""
-    ids = reduce(DataFrame.unionByName, runs).distinct().limit(MAX_LISTED + 1).collect()
-    return breaks.filter(F.col(C.RUN).isin([r[0] for r in ids])) if len(ids) <= MAX_LISTED else breaks
+def _run_ids(run_id: Column, *feeds: DataFrame) -> DataFrame:
+    """The runs that the feeds have rows of."""
+    return reduce(DataFrame.unionByName, [feed.select(run_id.alias(C.RUN)) for feed in feeds]).distinct()
 
 
 def reconcile_runs(
@@ -74,9 +71,11 @@ def reconcile_runs(
 ) -> None:
     """Reconciles the loaded feeds and records breaks and summaries.
 
-    One job covers as many runs as ``run_col`` has values. Breaks are written first and the
-    summaries are computed from the written table: the detection runs once, and a lost job can be
-    repeated. ``ids_checked`` says that the FO ids are known to be unique, which saves a shuffle.
+    One job covers as many runs as ``run_col`` has values. Nothing is written if a run is already
+    recorded or a row belongs to none. Breaks are written first, in place of what a lost job may
+    have left of these runs, and the summaries are computed from the written table: the
+    detection runs once, and a lost job can be repeated. ``ids_checked`` says that the FO ids are
+    known to be unique, which saves a shuffle.
     """
     started = time.perf_counter()
     front, back = tables.read(FRONT), tables.read(BACK)
@@ -84,11 +83,12 @@ def reconcile_runs(
     quality.require_rows(back, BACK)
     if not ids_checked:
         quality.require_unique_ids(front, FRONT, run_col)
-    tables.store_breaks(detect_runs(front, back, run_id, as_of, run_col, price_tolerance))
-    stored = _of_runs(tables.read(BREAKS), front.select(run_id.alias(C.RUN)), back.select(run_id.alias(C.RUN)))
+    ids = _run_ids(run_id, front, back)
+    tables.require_new_runs(ids)
+    tables.store_breaks(detect_runs(front, back, run_id, as_of, run_col, price_tolerance), ids)
+    # The few ids prune the partitions of the history.
+    stored = tables.read(BREAKS).join(ids, [C.RUN], "left_semi")
     summary = summarise_runs(front, back, stored, run_id, as_of)
-    # Whatever the filter above could not prune: only runs with trades in these feeds count.
-    summary = summary.filter((F.col("Front_Count") > 0) | (F.col("Back_Count") > 0))
     elapsed = round(time.perf_counter() - started, 4)
     tables.store_runs(summary.withColumn("Execution_Time", F.lit(elapsed)))
 

@@ -2,20 +2,20 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a local session without one gets its own."""
+    """The folder named by ``spark.checkpoint.dir``; a local session without one takes a folder in
+    its warehouse."""
     sc = spark.sparkContext
     base = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if base is None:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        base = tempfile.mkdtemp(prefix="breakwater-")
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(base)
     return base.rstrip("/")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -75,7 +76,9 @@ class ControlTables:
 
     def read(self, table: str) -> DataFrame:
         schema = SCHEMAS.get(table) or self._feed_schema()
-        return self.spark.read.schema(schema).parquet(self.path(table))
+        rows = self.spark.read.schema(schema).parquet(self.path(table))
+        # A run's partition also has a row without a key, see store_breaks.
+        return rows.filter(F.col("Break_ID").isNotNull()) if table == BREAKS else rows
 
     def exists(self, table: str) -> bool:
         try:
@@ -123,19 +126,30 @@ class ControlTables:
             quality.require_unique_ids(ids, table, self.period)
         feed.select(*self._feed_schema().names).write.mode("append").parquet(self.path(table))
 
-    def feed(self, table: str) -> DataFrame:
-        return self.read(table)
-
     # --- history ----------------------------------------------------------------------------------
 
-    def store_breaks(self, breaks: DataFrame) -> None:
+    def require_new_runs(self, ids: DataFrame) -> None:
+        """Refuses rows without a run, and runs that are already recorded."""
+        if not ids.filter(F.col(C.RUN).isNull()).isEmpty():
+            raise ValueError("a feed has rows without a run")
+        if self.exists(RUNS):
+            taken = ids.join(self.read(RUNS).select(C.RUN), [C.RUN], "left_semi").take(1)
+            if taken:
+                raise ValueError(f"run {taken[0][0]} is already recorded")
+
+    def store_breaks(self, breaks: DataFrame, ids: DataFrame | None = None) -> None:
         """Adds the breaks of new runs; earlier runs stay.
 
         Only the partitions of the given runs are written. Repeating a job that died half-way
-        therefore replaces its own rows instead of adding them twice.
+        therefore replaces its own rows instead of adding them twice. ``ids`` names the runs, those
+        without breaks too: each gets a row without a key, so that its partition is always
+        written anew and keeps nothing of a lost job.
         """
+        rows = breaks.select(*SCHEMAS[BREAKS].names)
+        if ids is not None:
+            rows = rows.unionByName(ids.select(C.RUN), allowMissingColumns=True)
         (
-            breaks.select(*SCHEMAS[BREAKS].names)
+            rows
             .hint("rebalance", C.RUN)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
@@ -145,10 +159,7 @@ class ControlTables:
 
     def store_runs(self, runs: DataFrame) -> None:
         """Appends run summaries; a run id can be used once."""
-        if self.exists(RUNS):
-            taken = runs.join(self.read(RUNS).select(C.RUN), [C.RUN], "left_semi").select(C.RUN).take(1)
-            if taken:
-                raise ValueError(f"run {taken[0][0]} is already recorded")
+        self.require_new_runs(runs.select(C.RUN))
         runs.select(*SCHEMAS[RUNS].names).write.mode("append").parquet(self.path(RUNS))
 
     def store_actions(self, actions: DataFrame) -> None:
@@ -165,16 +176,12 @@ class ControlTables:
                 (writer.partitionBy(C.RUN) if table == BREAKS else writer).parquet(self.path(table))
 
     def counts(self) -> DataFrame:
-        """(Table_Name, Row_Count) of every table that exists."""
-        out = None
+        """(Table_Name, Row_Count) of all five tables; 0 for one that is not there."""
+        parts = []
         for table in (FRONT, BACK, BREAKS, RUNS, ACTIONS):
-            if self.exists(table):
-                one = self.read(table).agg(F.count(F.lit(1)).alias("Row_Count"))
-                one = one.select(F.lit(table).alias("Table_Name"), "Row_Count")
-                out = one if out is None else out.unionByName(one)
-        if out is None:
-            return self.spark.createDataFrame([], "Table_Name string, Row_Count long")
-        return out
+            rows = self.read(table) if self.exists(table) else self.spark.createDataFrame([], "a int")
+            parts.append(rows.agg(F.count(F.lit(1)).alias("Row_Count")).select(F.lit(table).alias("Table_Name"), "Row_Count"))
+        return reduce(DataFrame.unionByName, parts)
 
 
 def lookup(table: DataFrame, trade_id) -> DataFrame:

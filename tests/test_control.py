@@ -297,3 +297,46 @@ def test_history_and_state(judged):
     state = {r["Break_ID"]: r for r in resolution.current_state(breaks, good).collect()}
     assert [state[b]["Resolution_Status"] for b in ("b1", "b2", "b3")] == ["ESCALATED", "ESCALATED", "UNRESOLVED"]
     assert state["b1"]["Resolved_At"] == _day(3) and state["b3"]["Resolved_At"] is None
+
+
+# --- recording is safe -----------------------------------------------------------------------------------
+
+
+def test_a_refused_run_leaves_the_history_alone(loaded, feed):
+    runs.reconcile(loaded, "R1")
+    before = sorted(map(str, loaded.read(BREAKS).collect()))
+    loaded.load_feed(feed({"Trade_ID": "A", "Quantity": 7}), BACK)
+    with pytest.raises(ValueError, match="R1"):
+        runs.reconcile(loaded, "R1")
+    assert sorted(map(str, loaded.read(BREAKS).collect())) == before
+
+
+def test_a_lost_job_leaves_no_breaks_behind(loaded, feed):
+    lost = runs.detect_runs(loaded.read(FRONT), loaded.read(BACK), F.lit("R9"), F.lit(None).cast("timestamp_ntz"))
+    loaded.store_breaks(lost)
+    loaded.load_feed(feed({"Trade_ID": "A"}, {"Trade_ID": "B"}, {"Trade_ID": "C"}), BACK)
+    runs.reconcile(loaded, "R9")
+    assert loaded.read(BREAKS).count() == 0
+    row = loaded.read(RUNS).first()
+    assert (row["Matched_Count"], row["Missing_Count"] if "Missing_Count" in row else 0) == (3, 0)
+
+
+def test_rows_without_a_run_are_refused(spark, tmp_path, feed):
+    control = ControlTables(spark, str(tmp_path / "periods"), "Feed_Month")
+    rows = feed({"Trade_ID": "A"}).withColumn("Feed_Month", F.lit(None).cast("int"))
+    control.replace_feed(rows, FRONT)
+    control.replace_feed(rows, BACK)
+    run_id, now = F.concat(F.lit("REC_"), F.col("Feed_Month")), F.lit(None).cast("timestamp_ntz")
+    with pytest.raises(ValueError, match="without a run"):
+        runs.reconcile_runs(control, run_id, now, "Feed_Month")
+    assert not control.exists(BREAKS)
+
+
+def test_absent_tables_count_as_empty(control):
+    assert {r[1] for r in control.counts().collect()} == {0}
+    assert control.counts().count() == 5
+
+
+def test_values_out_of_range_end_nothing(spark):
+    raw = spark.createDataFrame([("A", "1e15", "3"), ("B", "NaN", "1"), ("C", "Infinity", "1")], "trade_id string, price string, quantity string")
+    assert [r.notional_amount for r in trades.trade_records(raw).collect()] == [None] * 3

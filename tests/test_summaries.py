@@ -71,10 +71,8 @@ def test_run_without_breaks_is_kept(spark, breaks):
     assert {r[C.RUN]: r["Matched_Count"] for r in runs.collect()} == {"R": 0, "S": 1}
 
 
-@pytest.mark.parametrize("limit", [enrich.BROADCAST_ROWS, 0], ids=["broadcast", "shuffle"])
-def test_enrichment_order(feed, breaks, monkeypatch, limit):
+def test_enrichment_order(feed, breaks):
     """FO first, then the smallest BO copy, then the defaults; gaps in FO are filled from BO."""
-    monkeypatch.setattr(enrich, "BROADCAST_ROWS", limit)
     front = feed({"Trade_ID": "A", "Desk": "FO desk", "Trader": None})
     back = feed(
         {"Trade_ID": "A", "Desk": "BO desk", "Trader": "Bo"},
@@ -94,9 +92,7 @@ def test_enrichment_order(feed, breaks, monkeypatch, limit):
         }
 
 
-@pytest.mark.parametrize("limit", [enrich.BROADCAST_ROWS, 0], ids=["broadcast", "shuffle"])
-def test_every_copy_equals_the_plain_join(feed, breaks, monkeypatch, limit):
-    monkeypatch.setattr(enrich, "BROADCAST_ROWS", limit)
+def test_every_copy_equals_the_plain_join(feed, breaks):
     front = feed({"Trade_ID": "A"}, {"Trade_ID": "N"})
     back = feed(*[{"Trade_ID": "A"}] * 3, {"Trade_ID": "B", "Desk": "X"}, *[{"Trade_ID": "B", "Desk": "Y"}] * 2)
     found = breaks(("A", C.PRICE), ("A", C.DUPLICATE), ("B", C.UNEXPECTED), ("N", C.MISSING))
