@@ -82,7 +82,7 @@ def test_snapshots_collapse(spark):
 
 def test_spans_and_extensions():
     a, b = prints.Prefixes("the cat sat on a mat 🙂"), prints.Prefixes("a cat sat on the mat")
-    assert a.same(3, b, 1, 8) and not a.same(3, b, 1, 12)
+    assert a.same(3, b, 1, 8) and not a.same(3, b, 1, 13)
     assert a.extension(3, b, 1) == len(" cat sat on ")
     assert a.extension(0, a, 0) == a.n
     assert prints.Prefixes("").fingerprint().startswith("0-")
