@@ -169,11 +169,12 @@ def similar(
         "classes",
     )
     tiles = _tiles(classes)
-    sets = _sets(rows, classes, tiles, words)
     alone = classes.select("node", F.col("node").alias("label"))
-    links = _verified(_candidates(tiles, alone, similarity, True), sets, similarity)
+    pairs = _candidates(tiles, alone, similarity, True)
+    links = _verified(pairs, _sets(rows, classes, pairs, words), similarity)
     labels = _labels(links)
-    rest = _verified(_candidates(tiles, _labelled(alone, labels), similarity, False), sets, similarity)
+    pairs = _candidates(tiles, _labelled(alone, labels), similarity, False)
+    rest = _verified(pairs, _sets(rows, classes, pairs, words), similarity)
     if not rest.isEmpty():
         labels = _labels(links.unionByName(rest))
     named = classes.select(F.col("key").alias("_key"), "node")
@@ -197,7 +198,7 @@ def _labelled(alone: DataFrame, labels: DataFrame) -> DataFrame:
 
 def _tiles(classes: DataFrame) -> DataFrame:
     """(shingle, i, j, side, node, n, signature): the classes that share a prefix shingle."""
-    entries = classes.select("node", "n", F.explode("prefix").alias("shingle"))
+    entries = classes.select("node", F.explode("prefix").alias("shingle"))
     shared = (
         entries.groupBy("shingle")
         .agg(
@@ -210,7 +211,7 @@ def _tiles(classes: DataFrame) -> DataFrame:
     # Of shingles shared by the very same classes one is enough.
     lists = keep(shared.groupBy("length", "_x", "_y").agg(F.min("shingle").alias("shingle")), "lists")
     listed = keep(entries.join(lists.select("shingle", "length"), "shingle"), "listed")
-    signed = listed.join(classes.select("node", "signature"), "node")
+    signed = listed.join(classes.select("node", "n", "signature"), "node")
     return keep(
         signed.withColumn("_parts", F.expr(f"cast(ceil(length / {TILE}) as int)"))
         .withColumn("side", F.pmod(F.xxhash64("node"), F.col("_parts")).cast("int"))
@@ -223,9 +224,10 @@ def _tiles(classes: DataFrame) -> DataFrame:
     )
 
 
-def _sets(rows: DataFrame, classes: DataFrame, tiles: DataFrame, words: int) -> DataFrame:
-    """(node, shingles) of the classes in tiles, made anew from the text of their first row."""
-    needed = tiles.select("node").distinct().join(classes.select("node", "key", "doc_id"), "node")
+def _sets(rows: DataFrame, classes: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
+    """(node, shingles) of the classes in pairs, made anew from the text of their first row."""
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    needed = nodes.join(classes.select("node", "key", "doc_id"), "node")
     chosen = rows.join(needed.select(F.col("doc_id").alias("_doc"), "key", "node"), F.col("doc_id").eqNullSafe(F.col("_doc")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -242,7 +244,10 @@ def _sets(rows: DataFrame, classes: DataFrame, tiles: DataFrame, words: int) ->
             )
 
     made = chosen.select("text", "key", "node").mapInArrow(run, "node long, shingles array<long>")
-    return keep(made.dropDuplicates(["node"]), "sets")
+    made = keep(made, "sets")
+    # A class has several sets only where rows repeat both id and text.
+    repeated = made.groupBy("node").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    return made if repeated.isEmpty() else keep(made.dropDuplicates(["node"]), "sets")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
