@@ -8,6 +8,8 @@ at checkpoints inside, and a checksum.
 
 from __future__ import annotations
 
+import os
+import re
 import struct
 import uuid
 import zlib
@@ -22,7 +24,7 @@ from pyspark.sql import functions as F
 from breakwater.llm.bpe import Memory, slices
 from breakwater.llm.tables import folder, partitions
 
-LANES = 512
+LANES = 1024
 #: Steps of all lanes in a block, and from one checkpoint to the next.
 STEPS, CHECKPOINT = 256, 128
 #: Ids after which a frame is closed, at the end of a document.
@@ -30,6 +32,8 @@ FRAME = 1 << 21
 #: A state stays in [LOW, LOW << 32).
 LOW = 1 << 31
 MAGIC = b"ranF"
+#: Words that the library is given on lines of one text, and how many words such a text has.
+PLAIN, LINES = re.compile(r" [\w!-~]+"), 512
 
 
 def table(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
@@ -155,7 +159,8 @@ def write(
     count as empty and have the end id only; repeated rows are written each, an empty table
     gives an empty file, other columns are left out. A task holds one frame and a batch.
     """
-    spec = docs.sparkSession.sparkContext.broadcast(open(tokenizer).read())
+    with open(tokenizer) as file:
+        sent = docs.sparkSession.sparkContext.broadcast(Library(file.read()))
     rows = docs.select(
         F.col(f"`{doc_id}`").alias("doc_id"),
         F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"),
@@ -166,7 +171,7 @@ def write(
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory = Memory(_library(spec.value))
+        library = sent.value
         part, frame, first, schema = TaskContext.get().partitionId(), 0, 0, None
         held, docs_held, n = [], [], 0
 
@@ -184,7 +189,7 @@ def write(
             schema = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(ids_kind), pa.list_(pa.int64()), pa.binary()]
             for at in slices(batch.column("text")):
                 own = batch.slice(*at)
-                coded = memory.encode(own.column("text").to_pylist())
+                coded = library.encode(own.column("text").to_pylist())
                 for doc, ids in zip(own.column("doc_id").to_pylist(), coded, strict=True):
                     held.append(np.append(np.frombuffer(ids, "<u4"), np.uint32(end_id)))
                     docs_held.append(doc)
@@ -203,18 +208,56 @@ def write(
     out.write.option("compression", "none").parquet(path)
 
 
-def _library(spec: str):
-    """Encodes pieces with the tokenizers library; strings of special tokens are ordinary text."""
-    from tokenizers import Tokenizer
+class Library:
+    """The tokenizers library behind a memory of pieces, which a worker keeps for all its tasks.
 
-    own = Tokenizer.from_str(spec)
-    own.encode_special_tokens = True
-
-    def learn(new: list[str]) -> list[bytes]:
-        coded = own.encode_batch_fast(new, add_special_tokens=False)
-        return [np.array(c.ids, "<u4").tobytes() for c in coded]
+    Strings of special tokens are ordinary text. The library runs on the task's own core.
+    """
 
-    return learn
+    def __init__(self, spec: str):
+        self.spec = spec
+        self._fresh()
+
+    def __getstate__(self):
+        return {"spec": self.spec}
+
+    def __setstate__(self, state):
+        self.spec = state["spec"]
+        self._fresh()
+
+    def _fresh(self) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.own = Tokenizer.from_str(self.spec)
+        self.own.encode_special_tokens = True
+        self.memory = Memory(self._learn)
+        ids = self._ids(["\n"])[0]
+        self.line_end = int(ids[0]) if len(ids) == 1 else None
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, as little-endian unsigned 32-bit integers."""
+        return self.memory.encode(texts)
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(c.ids, "<u4") for c in self.own.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, new: list[str]) -> list[bytes]:
+        """Words without white space inside are encoded many at a time, one to a line, and told
+        apart by the id of the line's end; the others, and lines that don't come apart, by themselves."""
+        known: dict[str, bytes] = {}
+        if self.line_end is not None:
+            plain = [p for p in new if PLAIN.fullmatch(p)]
+            lines = [plain[i : i + LINES] for i in range(0, len(plain), LINES)]
+            for words, ids in zip(lines, self._ids(["\n".join(of) for of in lines]), strict=True):
+                ends = (4 * np.flatnonzero(ids == self.line_end)).tolist()
+                if len(ends) == len(words) - 1:
+                    coded = ids.tobytes()
+                    cuts = zip([0, *(e + 4 for e in ends)], [*ends, len(coded)], strict=True)
+                    known.update(zip(words, [coded[a:b] for a, b in cuts], strict=True))
+        rest = [p for p in new if p not in known]
+        known.update(zip(rest, [ids.tobytes() for ids in self._ids(rest)], strict=True))
+        return [known[p] for p in new]
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
