@@ -34,6 +34,8 @@ LOW = 1 << 31
 MAGIC = b"ranF"
 #: Words that the library is given on lines of one text, and how many words such a text has.
 PLAIN, LINES = re.compile(r" [\w!-~]+"), 512
+#: Pieces remembered with their ids in each worker; the same number of older ones stays at hand.
+REMEMBERED = 600_000
 
 
 def table(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
@@ -89,7 +91,9 @@ def encode(ids: np.ndarray) -> bytes:
     freq = freqs.astype(np.uint64)
     low = np.cumsum(freq) - freq
     packed = zlib.compress(symbols.tobytes() + freqs.tobytes(), 1)
-    at = np.searchsorted(symbols, ids)
+    places = np.zeros(int(symbols[-1]) + 1, np.int64)
+    places[symbols] = np.arange(len(symbols))
+    at = places[ids]
     lanes = max(1, min(LANES, len(ids) // 64))
     size = lanes * STEPS
     blocks = [_block(at[i : i + size], freq, low, bits, lanes) for i in range(0, len(at), size)]
@@ -231,7 +235,7 @@ class Library:
 
         self.own = Tokenizer.from_str(self.spec)
         self.own.encode_special_tokens = True
-        self.memory = Memory(self._learn)
+        self.memory = Memory(self._learn, REMEMBERED)
         ids = self._ids(["\n"])[0]
         self.line_end = int(ids[0]) if len(ids) == 1 else None
 
