@@ -23,35 +23,45 @@ FREQUENT, FREQUENT_OF_CHUNK, CHUNK = 20_000, 2_000, 1 << 21
 REMEMBERED = 500_000
 
 
+class Known(dict):
+    """Hashes of words, made when first asked for."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = found = xxhash.xxh3_64_intdigest(word)
+        return found
+
+
 class Shingles:
     """Shingle hashes of texts; hashes of words met lately are remembered."""
 
     def __init__(self, words: int):
-        self.words, self.known = words, {}
+        self.words, self.known = words, Known()
         self.factors = [np.uint64(f | 1) for f in np.random.default_rng(7).integers(1 << 62, 1 << 63, words).tolist()]
 
-    def of(self, text: str) -> tuple[str | None, np.ndarray]:
-        """A key of the word sequence (null without words) and the distinct shingles, ascending.
-        Only A to Z are lower-cased and only ASCII white space separates words."""
+    def all(self, text: str) -> tuple[list[bytes], np.ndarray]:
+        """The words and the shingles at each place. Only A to Z are lower-cased and only ASCII
+        white space separates words."""
         words = text.encode().lower().split()
         if not words:
-            return None, np.zeros(0, np.uint64)
+            return words, np.zeros(0, np.uint64)
         if len(self.known) > REMEMBERED:
-            self.known = {}
-        known = self.known
-        for w in set(words).difference(known):
-            known[w] = xxhash.xxh3_64_intdigest(w)
-        h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+            self.known = Known()
+        h = np.fromiter(map(self.known.__getitem__, words), np.uint64, len(words))
         size = min(self.words, len(words))
         x = np.full(len(words) - size + 1, size, np.uint64)
         for k in range(size):
             x = x * self.factors[k] + h[k : len(h) - size + 1 + k]
             x ^= x >> np.uint64(29)
-        return xxhash.xxh3_128_hexdigest(b" ".join(words)), np.unique(x)
+        return words, x
+
+    def of(self, text: str) -> tuple[str | None, np.ndarray]:
+        """A key of the word sequence (null without words) and the distinct shingles, ascending."""
+        words, x = self.all(text)
+        return (xxhash.xxh3_128_hexdigest(b" ".join(words)) if words else None), np.unique(x)
 
 
 def _frequent(docs: DataFrame, words: int) -> np.ndarray:
-    """Shingles of many documents, the most frequent last; at most FREQUENT of them.
+    """Shingles that occur often, the most frequent last; at most FREQUENT of them.
 
     They only settle an order, on which the results don't depend: candidates are looked up by
     other shingles as long as there are any.
@@ -70,7 +80,7 @@ def _frequent(docs: DataFrame, words: int) -> np.ndarray:
 
         for batch in batches:
             for text in batch.column("text"):
-                held.append(own.of(text.as_py())[1])
+                held.append(own.all(text.as_py())[1])
                 n += len(held[-1])
                 if n >= CHUNK:
                     yield counted()
@@ -171,10 +181,12 @@ def similar(
     tiles = _tiles(classes)
     alone = classes.select("node", F.col("node").alias("label"))
     pairs = _candidates(tiles, alone, similarity, True)
-    links = _verified(pairs, _sets(rows, classes, pairs, words), similarity)
+    sets = _sets(rows, classes, _nodes(pairs), words)
+    links = _verified(pairs, sets, similarity)
     labels = _labels(links)
     pairs = _candidates(tiles, _labelled(alone, labels), similarity, False)
-    rest = _verified(pairs, _sets(rows, classes, pairs, words), similarity)
+    further = _sets(rows, classes, _nodes(pairs).join(sets, "node", "left_anti"), words)
+    rest = _verified(pairs, sets.unionByName(further), similarity)
     if not rest.isEmpty():
         labels = _labels(links.unionByName(rest))
     named = classes.select(F.col("key").alias("_key"), "node")
@@ -224,26 +236,56 @@ def _tiles(classes: DataFrame) -> DataFrame:
     )
 
 
-def _sets(rows: DataFrame, classes: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
-    """(node, shingles) of the classes in pairs, made anew from the text of their first row."""
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+def _nodes(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+
+
+def _bitmap(x: np.ndarray) -> bytes:
+    """One bit for each shingle among 8 to 16 times as many, a power of two."""
+    size = 1 << max(6, (8 * len(x) - 1).bit_length())
+    bits = np.zeros(size, np.uint8)
+    bits[(x >> np.uint64(20)).astype(np.int64) & (size - 1)] = 1
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def _most_shared(a: bytes, b: bytes, n_a: int, n_b: int) -> int:
+    """The largest possible overlap of two sets with these bitmaps; the longer is folded."""
+    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    size = min(len(x), len(y))
+    x, y = (np.bitwise_or.reduce(z.reshape(-1, size), axis=0) for z in (x, y))
+    ones = [int(np.bitwise_count(z).sum()) for z in (x & y, x, y)]
+    return ones[0] + min(n_a - ones[1], n_b - ones[2])
+
+
+def _sets(rows: DataFrame, classes: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
+    """(node, n, bitmap, shingles) of classes, made anew from the text of their first row."""
     needed = nodes.join(classes.select("node", "key", "doc_id"), "node")
     chosen = rows.join(needed.select(F.col("doc_id").alias("_doc"), "key", "node"), F.col("doc_id").eqNullSafe(F.col("_doc")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Shingles(words)
         for batch in batches:
-            nodes, sets = [], []
+            nodes, sizes, bitmaps, sets = [], [], [], []
             for text, key, node in zip(*(batch.column(c) for c in ("text", "key", "node")), strict=True):
                 found, x = own.of(text.as_py())
                 if found == key.as_py():  # rows of one id can differ
                     nodes.append(node.as_py())
+                    sizes.append(len(x))
+                    bitmaps.append(_bitmap(x))
                     sets.append(x.view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(nodes, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["node", "shingles"]
+                [
+                    pa.array(nodes, pa.int64()),
+                    pa.array(sizes, pa.int64()),
+                    pa.array(bitmaps, pa.binary()),
+                    pa.array(sets, pa.list_(pa.int64())),
+                ],
+                names=["node", "n", "bitmap", "shingles"],
             )
 
-    made = chosen.select("text", "key", "node").mapInArrow(run, "node long, shingles array<long>")
+    made = chosen.select("text", "key", "node").mapInArrow(
+        run, "node long, n long, bitmap binary, shingles array<long>"
+    )
     made = keep(made, "sets")
     # A class has several sets only where rows repeat both id and text.
     repeated = made.groupBy("node").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
@@ -251,8 +293,19 @@ def _sets(rows: DataFrame, classes: DataFrame, pairs: DataFrame, words: int) ->
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
-    """The pairs whose sets are similar, by their exact intersection."""
+    """The pairs whose sets are similar: by bitmaps those that can be, by their exact
+    intersection those that are."""
     some, of = similarity
+
+    def possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = zip(*(batch.column(c).to_pylist() for c in ("_a", "_b", "_n", "_m")), strict=True)
+            good = [(of + some) * _most_shared(a, b, n, m) >= some * (n + m) for a, b, n, m in values]
+            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+    one = sets.select(F.col("node").alias("a"), F.col("bitmap").alias("_a"), F.col("n").alias("_n"))
+    two = sets.select(F.col("node").alias("b"), F.col("bitmap").alias("_b"), F.col("n").alias("_m"))
+    pairs = keep(pairs.join(one, "a").join(two, "b").mapInArrow(possible, "a long, b long"), "possible")
     one = sets.select(F.col("node").alias("a"), F.col("shingles").alias("_a"))
     two = sets.select(F.col("node").alias("b"), F.col("shingles").alias("_b"))
     both = pairs.join(one, "a").join(two, "b").withColumn("_same", F.size(F.array_intersect("_a", "_b")))
