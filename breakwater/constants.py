@@ -155,3 +155,16 @@ FILTERED_EXTRACT_COLUMNS = [
 
 # Name of the column that tells reconciliation runs apart in feeds, breaks and summaries.
 RUN = "Run_ID"
+
+#: The names of the analytics datasets.
+DATASETS = [
+    "reconciliation_runs",
+    "reconciliation_breaks",
+    "trade_details",
+    "desk_summary",
+    "portfolio_summary",
+    "counterparty_summary",
+    "asset_class_summary",
+    "severity_summary",
+    "break_type_summary",
+]

@@ -37,6 +37,8 @@ def row_rules(
         "TRADE_ID_BLANK": F.col("Trade_ID").isNull() | (F.trim("Trade_ID") == ""),
         "QUANTITY_NOT_POSITIVE": F.col("Quantity") <= 0,
         "PRICE_NOT_POSITIVE": F.col("Price") <= 0,
+        # A notional needs a price that fits its decimal; NaN and infinities don't.
+        "PRICE_OUT_OF_RANGE": F.col("Price").isNotNull() & F.col("Price").try_cast("decimal(20,8)").isNull(),
         "CURRENCY_OUTSIDE_DOMAIN": _outside("Currency", currencies),
         "STATUS_OUTSIDE_DOMAIN": _outside("Trade_Status", statuses),
         "SETTLED_BEFORE_TRADED": F.col("Settlement_Date") < F.col("Trade_Date"),

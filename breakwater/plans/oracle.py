@@ -268,7 +268,7 @@ _BLOCKS["defective"] = f"""
            CASE {_defect(55, 59, 'NULL')} ELSE Trader END AS Trader,
            Desk, Portfolio, Counterparty, Asset_Class, Symbol, Buy_Sell,
            CASE {_defect(10, 14, '-Quantity')} {_defect(15, 19, 'NULL')} ELSE Quantity END AS Quantity,
-           CASE {_defect(20, 24, '0.0')} {_defect(25, 29, 'NULL')} ELSE Price END AS Price,
+           CASE {_defect(20, 24, '0.0')} {_defect(25, 29, 'NULL')} {_defect(65, 69, '1e15')} ELSE Price END AS Price,
            CASE {_defect(30, 34, "'XXX'")} {_defect(35, 39, 'lower(Currency)')} ELSE Currency END AS Currency,
            CASE {_defect(40, 44, "'CANCELLED'")} {_defect(45, 49, 'NULL')} ELSE Trade_Status END AS Trade_Status, k
     FROM fo, (VALUES (1), (2)) AS copies(copy) WHERE copy = 1 OR k BETWEEN 60 AND 64
@@ -276,7 +276,8 @@ _BLOCKS["defective"] = f"""
 _BLOCKS["records"] = """
     SELECT coalesce(Trade_ID, '') AS trade_id, Counterparty AS counterparty, Asset_Class AS asset_class,
            CASE WHEN k BETWEEN 70 AND 74 THEN 0.0 ELSE coalesce(CAST(Quantity AS DOUBLE), 0.0) END AS quantity,
-           coalesce(Price, 0.0) AS price, Currency AS currency, CAST(Trade_Date AS VARCHAR) AS trade_date,
+           CAST(CASE WHEN k BETWEEN 75 AND 79 THEN '1e15' WHEN k BETWEEN 80 AND 84 THEN 'NaN'
+                WHEN k BETWEEN 85 AND 89 THEN 'Infinity' ELSE coalesce(CAST(Price AS VARCHAR), '0') END AS DOUBLE) AS price, Currency AS currency, CAST(Trade_Date AS VARCHAR) AS trade_date,
            CAST(Settlement_Date AS VARCHAR) AS settlement_date, 'DEFAULT_DESK' AS trader_id_or_book,
            'FRONT_OFFICE' AS source_system, coalesce(Trade_Status, 'NEW') AS status
     FROM defective
@@ -392,6 +393,7 @@ def _rules() -> str:
         "TRADE_ID_BLANK": "Trade_ID IS NULL OR trim(Trade_ID) = ''",
         "QUANTITY_NOT_POSITIVE": "Quantity <= 0",
         "PRICE_NOT_POSITIVE": "Price <= 0",
+        "PRICE_OUT_OF_RANGE": "Price IS NOT NULL AND TRY_CAST(Price AS DECIMAL(20,8)) IS NULL",
         "CURRENCY_OUTSIDE_DOMAIN": f"Currency IS NULL OR Currency NOT IN ({_list(C.CURRENCIES)})",
         "STATUS_OUTSIDE_DOMAIN": f"Trade_Status IS NULL OR Trade_Status NOT IN ({_list(C.TRADE_STATUSES)})",
         "SETTLED_BEFORE_TRADED": "Settlement_Date < Trade_Date",
@@ -544,7 +546,7 @@ def statements() -> dict[str, str]:
 
     json_fields = ", ".join(f"'{c}', {c}" for c in _AUDIT_COLUMNS)
     json_fields += ", 'Detected_At', strftime(Detected_At, '%Y-%m-%dT%H:%M:%S.%g'), 'Run_ID', Run_ID"
-    return {
+    found = {
         "front_office_feed": _with(["fo"], f"SELECT {FEED}, Feed_Month FROM fo"),
         "back_office_feed": _with(["bo"], f"SELECT {FEED}, Feed_Month FROM bo"),
         "scan_front_office": _with(["fo"], f"SELECT {FEED}, Feed_Month FROM fo"),
@@ -713,7 +715,7 @@ def statements() -> dict[str, str]:
         "trade_model": _with(
             ["records"],
             "SELECT *, "
-            + _money("CAST(price AS DECIMAL(20,8)) * CAST(quantity AS DECIMAL(17,4))", 4)
+            + _money("TRY_CAST(price AS DECIMAL(20,8)) * TRY_CAST(quantity AS DECIMAL(17,4))", 4)
             + " AS notional_amount FROM records",
         ),
         "trade_is_valid": _with(
@@ -775,6 +777,7 @@ def statements() -> dict[str, str]:
             ["breaks"], f"SELECT Break_ID, CAST(json_object({json_fields}) AS VARCHAR) AS Json FROM breaks"
         ),
         "run_audit_json": _with(["runs"], "SELECT * FROM runs"),
+        "summary_extract": _with(["runs"], "SELECT * FROM runs"),
         "analytics_export": _with(
             ["runs", "breaks"],
             "SELECT 'reconciliation_runs' AS Dataset, count(*) AS Row_Count FROM runs"
@@ -814,3 +817,7 @@ def statements() -> dict[str, str]:
             ["fo"], f"SELECT Break_Type, count(*) AS Injected FROM ({_truth()}) AS t GROUP BY Break_Type"
         ),
     }
+    same = [name for name in C.DATASETS if name != "reconciliation_breaks"]
+    exported = {name: found[name] for name in same}
+    exported["reconciliation_breaks"] = _with(["enriched"], "SELECT * EXCLUDE (Break_ID) FROM enriched")
+    return found | {f"analytics_export_{name}": sql for name, sql in exported.items()}

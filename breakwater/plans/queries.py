@@ -20,6 +20,7 @@ STAR_TABLES = ["lineitem", "orders", "customer", "nation", "part", "supplier"]
 OPEN_RUNS_BEFORE = 199601  # break_history appends the runs before and from this month separately
 
 _loaded: dict[tuple, ControlTables] = {}
+_written: dict[str, dict[str, DataFrame]] = {}
 _seen: dict[tuple, tuple | None] = {}  # version of the source files, for the duration of one query
 
 
@@ -117,7 +118,9 @@ def _defective(spark: SparkSession, sf_dir: str) -> DataFrame:
         {
             "Trade_ID": F.when(k < 5, F.lit(" ")).otherwise(put("Trade_ID", 5, 9, nothing)),
             "Quantity": F.when(k.between(10, 14), -F.col("Quantity")).otherwise(put("Quantity", 15, 19, nothing)),
-            "Price": F.when(k.between(20, 24), F.lit(0.0)).otherwise(put("Price", 25, 29, nothing)),
+            "Price": F.when(k.between(20, 24), F.lit(0.0))
+            .when(k.between(65, 69), F.lit(1e15))
+            .otherwise(put("Price", 25, 29, nothing)),
             "Currency": F.when(k.between(30, 34), F.lit("XXX")).otherwise(
                 put("Currency", 35, 39, F.lower("Currency"))
             ),
@@ -137,6 +140,10 @@ def _raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = feed.withColumns(
         {
             "Quantity": F.when(k.between(70, 74), F.lit("n/a")).otherwise(F.col("Quantity").cast("string")),
+            "Price": F.when(k.between(75, 79), F.lit("1e15"))
+            .when(k.between(80, 84), F.lit("NaN"))
+            .when(k.between(85, 89), F.lit("Infinity"))
+            .otherwise(F.col("Price").cast("string")),
         }
     )
     return trades.as_record(text, "FRONT_OFFICE")
@@ -296,19 +303,42 @@ def _control_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.control_status(control_tables(spark, sf_dir).counts(), _runs(spark, sf_dir))
 
 
+def _exported(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The nine analytics datasets written as CSV, once per set of control tables, and read back."""
+    control = control_tables(spark, sf_dir)
+    if control.root not in _written:
+        datasets = reports.analytics_datasets(control, PERIOD, period_of_run())
+        paths = reports.write_datasets(datasets, fresh_path(spark, "analytics"))
+        _written[control.root] = {name: files.read_csv(spark, path, datasets[name].schema) for name, path in paths.items()}
+    return _written[control.root]
+
+
 def _analytics_export(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The nine analytics datasets written as CSV, with the number of rows found in each."""
-    written = reports.write_analytics_datasets(
-        control_tables(spark, sf_dir), fresh_path(spark, "analytics"), PERIOD, period_of_run()
-    )
+    """The number of rows found in each dataset."""
     out = None
-    for name, path in written.items():
-        one = spark.read.option("header", True).csv(path).agg(F.count(F.lit(1)).alias("Row_Count"))
-        one = one.select(F.lit(name).alias("Dataset"), "Row_Count")
+    for name, rows in _exported(spark, sf_dir).items():
+        one = rows.agg(F.count(F.lit(1)).alias("Row_Count")).select(F.lit(name).alias("Dataset"), "Row_Count")
         out = one if out is None else out.unionByName(one)
     return out
 
 
+def _exported_rows(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    """All rows of one dataset."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        # How long a run took is not a function of the data.
+        return _exported(spark, sf_dir)[name].drop("Execution_Time")
+
+    return query
+
+
+def _summary_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "by-run")
+    summary = _runs(spark, sf_dir)
+    reports.write_run_extract(summary, _breaks(spark, sf_dir), path)
+    return files.read_csv(spark, f"{path}/summary", summary.schema)
+
+
 # --- data quality ------------------------------------------------------------------------------------
 
 
@@ -590,7 +620,9 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "breaks_by_category_extract": _category_extract,
         "breaks_json": _breaks_json,
         "run_audit_json": _run_audit_json,
+        "summary_extract": _summary_extract,
         "analytics_export": _analytics_export,
+        **{f"analytics_export_{name}": _exported_rows(name) for name in C.DATASETS},
         # injection
         **_injections(),
         "injected_truth": _truth,

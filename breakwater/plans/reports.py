@@ -114,8 +114,20 @@ def star_breaks(runs: DataFrame, breaks: DataFrame, trades: DataFrame, run_col:
 
 
 def write_category_extract(breaks: DataFrame, path: str) -> None:
-    """All break types as CSV, one folder per type, from one pass."""
+    """All break types as CSV, one folder per type, from one pass; a type without breaks gets a
+    file with the header alone."""
     files.write_csv(breaks, path, ["Break_Type"])
+    found = {r[0] for r in breaks.select("Break_Type").distinct().collect()}  # one row per type
+    for kind in C.BREAK_TYPES:
+        if kind not in found:
+            header = breaks.filter(F.lit(False)).drop("Break_Type").coalesce(1)
+            files.write_csv(header, f"{path}/Break_Type={kind}")
+
+
+def write_run_extract(runs: DataFrame, breaks: DataFrame, path: str) -> None:
+    """The summary of each run next to the extracts by category."""
+    files.write_csv(runs, f"{path}/summary")
+    write_category_extract(breaks, f"{path}/breaks")
 
 
 def write_json_audit(summary: DataFrame, breaks: DataFrame, path: str) -> None:
@@ -169,12 +181,16 @@ def analytics_datasets(
     }
 
 
-def write_analytics_datasets(
-    tables: ControlTables, path: str, run_col: str | None = None, run_of_break: Column | None = None
-) -> dict[str, str]:
+def write_datasets(datasets: dict[str, DataFrame], path: str) -> dict[str, str]:
     """Writes each dataset as CSV into its own folder."""
     written = {}
-    for name, df in analytics_datasets(tables, run_col, run_of_break).items():
+    for name, df in datasets.items():
         written[name] = f"{path}/{name}"
         files.write_csv(df, written[name])
     return written
+
+
+def write_analytics_datasets(
+    tables: ControlTables, path: str, run_col: str | None = None, run_of_break: Column | None = None
+) -> dict[str, str]:
+    return write_datasets(analytics_datasets(tables, run_col, run_of_break), path)

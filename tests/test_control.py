@@ -221,7 +221,12 @@ def test_category_extract_has_every_type(loaded, tmp_path):
     runs.reconcile(loaded, "R1")
     reports.write_category_extract(loaded.read(BREAKS), str(tmp_path / "cat"))
     folders = {p.name for p in (tmp_path / "cat").iterdir() if p.is_dir()}
-    assert folders == {f"Break_Type={k}" for k in (C.MISSING, C.PRICE, C.DUPLICATE)}
+    assert folders == {f"Break_Type={k}" for k in C.BREAK_TYPES}
+    empty = tmp_path / "cat" / f"Break_Type={C.UNEXPECTED}"
+    (part,) = empty.glob("part-*.csv")
+    assert part.read_text().split() == [",".join(c for c in loaded.read(BREAKS).columns if c != "Break_Type")]
+    back = files.read_csv(loaded.spark, str(tmp_path / "cat"), loaded.read(BREAKS).schema)
+    assert back.count() == 3
 
 
 def test_json_audit(loaded, spark, tmp_path):
