@@ -57,7 +57,9 @@ class Shingles:
     def of(self, text: str) -> tuple[str | None, np.ndarray]:
         """A key of the word sequence (null without words) and the distinct shingles, ascending."""
         words, x = self.all(text)
-        return (xxhash.xxh3_128_hexdigest(b" ".join(words)) if words else None), np.unique(x)
+        x.sort()
+        distinct = np.append(x[1:] != x[:-1], True) if len(x) else np.zeros(0, bool)
+        return (xxhash.xxh3_128_hexdigest(b" ".join(words)) if words else None), x[distinct]
 
 
 def _frequent(docs: DataFrame, words: int) -> np.ndarray:
@@ -104,18 +106,26 @@ def _described(docs: DataFrame, words: int, similarity: tuple[int, int]) -> Data
         own, order = Shingles(words), late.value
         by_value = np.argsort(order)
         ascending = order[by_value]
+
+        def places(x: np.ndarray) -> np.ndarray:
+            """Places in the order of frequent shingles, -1 for the others."""
+            if not len(ascending):
+                return np.full(len(x), -1)
+            at = np.minimum(np.searchsorted(ascending, x), len(ascending) - 1)
+            return np.where(ascending[at] == x, by_value[at], -1)
+
         for batch in batches:
             keys, sizes, prefixes, signatures = [], [], [], []
             for text in batch.column("text"):
                 key, x = own.of(text.as_py())
                 n = len(x)
-                place = np.full(n, -1)
-                if len(ascending) and n:
-                    at = np.minimum(np.searchsorted(ascending, x), len(ascending) - 1)
-                    place = np.where(ascending[at] == x, by_value[at], -1)
                 # Linked sets share at least the fraction of the larger one.
                 take = n - (some * n + of - 1) // of + 1 if n else 0
-                ranked = x[np.argsort(place, kind="stable")] if (place >= 0).any() else x
+                # Mostly the smaller values already hold enough shingles that are not frequent.
+                head = x[: 2 * take]
+                ranked = head[places(head) < 0]
+                if len(ranked) < take:
+                    ranked = x[np.argsort(places(x), kind="stable")]
                 bits = np.zeros(BITS, np.uint8)
                 bits[(x >> np.uint64(20)).astype(np.int64) % BITS] = 1
                 keys.append(key)
