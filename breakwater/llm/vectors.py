@@ -18,6 +18,8 @@ COSINE = 0.95
 PIVOTS_PER_ROOT, LEAST_PIVOTS, MOST_PIVOTS = 4, 32, 4096
 #: Nearest reference points that describe a vector, and how many of them a candidate shares.
 NEAREST, SHARED = 10, 2
+#: Times that the next keys are read to fill up for reference points left out.
+PAGES = 8
 #: Vectors on one side of a tile of a long pivot list.
 TILE = 1024
 
@@ -58,15 +60,42 @@ def _classes(vectors: DataFrame, vec_id: str, embedding: str) -> tuple[DataFrame
     return keyed.select("vec_id", "key"), keep(classes, "classes")
 
 
-def fit_pivots(classes: DataFrame, count: int) -> dict[int, np.ndarray]:
-    """Reference points by dimension: the distinct vectors of the ``count`` smallest keys, at most
-    4096; a dimension without enough of them gets seeded random directions."""
-    got = classes.orderBy("key").limit(count).select("unit").collect()
-    by_size: dict[int, list[np.ndarray]] = {}
-    for row in got:
-        x = np.frombuffer(bytes(row.unit), np.float64)
-        by_size.setdefault(len(x), []).append(x)
-    return {d: np.stack(v) for d, v in by_size.items() if len(v) >= 2 * NEAREST}
+def fit_pivots(classes: DataFrame, count: int, cosine: float = COSINE) -> dict[int, np.ndarray]:
+    """Reference points by dimension: distinct vectors in the order of their keys, at most 4096, none
+    near another one, so that a dense group has few of them, which its members share.
+
+    For each that is left out a next key is looked at, up to ``PAGES`` times ``count`` keys. A
+    dimension without enough of them is filled up with seeded random directions.
+    """
+    by_size: dict[int, np.ndarray] = {}
+    left, rest = count, classes
+    for _ in range(PAGES):
+        got = rest.orderBy("key").limit(count).select("key", "unit").collect()
+        fresh: dict[int, list[np.ndarray]] = {}
+        for row in got:
+            x = np.frombuffer(bytes(row.unit), np.float64)
+            fresh.setdefault(len(x), []).append(x)
+        for size, some in fresh.items():
+            known = by_size.get(size, np.empty((0, size)))
+            by_size[size] = _apart(known, np.stack(some), 2 * cosine - 1, left)
+            left -= len(by_size[size]) - len(known)
+        if not left or len(got) < count:
+            break
+        rest = classes.where(F.col("key") > got[-1].key)
+    return {d: x if len(x) >= 2 * NEAREST else np.concatenate([x, _directions(d)]) for d, x in by_size.items()}
+
+
+def _apart(known: np.ndarray, fresh: np.ndarray, near: float, most: int) -> np.ndarray:
+    """``known`` and up to ``most`` of ``fresh``, each below the cosine ``near`` to all taken before."""
+    for at in range(0, len(fresh), TILE):
+        block = fresh[at : at + TILE]
+        block = block[(block @ known.T < near).all(axis=1)]
+        close, taken = block @ block.T >= near, []
+        for k in range(len(block)):
+            if len(taken) < most and not close[k, taken].any():
+                taken.append(k)
+        known, most = np.concatenate([known, block[taken]]), most - len(taken)
+    return known
 
 
 def _directions(size: int) -> np.ndarray:
@@ -83,7 +112,9 @@ def near_vectors(
     its nearest reference points in order; every vector is entered in the inverted list of each
     of them; vectors that share enough points are compared, in the list of the smallest point
     they share, so that a link counts once. Lists longer than a tile are compared tile by tile.
-    The reference points are a bounded sample (see ``fit_pivots``); all vectors are indexed.
+    The reference points are a bounded sample, thinned where vectors are dense (see
+    ``fit_pivots``), so that a large group of near copies meets in long lists; all vectors are
+    indexed.
     What is linked is certain, some links can be missed: vectors that share too few points.
 
     Returns one row per row: vec_id, n_links (other rows linked directly), component_id (the
@@ -95,7 +126,7 @@ def near_vectors(
     rows, classes = _classes(vectors, vec_id, embedding)
     total = classes.count()
     count = int(min(MOST_PIVOTS, max(LEAST_PIVOTS, PIVOTS_PER_ROOT * total**0.5)))
-    links = _links(_lists(classes, count), cosine)
+    links = _links(_lists(classes, count, cosine), cosine)
     counts = links.groupBy("node").agg(F.sum("n").alias("_n"))
     stars = links.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
     if stars.isEmpty():
@@ -118,9 +149,9 @@ def near_vectors(
     )
 
 
-def _lists(classes: DataFrame, count: int) -> DataFrame:
+def _lists(classes: DataFrame, count: int, cosine: float) -> DataFrame:
     """Rows of the inverted lists, in tiles: size, pivot, i, j, side, node, copies, unit, near."""
-    pivots = classes.sparkSession.sparkContext.broadcast(fit_pivots(classes, count))
+    pivots = classes.sparkSession.sparkContext.broadcast(fit_pivots(classes, count, cosine))
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = pivots.value

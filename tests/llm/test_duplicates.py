@@ -172,6 +172,21 @@ def test_near_vectors_find_nearly_all(spark):
     assert found.sum() >= 0.97 * want.sum() > 0
 
 
+@pytest.mark.parametrize("n", [2400, 9600])
+def test_links_inside_a_dense_group(spark, n):
+    some = np.random.default_rng(n)
+    x = some.standard_normal((n, 64))
+    x[: n // 3] = 8 * x[0] / np.linalg.norm(x[0]) + 0.2 * x[: n // 3]
+    x[n // 3 : n // 2] = x[n // 2 : n // 2 + n // 2 - n // 3] + 0.15 * some.standard_normal((n // 2 - n // 3, 64))
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    want = np.concatenate([(unit[k : k + 1200] @ unit.T >= vectors.COSINE).sum(axis=1) for k in range(0, n, 1200)]) - 1
+    df = spark.createDataFrame([(k, v) for k, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    found = np.array([r.n_links for r in vectors.near_vectors(df).orderBy("vec_id").collect()])
+    assert (found <= want).all()
+    for part in (slice(0, n // 3), slice(n // 3, n)):  # the group, pairs
+        assert found[part].sum() >= 0.97 * want[part].sum() > 0
+
+
 @pytest.mark.parametrize("tile", [vectors.TILE, 8])
 def test_odd_vectors(spark, monkeypatch, tile):
     monkeypatch.setattr(vectors, "TILE", tile)
