@@ -247,21 +247,17 @@ def repeated_windows(groups_: list[list[tuple]]) -> list[tuple[int, int, int]]:
     texts: dict[bytes, int] = {}
     copies: list[int] = []
     users: list[tuple[int, int, int]] = []
-    out: list[tuple[int, int, int]] = []
     for contexts in groups_:
         cut = _trimmed(contexts)
         times: dict[bytes, int] = {}
         for _, _, data, n in cut:
             times[data] = times.get(data, 0) + n
-        if all(n > 1 for n in times.values()):  # copies of each other, from end to end
-            out += [(c, first, first + len(data)) for c, first, data, _ in cut]
-            continue
         for data, n in times.items():
             texts[data] = len(copies)
             copies.append(n)
         users += [(c, first, texts[data]) for c, first, data, _ in cut]
     if not copies:
-        return out
+        return []
     lengths = np.array([len(d) for d in texts])
     begins = np.r_[0, np.cumsum(lengths + 1)]
     joined = b"".join(d + b"\xff" for d in texts)  # \xff is in no UTF-8 text
@@ -288,7 +284,7 @@ def repeated_windows(groups_: list[list[tuple]]) -> list[tuple[int, int, int]]:
         high = np.r_[low[1:], len(windows)] - 1
         for o, a, b in zip(owner[low].tolist(), windows[low].tolist(), windows[high].tolist(), strict=True):
             spans.setdefault(o, []).append((a - int(begins[o]), b - int(begins[o]) + LENGTH))
-    return out + [(c, first + a, first + b) for c, first, k in users for a, b in spans.get(k, ())]
+    return [(c, first + a, first + b) for c, first, k in users for a, b in spans.get(k, ())]
 
 
 def _contexts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -392,7 +388,7 @@ def _spans(docs: DataFrame) -> DataFrame:
         ),
         "anchors",
     )
-    # A run that all its copies share whole needs no sorting; neither does a class of copies.
+    # A run that all its copies share whole needs no sorting.
     sorted_ = classes.join(anchors_.where("_classes > 1 OR _self = 1"), "h").select(
         "h", "x", "size", "place", "n", "one", (F.col("_classes") > HOT).alias("hot")
     )

@@ -79,6 +79,15 @@ def test_repeats_of_odd_texts(spark, monkeypatch, hot):
     assert suffixes.digests(docs.limit(0)).count() == 0
 
 
+def test_contexts_that_are_copies_are_sorted(monkeypatch):
+    some, seen, plain = random.Random(6), [], suffixes.suffix_array
+    monkeypatch.setattr(suffixes, "suffix_array", lambda text: seen.append(text) or plain(text))
+    passage = bytes(some.choice(b"abcdefgh") for _ in range(260))
+    contexts = [(0, b"x" * 40 + passage, 1, 140), (1, b"y" * 30 + passage, 1, 130)]
+    assert sorted(suffixes.repeated_windows([contexts])) == [(0, 40, 300), (1, 30, 290)]
+    assert len(seen) == 1 and passage in seen[0]
+
+
 def groups(pairs, words, some, of):
     sets = []
     for _, text in pairs:
