@@ -410,7 +410,9 @@ def _spans(docs: DataFrame) -> DataFrame:
     return keep(spans.agg(F.collect_set(F.struct("low", "high")).alias("spans")), "spans")
 
 
-def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", characters: bool = False
+) -> DataFrame:
     """Removes each byte covered by a string of 200 bytes that also starts anywhere else.
 
     Windows of 200 bytes are looked up by the smallest hash of the anchors they hold, so that
@@ -422,7 +424,8 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     over all tasks. Strings are judged on the input and may overlap, in one document too.
 
     Returns doc_id, n_bytes, kept (binary, the remaining bytes; not always whole characters),
-    n_removed, n_spans (maximal removed runs). Null texts count as empty; rows of one doc_id
+    n_removed, n_spans (maximal removed runs), with ``characters`` also text: the characters that
+    remain whole, without the pieces at the ends of removed runs. Null texts count as empty; rows of one doc_id
     are texts each, repeated rows repeat each other's strings; an empty table gives no rows;
     other columns are ignored.
     """
@@ -434,7 +437,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, kept, removed, count = [], [], [], []
+            sizes, kept, removed, count, whole = [], [], [], [], []
             for own, spans in zip(batch.column("text"), batch.column("spans"), strict=True):
                 data, at, parts, n = own.as_py().encode(), 0, [], 0
                 for low, high in merged([(s["low"], s["high"]) for s in spans.as_py() or []]):
@@ -445,6 +448,8 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
                 kept.append(b"".join(parts))
                 removed.append(len(data) - len(kept[-1]))
                 count.append(n)
+                if characters:  # each part by itself: pieces of two characters could make up a third
+                    whole.append("".join([p.decode("utf-8", "ignore") for p in parts]))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
@@ -452,13 +457,15 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
                     pa.array(kept, pa.binary()),
                     pa.array(removed, pa.int64()),
                     pa.array(count, pa.int64()),
+                    *([pa.array(whole, pa.string())] if characters else []),
                 ],
-                names=["doc_id", "n_bytes", "kept", "n_removed", "n_spans"],
+                names=["doc_id", "n_bytes", "kept", "n_removed", "n_spans", *(["text"] if characters else [])],
             )
 
     spans = _spans(rows)
     joined = rows.join(spans, F.col("key") == F.col("_key"), "left").select("doc_id", "text", "spans")
-    return joined.mapInArrow(run, f"doc_id {kind}, n_bytes long, kept binary, n_removed long, n_spans long")
+    schema = f"doc_id {kind}, n_bytes long, kept binary, n_removed long, n_spans long"
+    return joined.mapInArrow(run, schema + ", text string" if characters else schema)
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:

@@ -38,11 +38,7 @@ def repeats_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     cut by that go as well; n_chars is counted anew; documents left without text stay."""
     others = [c for c in docs.columns if c != "text"]
     rows = docs.select(F.struct(*others).alias("_id"), "text")
-    kept = suffixes.remove_repeats(rows, doc_id="_id")
-    valid = F.when(F.expr("is_valid_utf8(kept)"), F.col("kept").cast("string")).otherwise(
-        F.replace(F.expr("make_valid_utf8(kept)"), F.lit("�"), F.lit(""))
-    )
-    clean = kept.select("doc_id.*", F.when(F.col("n_removed") > 0, valid).otherwise(F.col("kept").cast("string")).alias("text"))
+    clean = suffixes.remove_repeats(rows, doc_id="_id", characters=True).select("doc_id.*", "text")
     if "n_chars" in others:
         clean = clean.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
     return clean.select(*docs.columns)

@@ -99,6 +99,15 @@ def test_odd_rows_run_through(spark, tmp_path):
     assert pipeline.run(spark, str(empty)).count() == 0
 
 
+def test_only_cut_characters_go_with_repeats(spark):
+    one, two = ("".join(chr(97 + (k * k * m) % 23) + str(k) for k in range(120)) for m in (3, 5))
+    texts = [f"keep \ufffd one é{one}é tail one", f"other \ufffd two ĩ{one}ã end two", f"x \ufffd é{two}1", f"y \ufffd ĩ{two}2"]
+    docs = spark.createDataFrame([(k, t, 0) for k, t in enumerate(texts)], "doc_id long, text string, n_chars long")
+    got = [tuple(r) for r in pipeline.repeats_out(spark, docs, "").orderBy("doc_id").collect()]
+    want = ["keep \ufffd one  tail one", "other \ufffd two  end two", "x \ufffd 1", "y \ufffd 2"]
+    assert got == [(k, t, len(t)) for k, t in enumerate(want)]
+
+
 def test_untrained_scores_are_zero(spark):
     docs = spark.createDataFrame([(1, "idiot"), (None, None), (1, "idiot")], "doc_id long, text string")
     none = spark.createDataFrame([], "doc_id long, toxic int")
