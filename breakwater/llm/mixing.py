@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from breakwater.llm.tables import keep, numbered, partitions
+from breakwater.llm.tables import free, keep, numbered, partitions
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Weights of the sources, by code point and repeating.
@@ -138,18 +138,19 @@ def _share(sources: DataFrame) -> float:
         left, each = (capped, weight), (whole[0] - capped) / weight
 
 
-def curriculum(docs: DataFrame, **options) -> DataFrame:
+def curriculum(docs: DataFrame, position: str = "position", **options) -> DataFrame:
     """The documents as training reads them: one row per copy, range-sorted by position.
 
-    All columns of ``docs`` plus ``position``, which must not be among them; options as in
-    ``schedule``. A document taken n times has n rows, one that the mix leaves out has none. The
+    All columns of ``docs`` plus the position, by a name that must not be among them; options as
+    in ``schedule``. A document taken n times has n rows, one that the mix leaves out has none. The
     document of a source inside which its reading ends is given whole. Rows are told apart by a
     number written with them, so repeated rows are planned and copied one by one.
     """
-    rows = keep(docs.withColumn("_doc", F.monotonically_increasing_id()), "documents")
-    plan = schedule(rows, carry=("_doc",), **options)
-    copies = plan.select("_doc", F.explode("positions").alias("position"))
-    mixed = rows.join(copies, "_doc")
-    return mixed.repartitionByRange(partitions(docs.sparkSession), "position", "_doc").sortWithinPartitions(
-        "position", "_doc"
-    ).drop("_doc")
+    doc = free("_doc", [*docs.columns, position])
+    rows = keep(docs.withColumn(doc, F.monotonically_increasing_id()), "documents")
+    plan = schedule(rows, carry=(doc,), **options)
+    copies = plan.select(doc, F.explode("positions").alias(position))
+    mixed = rows.join(copies, doc)
+    return mixed.repartitionByRange(partitions(docs.sparkSession), position, doc).sortWithinPartitions(
+        position, doc
+    ).drop(doc)

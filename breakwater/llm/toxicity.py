@@ -130,9 +130,14 @@ def train(
 
 
 def score(
-    docs: DataFrame, weights: tuple[np.ndarray, np.ndarray], doc_id: str = "doc_id", text: str = "text"
+    docs: DataFrame,
+    weights: tuple[np.ndarray, np.ndarray],
+    doc_id: str = "doc_id",
+    text: str = "text",
+    name: str = "_toxicity",
 ) -> DataFrame:
-    """Every row of ``docs`` with all its columns and ``_toxicity``, its score from 0 to 1.
+    """Every row of ``docs`` with all its columns and its score from 0 to 1, by a ``name`` that must
+    not be among them.
 
     The text alone makes the score; a null text counts as empty. A feature counts once however
     often it occurs. Without weights, as when nothing was labelled, every score is 0. The
@@ -156,10 +161,10 @@ def score(
                 hit = x[dense[x] != 0.0]
                 scores.append(_sigmoid(dense[BIAS] + dense[np.unique(hit)].sum()))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(scores, pa.float64())], names=[*batch.schema.names, "_toxicity"]
+                [*batch.columns, pa.array(scores, pa.float64())], names=[*batch.schema.names, name]
             )
 
-    schema = T.StructType([*docs.schema.fields, T.StructField("_toxicity", T.DoubleType())])
+    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())])
     return docs.mapInArrow(run, schema)
 
 

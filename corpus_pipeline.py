@@ -13,24 +13,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from breakwater.llm import bpe, jaccard, mixing, suffixes, toxicity
-from breakwater.llm.tables import keep
+from breakwater.llm.tables import free, keep
 
 
 def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that the classifier, fitted on the labels of ``sf_dir``, calls toxic."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     weights = toxicity.train(docs, labels)
-    return toxicity.score(docs, weights).where(F.col("_toxicity") < toxicity.THRESHOLD).select(*docs.columns)
+    name = free("_toxicity", docs.columns)
+    return toxicity.score(docs, weights, name=name).where(F.col(name) < toxicity.THRESHOLD).select(*docs.columns)
 
 
 def near_duplicates_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the row of the smallest doc_id of each group that shares five-word shingles at a
     similarity of 0.8 or more; rows without words are kept."""
-    rows = keep(docs.withColumn("_row", F.monotonically_increasing_id()), "documents")
-    named = rows.select(F.struct("doc_id", "_row").alias("_id"), "text")
+    row = free("_row", docs.columns)
+    rows = keep(docs.withColumn(row, F.monotonically_increasing_id()), "documents")
+    named = rows.select(F.struct("doc_id", F.col(row).alias("_row")).alias("_id"), "text")
     groups = jaccard.similar(named, words=5, similarity=(4, 5), doc_id="_id")
-    kept = groups.where("doc_id = component_id").select(F.col("doc_id._row").alias("_row"))
-    return rows.join(kept, "_row", "left_semi").select(*docs.columns)
+    kept = groups.where("doc_id = component_id").select(F.col("doc_id._row").alias(row))
+    return rows.join(kept, row, "left_semi").select(*docs.columns)
 
 
 def repeats_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,7 +48,8 @@ def repeats_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeats and leaves out documents so that sources meet their weights, in training order."""
-    return mixing.curriculum(docs).drop("position")
+    position = free("position", docs.columns)
+    return mixing.curriculum(docs, position).drop(position)
 
 
 def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
