@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from breakwater.llm import bpe, chat, jaccard, mixing, prints, sharding, suffixes, tokenfiles, toxicity, vectors
+from breakwater.llm import (
+    bpe,
+    chat,
+    clusters,
+    codes,
+    exact,
+    jaccard,
+    mixing,
+    prints,
+    sharding,
+    suffixes,
+    tokenfiles,
+    toxicity,
+    vectors,
+)
 
 #: The id that ends a document in the token files.
 END_ID = 2
@@ -87,6 +101,20 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.cluster_vectors(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.compress(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The digest of every text is a column of its own; the operator hashes only texts that may have a copy.
+    digest = F.sha2(exact.normalised("text"), 256).alias("text_sha256")
+    return exact.deduplicate(_table(spark, sf_dir, "documents"), carry=[digest])
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sharding": op1_sharding,
@@ -99,6 +127,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_mixing": op8_mixing,
         "op9_fingerprints": op9_fingerprints,
         "op10_token_files": op10_token_files,
+        "op11_clusters": op11_clusters,
+        "op12_codes": op12_codes,
+        "op13_exact": op13_exact,
     }
 
 
@@ -183,5 +214,128 @@ FROM rested
 """
 
 
+#: Distances come from exact products; the mean of whole numbers is rounded down.
+_MEAN = "CAST((sum(v) - ((sum(v) % count(*)) + count(*)) % count(*)) // count(*) AS BIGINT)"
+
+
+def _clusters_sql() -> str:
+    """One pair of steps for each round: assign all vectors, then move the centroids."""
+    steps = [
+        """kept AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS p
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+),
+c0 AS MATERIALIZED (
+  SELECT CAST(row_number() OVER (ORDER BY h) - 1 AS INTEGER) AS cluster, p
+  FROM (SELECT sha256('3:' || CAST(vec_id AS VARCHAR)) AS h, p FROM kept ORDER BY h LIMIT 8)
+)"""
+    ]
+    for k in range(clusters.ROUNDS + 1):
+        steps.append(
+            f"""d{k} AS (
+  SELECT vec_id, k.p, c.cluster,
+         CAST(list_sum(list_transform(range(1, 65), lambda i: (k.p[i] - c.p[i]) * (k.p[i] - c.p[i]))) AS BIGINT) AS distance
+  FROM kept k, c{k} c
+),
+a{k} AS MATERIALIZED (
+  SELECT vec_id, any_value(p) AS p, min_by(cluster, (distance, cluster)) AS cluster, min(distance) AS distance
+  FROM d{k} GROUP BY vec_id
+)"""
+        )
+        if k < clusters.ROUNDS:
+            steps.append(
+                f"""m{k} AS (
+  SELECT cluster, list(v ORDER BY place) AS p
+  FROM (SELECT cluster, place, {_MEAN} AS v
+        FROM (SELECT cluster, unnest(p) AS v, unnest(range(64)) AS place FROM a{k}) GROUP BY cluster, place)
+  GROUP BY cluster
+),
+c{k + 1} AS MATERIALIZED (
+  SELECT c.cluster, coalesce(m.p, c.p) AS p FROM c{k} c LEFT JOIN m{k} m ON c.cluster = m.cluster
+)"""
+            )
+    last = clusters.ROUNDS
+    return "WITH " + ",\n".join(steps) + f"""
+SELECT vec_id, a.cluster, distance,
+       CAST(sum(distance) OVER (PARTITION BY a.cluster) AS BIGINT) AS cluster_inertia,
+       CAST(sum(distance) OVER () AS BIGINT) AS inertia,
+       sha256(list_aggregate(list_transform(c.p, lambda x: CAST(x AS VARCHAR)), 'string_agg', ',')) AS centroid_sha256
+FROM a{last} a JOIN c{last} c ON a.cluster = c.cluster
+"""
+
+
+def _codes_sql() -> str:
+    """As ``_clusters_sql``, for each of eight parts of a vector and 16 entries."""
+    steps = [
+        """kept AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS p
+  FROM embeddings
+  WHERE len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+),
+parts AS MATERIALIZED (
+  SELECT vec_id, part, p[part * len(p) // 8 + 1 : (part + 1) * len(p) // 8] AS p
+  FROM kept, (SELECT unnest(range(8)) AS part)
+),
+c0 AS MATERIALIZED (
+  SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry, p
+  FROM parts WHERE vec_id IN (SELECT vec_id FROM kept ORDER BY vec_id LIMIT 16)
+)"""
+    ]
+    for k in range(codes.ROUNDS + 1):
+        steps.append(
+            f"""d{k} AS (
+  SELECT vec_id, k.part, k.p, c.entry,
+         CAST(list_sum(list_transform(range(1, len(k.p) + 1), lambda i: (k.p[i] - c.p[i]) * (k.p[i] - c.p[i]))) AS BIGINT) AS distance
+  FROM parts k JOIN c{k} c ON k.part = c.part
+),
+a{k} AS MATERIALIZED (
+  SELECT vec_id, part, any_value(p) AS p, min_by(entry, (distance, entry)) AS entry, min(distance) AS distance
+  FROM d{k} GROUP BY vec_id, part
+)"""
+        )
+        if k < codes.ROUNDS:
+            steps.append(
+                f"""m{k} AS (
+  SELECT part, entry, list(v ORDER BY place) AS p
+  FROM (SELECT part, entry, place, {_MEAN} AS v
+        FROM (SELECT part, entry, unnest(p) AS v, unnest(range(len(p))) AS place FROM a{k}) GROUP BY part, entry, place)
+  GROUP BY part, entry
+),
+c{k + 1} AS MATERIALIZED (
+  SELECT c.part, c.entry, coalesce(m.p, c.p) AS p
+  FROM c{k} c LEFT JOIN m{k} m ON c.part = m.part AND c.entry = m.entry
+)"""
+            )
+    last = codes.ROUNDS
+    return "WITH " + ",\n".join(steps) + f""",
+whole AS (
+  SELECT vec_id, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, CAST(sum(distance) AS BIGINT) AS error
+  FROM a{last} GROUP BY vec_id
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(list_aggregate(list_transform(p, lambda x: CAST(x AS VARCHAR)), 'string_agg', ','), ','
+                                 ORDER BY part, entry)) FROM c{last}) AS codebooks_sha256
+FROM whole JOIN kept USING (vec_id)
+"""
+
+
+EXACT_SQL = """
+WITH n AS (
+  SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents
+)
+SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+       doc_id = max(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256
+FROM n
+"""
+
+
 def statements() -> dict[str, str]:
-    return {"op6_chat": CHAT_SQL, "op8_mixing": MIXING_SQL}
+    return {
+        "op6_chat": CHAT_SQL,
+        "op8_mixing": MIXING_SQL,
+        "op11_clusters": _clusters_sql(),
+        "op12_codes": _codes_sql(),
+        "op13_exact": EXACT_SQL,
+    }

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+#: A group with more than one row in so many is joined by broadcast; there are fewer than this many of them.
+HOT_SHARE = 1000
 #: monotonically_increasing_id() holds the partition above these bits and the row below them.
 ROW_BITS = 33
 
@@ -82,3 +85,20 @@ def numbered(
             F.col("_base_sum") + F.coalesce(F.sum(running).over(inside), F.lit(0)),
         )
     return out.drop("_row", "_part", "_base", "_base_sum")
+
+
+def attach(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, total: int) -> DataFrame:
+    """``rows`` with the figures of their group, null where ``groups`` lists none; null is a key like others.
+
+    ``groups`` has one row per key, of which ``size`` says how many of the ``total`` rows it holds.
+    Groups beyond a share of 1 / ``HOT_SHARE`` come to their rows by broadcast, so no task gets all
+    rows of a hot key; the others meet theirs in a shuffle. Both tables should be written ones, as
+    they are read twice.
+    """
+    own = {k: f"_{k}" for k in keys}
+    named = groups.select(*[F.col(c).alias(own.get(c, c)) for c in groups.columns])
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(o)) for k, o in own.items()])
+    is_hot = F.col(size) * HOT_SHARE > total
+    hot, cold = F.broadcast(named.where(is_hot)), named.where(~is_hot)
+    joined = rows.join(hot, same).unionByName(rows.join(hot, same, "left_anti").join(cold, same, "left"))
+    return joined.drop(*own.values())
