@@ -213,6 +213,14 @@ def entity_exposure(
 # --- runs -----------------------------------------------------------------------------------------
 
 
+def run_sizes(front: DataFrame, back: DataFrame) -> list[DataFrame]:
+    """Rows of each feed per run."""
+    return [
+        feed.groupBy(C.RUN).agg(F.count(F.lit(1)).alias(name))
+        for feed, name in ((front, "Front_Count"), (back, "Back_Count"))
+    ]
+
+
 def run_summary(front: DataFrame, back: DataFrame, breaks: DataFrame) -> DataFrame:
     """One row per run: feed sizes, breaks by type and severity, matched trades and match rate.
 
@@ -220,6 +228,11 @@ def run_summary(front: DataFrame, back: DataFrame, breaks: DataFrame) -> DataFra
     inputs are aggregated per run first and then merged, so a run without breaks is kept and no
     join is needed.
     """
+    return summary_of(run_sizes(front, back), breaks)
+
+
+def summary_of(sizes: Sequence[DataFrame], breaks: DataFrame) -> DataFrame:
+    """``run_summary`` for feeds whose sizes per run are known."""
     types = list(C.RUN_COUNT_COLUMNS.items())
     severities = list(C.SEVERITY_COUNT_COLUMNS.items())
     measures = ["Front_Count", "Back_Count", "_unmatched", *[c for _, c in types], *[c for _, c in severities]]
@@ -230,15 +243,7 @@ def run_summary(front: DataFrame, back: DataFrame, breaks: DataFrame) -> DataFra
         *[_count_if(F.col("Break_Type") == kind).alias(c) for kind, c in types],
         *[_count_if(F.col("Severity") == s).alias(c) for s, c in severities],
     )
-    merged = _union_measures(
-        C.RUN,
-        measures,
-        [
-            front.groupBy(C.RUN).agg(F.count(F.lit(1)).alias("Front_Count")),
-            back.groupBy(C.RUN).agg(F.count(F.lit(1)).alias("Back_Count")),
-            per_run_breaks,
-        ],
-    )
+    merged = _union_measures(C.RUN, measures, [*sizes, per_run_breaks])
     matched = F.greatest(F.lit(0).cast("long"), F.col("Front_Count") - F.col("_unmatched"))
     return merged.withColumn("Matched_Count", matched).select(
         C.RUN,

@@ -194,6 +194,19 @@ _BLOCKS["runs"] = f"""
     FROM ({_summary("'REC_' || Feed_Month")}) AS s
 """
 
+_ONLY_MISSING = ", ".join(
+    f"{'Front_Count - Back_Count' if c in (C.RUN_COUNT_COLUMNS[C.MISSING], C.SEVERITY_COUNT_COLUMNS[C.SEVERITY_BY_BREAK[C.MISSING]]) else '0'} AS {c}"
+    for c in _RUN_COUNTS
+)
+# Second runs of a year whose BO rows were corrected to FO's, but for the missing ones.
+_BLOCKS["corrected"] = f"""
+    SELECT 'REC_' || Feed_Month || '_2' AS Run_ID, Front_Count, Back_Count, Back_Count AS Matched_Count, {_ONLY_MISSING},
+           {_percent('Back_Count', 'Front_Count')} AS Match_Percentage,
+           CAST(last_day(make_date(Feed_Month // 100, Feed_Month % 100, 1)) AS TIMESTAMP) AS Created_At
+    FROM (SELECT Feed_Month, count(*) AS Front_Count, {_count("k > 17", "Back_Count")} FROM fo
+          WHERE Feed_Month // 100 = 1996 GROUP BY Feed_Month) AS y
+"""
+
 _ATTRIBUTES = list(C.ENRICHMENT_DEFAULTS)
 _BLOCKS["bo_first"] = f"""
     SELECT Feed_Month, Trade_ID, {', '.join(_ATTRIBUTES)}, Quantity, Price
@@ -332,6 +345,7 @@ _DEPENDS = {
     "found": ["fo", "bo"],
     "breaks": ["found"],
     "runs": ["breaks"],
+    "corrected": ["fo"],
     "bo_first": ["bo"],
     "enriched": ["breaks", "bo_first"],
     "keyed": ["breaks"],
@@ -581,6 +595,10 @@ def statements() -> dict[str, str]:
         "run_summary": _with(["breaks"], _summary("'REC_ALL'")),
         "backfill_runs": _with(["runs"], "SELECT * FROM runs"),
         "break_history": _with(["breaks"], stored),
+        "rerun_history": _with(["runs"], "SELECT * FROM runs"),
+        "backfill_changed": _with(
+            ["runs", "corrected"], "SELECT * FROM runs UNION ALL BY NAME SELECT * FROM corrected"
+        ),
         "reconciliation_runs": _with(
             ["runs"], f"SELECT {_HISTORY}, {_TOTAL} AS Total_Breaks, {', '.join(_ALL_SEVERITIES)} FROM runs"
         ),

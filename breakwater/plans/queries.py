@@ -17,7 +17,8 @@ from breakwater.sources.star_feeds import PERIOD, as_of, fault_bucket, key_parts
 from breakwater.sources.tables import ACTIONS, BACK, BREAKS, FRONT, RUNS, ControlTables
 
 STAR_TABLES = ["lineitem", "orders", "customer", "nation", "part", "supplier"]
-OPEN_RUNS_BEFORE = 199601  # break_history appends the runs before and from this month separately
+OPEN_RUNS_BEFORE = 199601  # break_history records the runs before and from this month separately
+CORRECTED_YEAR, RELOADED_YEAR = 1996, 1994  # backfill_changed loads these again, changed and unchanged
 
 _loaded: dict[tuple, ControlTables] = {}
 _written: dict[str, dict[str, DataFrame]] = {}
@@ -245,14 +246,58 @@ def _csv_roundtrip(table: str) -> Callable[[SparkSession, str], DataFrame]:
     return query
 
 
-def _break_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two batches of runs, appended one after the other."""
+def _copied(spark: SparkSession, sf_dir: str, name: str) -> ControlTables:
+    """Control tables of their own with the same feeds, to change and record in."""
+    front, back = _feeds(spark, sf_dir)
+    control = ControlTables(spark, fresh_path(spark, name), PERIOD)
+    control.replace_feed(front, FRONT, in_order=True)
+    control.replace_feed(back, BACK, in_order=True)
+    return control
+
+
+def _recorded_in_batches(spark: SparkSession, sf_dir: str) -> ControlTables:
+    """Two batches of periods, loaded and recorded one after the other; in between a job that is lost,
+    and one that is refused as its runs are on record."""
     front, back = _feeds(spark, sf_dir)
     history = ControlTables(spark, fresh_path(spark, "history"), PERIOD)
     for batch in (F.col(PERIOD) < OPEN_RUNS_BEFORE, F.col(PERIOD) >= OPEN_RUNS_BEFORE):
-        found = runs.detect_runs(front.filter(batch), back.filter(batch), run_id(), as_of(), PERIOD)
-        history.store_breaks(found)
-    return history.read(BREAKS)
+        history.replace_feed(front.filter(batch), FRONT, in_order=True)
+        history.replace_feed(back.filter(batch), BACK, in_order=True)
+        # Breaks at another tolerance, written and never published.
+        lost = runs.detect_runs(front.filter(batch), back.filter(batch), run_id(), as_of(), PERIOD, 75.0)
+        history.store_breaks(lost, history.begin())
+        reconcile_all(history)
+        try:
+            reconcile_all(history)
+        except ValueError:
+            continue
+        raise RuntimeError("runs on record were recorded again")
+    return history
+
+
+def _break_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _recorded_in_batches(spark, sf_dir).read(BREAKS)
+
+
+def _rerun_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _recorded_in_batches(spark, sf_dir).read(RUNS).drop("Execution_Time")
+
+
+def _backfill_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All periods, then those of one year again after BO was corrected: FO's rows, but for the missing ones.
+
+    Another year is loaded once more as it was; its files are new, its rows are not, so no run follows.
+    """
+    control = _copied(spark, sf_dir, "changed")
+    runs.reconcile_changed(control, run_id(), as_of(), ids_checked=True)
+    front, back = _feeds(spark, sf_dir)
+    year = F.col(PERIOD) / 100
+    front = _bucketed(front.filter(year.cast("int") == CORRECTED_YEAR))
+    control.load_periods(front.filter(~star_feeds.hit("missing")).drop(*star_feeds.BUCKETS), BACK)
+    control.load_periods(back.filter(year.cast("int") == RELOADED_YEAR), BACK)
+    second = F.concat(run_id(), F.lit("_2"))
+    runs.reconcile_changed(control, second, as_of(), ids_checked=True)
+    return control.read(RUNS).drop("Execution_Time")
 
 
 def _category_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -541,6 +586,8 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "run_summary": _one_run,
         "backfill_runs": _backfill,
         "break_history": _break_history,
+        "rerun_history": _rerun_history,
+        "backfill_changed": _backfill_changed,
         "reconciliation_runs": lambda s, d: summarise.run_history(_runs(s, d)),
         "latest_run": lambda s, d: summarise.latest_run(_runs(s, d)),
         "match_rate_trend": lambda s, d: summarise.match_rate_trend(_runs(s, d)),

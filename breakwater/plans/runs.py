@@ -14,8 +14,14 @@ from breakwater import constants as C
 from breakwater.functions import break_id
 from breakwater.operators import quality
 from breakwater.operators.detect import all_breaks, field_rules
-from breakwater.operators.summarise import run_summary
-from breakwater.sources.tables import BACK, BREAKS, FRONT, ControlTables
+from breakwater.operators.summarise import run_summary, summary_of
+from breakwater.sources.shared import shared_dir
+from breakwater.sources.tables import BACK, FRONT, INPUTS, RUNS, SCHEMAS, ControlTables
+
+#: Feed columns that decide about breaks.
+COMPARED = ["Trade_ID", *[rule.column for rule in field_rules()]]
+#: What is known of a period's last run, under names that keep apart from what is true now.
+_KNOWN = {f"_{f.name}": f.dataType for f in SCHEMAS[INPUTS] if f.name != "Period"}
 
 
 def new_run_id(now: datetime | None = None) -> str:
@@ -56,9 +62,49 @@ def summarise_runs(
     return run_summary(front, back, breaks).withColumn("Created_At", created_at)
 
 
-def _run_ids(run_id: Column, *feeds: DataFrame) -> DataFrame:
-    """The runs that the feeds have rows of."""
-    return reduce(DataFrame.unionByName, [feed.select(run_id.alias(C.RUN)) for feed in feeds]).distinct()
+def _sizes(run_id: Column, front: DataFrame, back: DataFrame, *digest: Column) -> DataFrame:
+    """(run, Front_Count, Back_Count) of the feeds, and a digest of each side's rows: one row per run, written down."""
+    parts = []
+    for feed, side in ((front, "Front"), (back, "Back")):
+        own = F.sum(F.xxhash64(*digest).cast("decimal(20,0)")) if digest else F.lit(None)
+        named = feed.withColumn(C.RUN, run_id).groupBy(C.RUN)
+        parts.append(named.agg(F.count(F.lit(1)).alias(f"{side}_Count"), own.cast("decimal(38,0)").alias(f"{side}_Digest")))
+    both = parts[0].unionByName(parts[1], allowMissingColumns=True)
+    columns = ["Front_Count", "Back_Count", "Front_Digest", "Back_Digest"]
+    shared_dir(front.sparkSession)
+    return both.groupBy(C.RUN).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in columns]).checkpoint()
+
+
+def _require_sizes(sizes: DataFrame) -> None:
+    """Refuses feeds without rows."""
+    rows = sizes.agg(F.sum("Front_Count"), F.sum("Back_Count")).first()
+    for count, table in zip(rows, (FRONT, BACK), strict=True):
+        if not count:
+            raise quality.FeedRejected(f"{table}: no rows")
+
+
+def _record(
+    tables: ControlTables,
+    feeds: tuple[DataFrame, DataFrame],
+    sizes: DataFrame,
+    run_id: Column,
+    as_of: Column,
+    run_col: str | None,
+    price_tolerance: float,
+    inputs: DataFrame | None = None,
+) -> None:
+    """Detects the breaks of the feeds' runs and records them with their summaries, in one attempt."""
+    started = time.perf_counter()
+    checked = tables.require_new_runs(sizes)
+    attempt = tables.begin()
+    stored = tables.store_breaks(detect_runs(*feeds, run_id, as_of, run_col, price_tolerance), attempt)
+    counts = sizes.select(C.RUN, "Front_Count", "Back_Count")
+    summary = summary_of([counts], stored).withColumn("Created_At", as_of)
+    elapsed = round(time.perf_counter() - started, 4)
+    tables.store_runs(summary.withColumn("Execution_Time", F.lit(elapsed)), attempt)
+    if inputs is not None:
+        tables.store_inputs(inputs, attempt)
+    tables.publish(attempt, checked)
 
 
 def reconcile_runs(
@@ -71,26 +117,83 @@ def reconcile_runs(
 ) -> None:
     """Reconciles the loaded feeds and records breaks and summaries.
 
-    One job covers as many runs as ``run_col`` has values. Nothing is written if a run is already
-    recorded or a row belongs to none. Breaks are written first, in place of what a lost job may
-    have left of these runs, and the summaries are computed from the written table: the
-    detection runs once, and a lost job can be repeated. ``ids_checked`` says that the FO ids are
-    known to be unique, which saves a shuffle.
+    One job covers as many runs as ``run_col`` has values. Nothing is recorded if a run is on record
+    by the time the job ends, or a row belongs to none. Breaks are written first and the summaries
+    are computed from them, so the detection runs once; all of it counts from the moment the
+    attempt is published, and a lost job leaves nothing that is seen. ``ids_checked`` says that the FO
+    ids are known to be unique, which saves a shuffle.
     """
-    started = time.perf_counter()
-    front, back = tables.read(FRONT), tables.read(BACK)
-    quality.require_rows(front, FRONT)
-    quality.require_rows(back, BACK)
+    feeds = tables.read(FRONT), tables.read(BACK)
     if not ids_checked:
-        quality.require_unique_ids(front, FRONT, run_col)
-    ids = _run_ids(run_id, front, back)
-    tables.require_new_runs(ids)
-    tables.store_breaks(detect_runs(front, back, run_id, as_of, run_col, price_tolerance), ids)
-    # The few ids prune the partitions of the history.
-    stored = tables.read(BREAKS).join(ids, [C.RUN], "left_semi")
-    summary = summarise_runs(front, back, stored, run_id, as_of)
-    elapsed = round(time.perf_counter() - started, 4)
-    tables.store_runs(summary.withColumn("Execution_Time", F.lit(elapsed)))
+        quality.require_unique_ids(feeds[0], FRONT, run_col)
+    sizes = _sizes(run_id, *feeds)
+    _require_sizes(sizes)
+    _record(tables, feeds, sizes, run_id, as_of, run_col, price_tolerance)
+
+
+def reconcile_changed(
+    tables: ControlTables,
+    run_id: Column,
+    as_of: Column,
+    price_tolerance: float = C.PRICE_TOLERANCE,
+    ids_checked: bool = False,
+) -> list[int]:
+    """Reconciles the periods whose feeds differ from those of their last run; returns these periods.
+
+    A period whose files are the ones of its last run is not read. One with other files is read
+    for a digest of its rows (of the columns that are compared, in any order); if the rows turn out to be the same, only the names of the files
+    are noted. ``run_id`` has to give new names, as runs stay on record. Another tolerance makes
+    all periods count as changed. Periods that have left the feeds are not looked at.
+    """
+    period = tables.period
+    if not period:
+        raise ValueError("the feeds have no periods")
+    now = tables.feed_files(FRONT).withColumnRenamed("Files", "Front_Files").join(
+        tables.feed_files(BACK).withColumnRenamed("Files", "Back_Files"), ["Period"], "full"
+    )
+    shared_dir(tables.spark)
+    files = ["Front_Files", "Back_Files"]
+    known = now.select("Period", *[F.lit(None).cast(t).alias(c) for c, t in _KNOWN.items()]).limit(0)
+    if tables.exists(INPUTS):
+        known = tables.latest_inputs().select("Period", *[F.col(c.removeprefix("_")).alias(c) for c in _KNOWN])
+    state = now.join(known, ["Period"], "left").checkpoint()  # one row per period
+    same_files = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in files])
+    same_rule = F.col("_Price_Tolerance").eqNullSafe(F.lit(float(price_tolerance)))
+    looked_at = [r[0] for r in state.filter(~(same_files & same_rule)).select("Period").collect()]
+    if None in looked_at:
+        raise ValueError("a feed has rows without a run")
+    if not looked_at:
+        return []
+    of_these = F.col(period).isin(looked_at)
+    feeds = [tables.read(t).filter(of_these) for t in (FRONT, BACK)]
+    sizes = _sizes(run_id, *feeds, *[F.col(c) for c in COMPARED])
+    by_period = sizes.join(_periods(run_id, *feeds, period), [C.RUN])
+    joined = by_period.join(state, ["Period"]).withColumn("Price_Tolerance", F.lit(float(price_tolerance)))
+    same_rows = reduce(
+        Column.__and__, [F.col(f"{s}_Digest").eqNullSafe(F.col(f"_{s}_Digest")) for s in ("Front", "Back")]
+    )
+    judged = joined.withColumn("_same", same_rows & same_rule).checkpoint()
+    changed = sorted(r[0] for r in judged.filter(~F.col("_same")).select("Period").collect())
+    # The same rows in other files: the last run stays the one that counts for the period.
+    noted = judged.withColumn(C.RUN, F.when(F.col("_same"), F.col("_Run_ID")).otherwise(F.col(C.RUN)))
+    if not changed:
+        attempt = tables.begin()
+        tables.store_runs(tables.spark.createDataFrame([], SCHEMAS[RUNS]), attempt)
+        tables.store_inputs(noted, attempt)
+        tables.publish(attempt)
+        return []
+    feeds = [tables.read(t).filter(F.col(period).isin(changed)) for t in (FRONT, BACK)]
+    if not ids_checked:
+        quality.require_unique_ids(feeds[0], FRONT, period)
+    new = judged.filter(~F.col("_same")).select(*sizes.columns)
+    _record(tables, tuple(feeds), new, run_id, as_of, period, price_tolerance, noted)
+    return changed
+
+
+def _periods(run_id: Column, front: DataFrame, back: DataFrame, period: str) -> DataFrame:
+    """Which period each run belongs to."""
+    found = front.select(period).unionByName(back.select(period)).distinct()
+    return found.select(run_id.alias(C.RUN), F.col(period).alias("Period"))
 
 
 def reconcile(

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -49,12 +50,23 @@ def test_a_run_id_is_used_once(loaded):
     assert loaded.read(BREAKS).count() == 3
 
 
-def test_a_repeated_write_replaces_its_own_run(loaded):
+def test_a_repeated_write_counts_once(loaded):
     found = runs.detect_runs(loaded.read(FRONT), loaded.read(BACK), F.lit("R1"), F.lit(None).cast("timestamp_ntz"))
-    loaded.store_breaks(found)
-    loaded.store_breaks(found.withColumn(C.RUN, F.lit("R2")))
-    loaded.store_breaks(found)
+    for run, published in (("R1", False), ("R2", True), ("R1", True)):
+        attempt = loaded.begin()
+        stored = loaded.store_breaks(found.withColumn(C.RUN, F.lit(run)), attempt)
+        assert stored.count() == 3
+        loaded.store_runs(summary_rows(loaded, run), attempt)
+        if published:
+            loaded.publish(attempt)
     assert {r[0]: r[1] for r in loaded.read(BREAKS).groupBy(C.RUN).count().collect()} == {"R1": 3, "R2": 3}
+    assert sorted(r[0] for r in loaded.read(RUNS).select(C.RUN).collect()) == ["R1", "R2"]
+
+
+def summary_rows(control, *ids):
+    rows = control.spark.createDataFrame([(i,) for i in ids], "Run_ID string")
+    columns = [f for f in tables.SCHEMAS[RUNS] if f.name != C.RUN]
+    return rows.select(C.RUN, *[F.lit(None).cast(f.dataType).alias(f.name) for f in columns])
 
 
 def test_tolerance_reaches_the_run(loaded):
@@ -318,12 +330,145 @@ def test_a_refused_run_leaves_the_history_alone(loaded, feed):
 
 def test_a_lost_job_leaves_no_breaks_behind(loaded, feed):
     lost = runs.detect_runs(loaded.read(FRONT), loaded.read(BACK), F.lit("R9"), F.lit(None).cast("timestamp_ntz"))
-    loaded.store_breaks(lost)
+    assert loaded.store_breaks(lost, loaded.begin()).count() == 3
     loaded.load_feed(feed({"Trade_ID": "A"}, {"Trade_ID": "B"}, {"Trade_ID": "C"}), BACK)
     runs.reconcile(loaded, "R9")
     assert loaded.read(BREAKS).count() == 0
     row = loaded.read(RUNS).first()
-    assert (row["Matched_Count"], row["Missing_Count"] if "Missing_Count" in row else 0) == (3, 0)
+    assert (row["Matched_Count"], row["Critical_Breaks"]) == (3, 0)
+
+
+def test_of_interleaved_writers_the_second_is_refused(loaded):
+    """Both have looked before either has written anything."""
+    ids = loaded.spark.createDataFrame([("R1",)], "Run_ID string")
+    found = runs.detect_runs(loaded.read(FRONT), loaded.read(BACK), F.lit("R1"), F.lit(None).cast("timestamp_ntz"))
+    writers = [(loaded.begin(), loaded.require_new_runs(ids)) for _ in range(2)]
+    for k, (attempt, _) in enumerate(writers):
+        loaded.store_breaks(found.limit(1 + k), attempt)
+        loaded.store_runs(summary_rows(loaded, "R1"), attempt)
+    second, first = writers
+    loaded.publish(*first)
+    with pytest.raises(ValueError, match="R1 is already recorded"):
+        loaded.publish(*second)
+    assert (loaded.read(BREAKS).count(), loaded.read(RUNS).count()) == (2, 1)
+
+
+def test_a_refused_writer_of_many_runs_adds_none_of_them(loaded):
+    one, many = loaded.begin(), loaded.begin()
+    loaded.store_runs(summary_rows(loaded, "R2"), one)
+    loaded.store_runs(summary_rows(loaded, "R1", "R2", "R3"), many)
+    loaded.publish(one)
+    with pytest.raises(ValueError, match="R2"):
+        loaded.publish(many)
+    other = loaded.begin()
+    loaded.store_runs(summary_rows(loaded, "R1"), other)
+    loaded.publish(other)  # R1 is still free
+    assert sorted(r[0] for r in loaded.read(RUNS).select(C.RUN).collect()) == ["R1", "R2"]
+
+
+def test_a_number_is_published_once(loaded):
+    commits = loaded.commits
+    assert commits.publish("a", 0) and not commits.publish("b", 0) and commits.publish("b", 1)
+    assert commits.entries() == ["a", "b"] == commits.attempts()
+
+
+def test_rows_of_lost_jobs_can_be_dropped(loaded):
+    runs.reconcile(loaded, "R1")
+    found = runs.detect_runs(loaded.read(FRONT), loaded.read(BACK), F.lit("R9"), F.lit(None).cast("timestamp_ntz"))
+    lost = loaded.begin()
+    loaded.store_breaks(found, lost)
+    assert loaded.drop_unpublished(dt.datetime(2020, 1, 1)) == []  # it may still be running
+    assert loaded.drop_unpublished(dt.datetime.now() + dt.timedelta(hours=1)) == [lost]
+    assert loaded.store_breaks(found.limit(0), lost).count() == 0
+    assert loaded.read(BREAKS).count() == 3
+
+
+def test_ids_are_free_again_after_clearing(loaded, feed):
+    runs.reconcile(loaded, "R1")
+    loaded.clear()
+    assert loaded.row_count(BREAKS) == loaded.row_count(RUNS) == 0
+    for table in (FRONT, BACK):
+        loaded.load_feed(feed({"Trade_ID": "A"}), table)
+    runs.reconcile(loaded, "R1")
+    assert loaded.read(RUNS).first()["Matched_Count"] == 1
+
+
+# --- changed periods ---------------------------------------------------------------------------------------
+
+
+def changed(control, name="", **rule):
+    """The periods that are reconciled, as runs REC_<month><name>."""
+    run = F.concat(F.lit("REC_"), F.col("Feed_Month").cast("string"), F.lit(name))
+    return runs.reconcile_changed(control, run, F.lit("2024-03-01").cast("timestamp_ntz"), **rule)
+
+
+@pytest.fixture
+def months(spark, tmp_path, feed):
+    control = ControlTables(spark, str(tmp_path / "months"), "Feed_Month")
+    for table in (FRONT, BACK):
+        rows = [feed({"Trade_ID": "A"}, {"Trade_ID": "B"}).withColumn("Feed_Month", F.lit(m)) for m in (1, 2, 3)]
+        control.load_feed(rows[0].unionByName(rows[1]).unionByName(rows[2]), table)
+    return control
+
+
+def of_month(feed, month, *rows):
+    return feed(*rows).withColumn("Feed_Month", F.lit(month))
+
+
+def test_only_changed_periods_are_reconciled(months, feed):
+    assert changed(months) == [1, 2, 3]
+    assert changed(months) == []
+    months.load_periods(of_month(feed, 2, {"Trade_ID": "A", "Quantity": 5}, {"Trade_ID": "B"}), BACK)
+    assert changed(months, "_2") == [2]
+    assert months.read(BREAKS).select(C.RUN, "Trade_ID").collect() == [("REC_2_2", "A")]
+    assert months.read(RUNS).count() == 4
+    # another tolerance is another question
+    assert changed(months, "_3", price_tolerance=1.0) == [1, 2, 3]
+
+
+def test_the_same_rows_in_new_files_are_no_change(months, feed):
+    changed(months)
+    months.load_periods(of_month(feed, 3, {"Trade_ID": "B"}, {"Trade_ID": "A", "Desk": "Credit"}), FRONT)
+    commits = len(months.commits.entries())
+    assert changed(months) == []  # no compared column has changed
+    assert len(months.commits.entries()) == commits + 1  # the new files are noted,
+    assert changed(months) == []
+    assert len(months.commits.entries()) == commits + 1  # so they aren't read again
+    months.append_feed(of_month(feed, 3, {"Trade_ID": "C"}), FRONT)
+    assert changed(months, "_2") == [3]
+
+
+def test_unchanged_periods_are_not_read(months, feed, tmp_path):
+    changed(months)
+    months.load_periods(of_month(feed, 2, {"Trade_ID": "A"}), BACK)
+    for month in (1, 3):  # reading these files would fail
+        for table in (FRONT, BACK):
+            for file in (tmp_path / "months" / table / f"Feed_Month={month}").glob("*.parquet"):
+                stat = file.stat()
+                file.write_bytes(b"x" * stat.st_size)
+                os.utime(file, ns=(stat.st_atime_ns, stat.st_mtime_ns))
+    assert changed(months, "_2") == [2]
+    with pytest.raises(Exception, match="(?i)parquet|checksum"):
+        months.read(FRONT).collect()
+
+
+def test_a_period_gone_from_one_side_is_changed(months, feed):
+    changed(months)
+    rest = months.read(BACK).filter("Feed_Month <> 1").checkpoint()
+    months.replace_feed(rest, BACK)
+    # The other periods were written anew with the same rows.
+    assert changed(months, "_2") == [1]
+    assert months.read(BREAKS).select("Break_Type").distinct().collect() == [(C.MISSING,)]
+
+
+def test_periods_are_replaced_alone(months, control, feed):
+    months.load_periods(of_month(feed, 2, {"Trade_ID": "Z"}), FRONT)
+    found = {(r[0], r[1]) for r in months.read(FRONT).select("Feed_Month", "Trade_ID").collect()}
+    assert found == {(1, "A"), (1, "B"), (2, "Z"), (3, "A"), (3, "B")}
+    with pytest.raises(quality.FeedRejected, match="not unique"):
+        months.load_periods(of_month(feed, 2, {"Trade_ID": "Z"}, {"Trade_ID": "Z"}), FRONT)
+    with pytest.raises(ValueError, match="no periods"):
+        control.load_periods(feed({}), FRONT)
 
 
 def test_rows_without_a_run_are_refused(spark, tmp_path, feed):
