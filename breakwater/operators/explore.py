@@ -12,6 +12,7 @@ from breakwater import constants as C
 from breakwater.functions import contains_text
 from breakwater.operators.enrich import enrich
 from breakwater.operators.resolution import current_state
+from breakwater.operators.summarise import total_breaks
 from breakwater.sources.shared import shared_dir
 
 SEARCHED = ["Trade_ID", "Trader", "Counterparty", "Symbol"]
@@ -68,6 +69,27 @@ def _with_state(few: DataFrame, actions: DataFrame | None) -> DataFrame:
     return few.withColumn("Resolution_Status", F.lit(C.RESOLUTION_STATUSES[0]))
 
 
+def _of_first_runs(breaks: DataFrame, runs: DataFrame, count: Column, limit: int, newest: bool) -> DataFrame:
+    """Breaks of the newest (or oldest) runs that hold ``limit`` of them according to their summaries,
+    with all runs of the last time stamp. The run ids prune the partitions of the history.
+
+    At most ``limit`` time stamps are looked at, as only runs with such breaks count.
+    """
+    stamps = (
+        runs.select("Created_At", C.RUN, count.alias("_n"))
+        .filter(F.col("_n") > 0)
+        .groupBy("Created_At")
+        .agg(F.sum("_n").alias("_n"), F.collect_list(C.RUN).alias("_runs"))
+        .orderBy(F.desc("Created_At") if newest else F.asc("Created_At"))
+        .limit(limit)
+    )
+    chosen, have = [], 0
+    for row in stamps.collect():
+        if have < limit:
+            chosen, have = chosen + row["_runs"], have + row["_n"]
+    return breaks.filter(F.col(C.RUN).isin(chosen))
+
+
 def recent_breaks(
     breaks: DataFrame,
     front: DataFrame,
@@ -75,9 +97,16 @@ def recent_breaks(
     run_col: str | None = None,
     actions: DataFrame | None = None,
     limit: int = 500,
+    runs: DataFrame | None = None,
 ) -> DataFrame:
-    """The newest breaks with their trade attributes. The limit comes first, so few trades are looked up."""
+    """The newest breaks with their trade attributes. The limit comes first, so few trades are looked up.
+
+    ``runs`` are the summaries of the runs the breaks belong to, with the time of detection as
+    ``Created_At``: they tell which runs hold the newest breaks, so that no others are read.
+    """
     newest_first = [F.desc("Detected_At"), F.desc("Break_ID")]
+    if runs is not None:
+        breaks = _of_first_runs(breaks, runs, total_breaks(), limit, newest=True)
     newest = _with_state(_first(breaks, newest_first, limit), actions)
     return enrich(newest, front, back, run_col, policy=None).orderBy(*newest_first)
 
@@ -93,9 +122,19 @@ def top_critical(
     run_col: str | None = None,
     actions: DataFrame | None = None,
     limit: int = 8,
+    runs: DataFrame | None = None,
 ) -> DataFrame:
-    """The first CRITICAL breaks; only where there are none, the first breaks of any severity."""
+    """The first CRITICAL breaks; only where there are none, the first breaks of any severity.
+
+    ``runs`` as for ``recent_breaks``.
+    """
     critical = F.col("Severity") == "CRITICAL"
+    if runs is not None:
+        only = runs.filter(F.col("Critical_Breaks") > 0)
+        if only.isEmpty():
+            breaks = _of_first_runs(breaks, runs, total_breaks(), limit, newest=False)
+        else:
+            breaks = _of_first_runs(breaks, only, F.col("Critical_Breaks"), limit, newest=False)
     order = [F.when(critical, 0).otherwise(1), F.col("Detected_At"), F.col("Break_ID")]
     first = _first(breaks, order, limit)
     # Sorted like this, one CRITICAL row among the few proves the fallback unnecessary.

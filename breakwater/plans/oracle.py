@@ -838,4 +838,11 @@ def statements() -> dict[str, str]:
     same = [name for name in C.DATASETS if name != "reconciliation_breaks"]
     exported = {name: found[name] for name in same}
     exported["reconciliation_breaks"] = _with(["enriched"], "SELECT * EXCLUDE (Break_ID) FROM enriched")
+    exported["reconciliation_breaks_in_order"] = _with(
+        ["enriched"],
+        "SELECT * EXCLUDE (Break_ID), row_number() OVER (ORDER BY Detected_At, Break_ID) AS Position FROM enriched",
+    )
+    exported["trade_details_in_order"] = _with(
+        ["details"], "SELECT *, row_number() OVER (ORDER BY Trade_ID) AS Position FROM details"
+    )
     return found | {f"analytics_export_{name}": sql for name, sql in exported.items()}

@@ -354,14 +354,19 @@ def _exported(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     if control.root not in _written:
         datasets = reports.analytics_datasets(control, PERIOD, period_of_run())
         paths = reports.write_datasets(datasets, fresh_path(spark, "analytics"))
-        _written[control.root] = {name: files.read_csv(spark, path, datasets[name].schema) for name, path in paths.items()}
+        schemas = {n: df.select(*reports.exported_columns(n, df)).schema for n, df in datasets.items()}
+        _written[control.root] = {
+            **{name: files.read_csv(spark, path, schemas[name]) for name, path in paths.items()},
+            **{f"{n}_in_order": files.read_ordered_csv(spark, paths[n], schemas[n]) for n in reports.EXPORT_ORDER},
+        }
     return _written[control.root]
 
 
 def _analytics_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The number of rows found in each dataset."""
     out = None
-    for name, rows in _exported(spark, sf_dir).items():
+    exported = _exported(spark, sf_dir)
+    for name, rows in ((n, exported[n]) for n in C.DATASETS):
         one = rows.agg(F.count(F.lit(1)).alias("Row_Count")).select(F.lit(name).alias("Dataset"), "Row_Count")
         out = one if out is None else out.unionByName(one)
     return out
@@ -607,10 +612,10 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             _runs(s, d), dated(s, d), two(s, d)[0], PERIOD
         ).drop(PERIOD),
         "recent_breaks": lambda s, d: explore.recent_breaks(
-            dated(s, d), *two(s, d), PERIOD, _actions(s, d)
+            dated(s, d), *two(s, d), PERIOD, _actions(s, d), runs=_runs(s, d)
         ).drop(PERIOD),
         "top_critical": lambda s, d: explore.top_critical(
-            dated(s, d), *two(s, d), PERIOD, _actions(s, d)
+            dated(s, d), *two(s, d), PERIOD, _actions(s, d), runs=_runs(s, d)
         ),
         "search_breaks": lambda s, d: explore.search(_enriched(s, d), "nation_7"),
         "filter_breaks": _filtered,
@@ -670,6 +675,7 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "summary_extract": _summary_extract,
         "analytics_export": _analytics_export,
         **{f"analytics_export_{name}": _exported_rows(name) for name in C.DATASETS},
+        **{f"analytics_export_{name}_in_order": _exported_rows(f"{name}_in_order") for name in reports.EXPORT_ORDER},
         # injection
         **_injections(),
         "injected_truth": _truth,

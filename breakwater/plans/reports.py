@@ -150,7 +150,7 @@ def analytics_datasets(
     front, back = tables.read(FRONT), tables.read(BACK)
     if run_col:
         breaks = breaks.withColumn(run_col, run_of_break)
-    enriched = enrich(breaks, front, back, run_col).orderBy("Detected_At", "Break_ID")
+    enriched = enrich(breaks, front, back, run_col)
 
     # The FO table was checked for unique ids when it was loaded or reconciled. The four dimensions
     # are computed in one pass and written down, for four datasets are cut out of them.
@@ -170,8 +170,8 @@ def analytics_datasets(
 
     return {
         "reconciliation_runs": summarise.run_history(runs),
-        "reconciliation_breaks": enriched.drop("Break_ID", *([run_col] if run_col else [])),
-        "trade_details": trade_details(front).orderBy("Trade_ID"),
+        "reconciliation_breaks": enriched.drop(*([run_col] if run_col else [])),
+        "trade_details": trade_details(front),
         "desk_summary": dimension("Desk", *C.SEVERITY_COUNT_COLUMNS.values()),
         "portfolio_summary": dimension("Portfolio"),
         "counterparty_summary": dimension("Counterparty", "Critical_Breaks"),
@@ -181,15 +181,32 @@ def analytics_datasets(
     }
 
 
+#: The large datasets: the order of their rows in the files, and what is left out there.
+EXPORT_ORDER = {
+    "reconciliation_breaks": (["Detected_At", "Break_ID"], ["Break_ID"]),
+    "trade_details": (["Trade_ID"], []),
+}
+
+
 def write_datasets(datasets: dict[str, DataFrame], path: str) -> dict[str, str]:
-    """Writes each dataset as CSV into its own folder."""
+    """Writes each dataset as CSV into its own folder, the large ones as files in order."""
     written = {}
     for name, df in datasets.items():
         written[name] = f"{path}/{name}"
-        files.write_csv(df, written[name])
+        if name in EXPORT_ORDER:
+            order, left_out = EXPORT_ORDER[name]
+            files.write_ordered_csv(df, written[name], order, left_out)
+        else:
+            files.write_csv(df, written[name])
     return written
 
 
+def exported_columns(name: str, dataset: DataFrame) -> list[str]:
+    """The columns a dataset has in its files."""
+    left_out = EXPORT_ORDER[name][1] if name in EXPORT_ORDER else []
+    return [c for c in dataset.columns if c not in left_out]
+
+
 def write_analytics_datasets(
     tables: ControlTables, path: str, run_col: str | None = None, run_of_break: Column | None = None
 ) -> dict[str, str]:

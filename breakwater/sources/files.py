@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from breakwater import constants as C
 from breakwater.operators.quality import FeedRejected, missing_columns
+from breakwater.sources.shared import delete, fresh_path
 
 # Quotes are doubled inside quoted fields, as spreadsheets and most CSV readers expect.
 CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"'}
+#: Rows in one file of an ordered export.
+ROWS_PER_FILE = 1_000_000
 
 
 def read_feed_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -45,6 +48,58 @@ def write_csv(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> Non
     writer.mode("overwrite").options(**CSV_OPTIONS).csv(path)
 
 
+def write_ordered_csv(
+    df: DataFrame,
+    path: str,
+    order: Sequence[str | Column],
+    drop: Sequence[str] = (),
+    rows_per_file: int = ROWS_PER_FILE,
+) -> None:
+    """CSV files that hold the rows in one total order: rows follow each other within a file, and
+    files follow each other by the number in their names.
+
+    The rows are computed once, into the shared folder; the ranges are cut over what is written there,
+    as many as give files of about ``rows_per_file`` rows, each sorted by its own task. Columns in
+    ``drop`` only give the order.
+    """
+    spark = df.sparkSession
+    staged = fresh_path(spark, "ordered")
+    try:
+        df.write.parquet(staged)
+        rows = spark.read.schema(df.schema).parquet(staged)
+        ranges = max(1, -(-rows.count() // rows_per_file))
+        sorted_rows = rows.repartitionByRange(ranges, *order).sortWithinPartitions(*order).drop(*drop)
+        sorted_rows.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
+    finally:
+        delete(spark, staged)
+
+
+def read_ordered_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The rows of an ordered export with ``Position``, their place from 1 on in the order of the files.
+
+    Only the row counts of the parts that tasks read are added up in one place.
+    """
+    part = F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1).cast("int")
+    # Tasks read parts of files from front to back, so their row numbers rise within a part.
+    rows = read_csv(spark, path, schema).select(
+        "*",
+        part.alias("_file"),
+        F.col("_metadata.file_block_start").alias("_from"),
+        F.monotonically_increasing_id().alias("_row"),
+    )
+    keys = ["_file", "_from"]
+    before = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    bases = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    bases = bases.select(*keys, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
+    inside = F.row_number().over(Window.partitionBy(*keys).orderBy("_row"))
+    return (
+        rows.withColumn("_row", inside)
+        .join(bases, keys)
+        .withColumn("Position", (F.col("_base") + F.col("_row")).cast("long"))
+        .drop(*keys, "_row", "_base")
+    )
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
 
