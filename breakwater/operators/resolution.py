@@ -39,7 +39,7 @@ def rejected(judged: DataFrame) -> DataFrame:
     return judged.filter(F.col("Reject_Reason").isNotNull())
 
 
-def history(actions: DataFrame, slices: int = 256, policy: SkewPolicy = DEFAULT) -> DataFrame:
+def history(actions: DataFrame, slices: int | None = None, policy: SkewPolicy = DEFAULT) -> DataFrame:
     """Audit trail: every accepted action with the status it replaced."""
     trail = previous_value(
         actions,

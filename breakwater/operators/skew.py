@@ -25,8 +25,9 @@ from breakwater.sources.shared import shared_dir
 
 SALT = "_salt"
 REPEATED = "_repeated"
-NULL_SALTS = 4096
 SAMPLE_SEED = 7
+#: Rows of a table in one order that one task takes.
+ROWS_PER_SLICE = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -100,6 +101,8 @@ def salted(
         return many, one.withColumn(REPEATED, F.lit(False)), keys
 
     spark = many.sparkSession
+    # Rows without a key go anywhere: over as many salts as a shuffle has tasks.
+    tasks = F.lit(int(spark.conf.get("spark.sql.shuffle.partitions")))
     fields = [T.StructField(k, many.schema[k].dataType) for k in keys]
     hot = spark.createDataFrame(
         [row for row in found if None not in row], T.StructType([*fields, T.StructField("_salts", T.IntegerType())])
@@ -111,7 +114,7 @@ def salted(
     left = many.join(F.broadcast(hot), keys, "left")
     left = left.withColumn(
         SALT,
-        F.when(no_key, scatter(many.columns, F.lit(NULL_SALTS)))
+        F.when(no_key, scatter(many.columns, tasks))
         .when(F.col("_salts").isNotNull(), scatter(many.columns, F.col("_salts")))
         .otherwise(F.lit(0)),
     ).drop("_salts")
@@ -120,7 +123,7 @@ def salted(
         right.withColumn(REPEATED, F.col("_hot_salt").isNotNull())
         .withColumn(
             SALT,
-            F.when(no_key, scatter(one.columns, F.lit(NULL_SALTS))).otherwise(
+            F.when(no_key, scatter(one.columns, tasks)).otherwise(
                 F.coalesce(F.col("_hot_salt"), F.lit(0))
             ),
         )
@@ -155,48 +158,66 @@ def previous_value(
     value: str,
     default: str,
     out: str,
-    slices: int = 256,
+    slices: int | None = None,
     policy: SkewPolicy = DEFAULT,
 ) -> DataFrame:
     """``lag(value, 1, default)`` per key in the given total order.
 
-    Ordinary keys go through one window. The rows of hot keys are range-partitioned by key and
-    order into slices of similar size; the lag inside a slice is a window over that slice only, and
-    the first row of each slice takes the last value of the slice before it, which needs one row
-    per slice.
+    Ordinary keys go through one window. The rows of hot keys go through ``sliced_lag``, in as many
+    slices as their measured sizes ask for, or ``slices``.
     """
     per_key = Window.partitionBy(key).orderBy(*order)
 
     def plain(rows: DataFrame) -> DataFrame:
         return rows.withColumn(out, F.lag(value, 1, default).over(per_key))
 
-    found = [row[0] for row in hot_keys(df, [key], policy) if row[0] is not None]
+    found = [(row[0], row[1]) for row in hot_keys(df, [key], policy) if row[0] is not None]
     if not found:
         return plain(df)
 
     spark = df.sparkSession
-    hot = F.broadcast(spark.createDataFrame([(k,) for k in found], T.StructType([df.schema[key]])))
+    hot = F.broadcast(spark.createDataFrame([(k,) for k, _ in found], T.StructType([df.schema[key]])))
     cold = plain(df.join(hot, [key], "left_anti"))
+    needed = slices or sum(salts for _, salts in found)
+    carried = sliced_lag(df.join(hot, [key], "left_semi"), order, value, default, out, needed, key)
+    return cold.select(*df.columns, out).unionByName(carried.select(*df.columns, out))
+
+
+def sliced_lag(
+    df: DataFrame,
+    order: Sequence[str],
+    value: str,
+    default: str | None,
+    out: str,
+    slices: int,
+    key: str | None = None,
+) -> DataFrame:
+    """``lag(value, 1, default)`` in the given total order (per key), for rows that no single task should take.
+
+    The rows are range-partitioned by key and order into slices of similar size; the lag inside a
+    slice is a window over that slice only, and the first row of each slice takes the last value of
+    the slice before it, which needs one row per slice.
+    """
+    keys = [key] if key else []
     # The slice number comes from sampled range bounds. It is written down once, because the rows
     # are read twice below and both readers have to see the same slices.
-    shared_dir(spark)
+    shared_dir(df.sparkSession)
     sliced = (
-        df.join(hot, [key], "left_semi")
-        .repartitionByRange(slices, key, *order)
-        .withColumn("_slice", F.spark_partition_id())
-        .checkpoint()
+        df.repartitionByRange(slices, *keys, *order).withColumn("_slice", F.spark_partition_id()).checkpoint()
     )
-    within = Window.partitionBy(key, "_slice").orderBy(*order)
+    within = Window.partitionBy(*keys, "_slice").orderBy(*order)
+    over_slices = Window.partitionBy(*keys).orderBy("_slice")
     tails = (
-        sliced.groupBy(key, "_slice")
-        .agg(F.max_by(value, F.struct(*order)).alias("_tail"))
-        .withColumn("_before", F.lag("_tail", 1, default).over(Window.partitionBy(key).orderBy("_slice")))
-        .drop("_tail")
+        sliced.groupBy(*keys, "_slice")
+        .agg(F.max_by(F.struct(value), F.struct(*order)).alias("_tail"))
+        .withColumn("_before", F.lag("_tail", 1).over(over_slices))
+        .select(*keys, "_slice", F.col(f"_before.{value}").alias("_before"), F.col("_before").isNotNull().alias("_any"))
     )
-    carried = (
+    first = F.when(F.col("_any"), F.col("_before")).otherwise(F.lit(default))
+    return (
         sliced.withColumn("_lag", F.lag(value).over(within))
         .withColumn("_first", F.row_number().over(within) == 1)
-        .join(tails, [key, "_slice"], "left")
-        .withColumn(out, F.when(F.col("_first"), F.col("_before")).otherwise(F.col("_lag")))
+        .join(tails, [*keys, "_slice"], "left")
+        .withColumn(out, F.when(F.col("_first"), first).otherwise(F.col("_lag")))
+        .select(*df.columns, out)
     )
-    return cold.select(*df.columns, out).unionByName(carried.select(*df.columns, out))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from breakwater import constants as C
 from breakwater.functions import notional, percent, severity_rank, to_money
 from breakwater.operators.enrich import known_attributes
+from breakwater.operators.skew import ROWS_PER_SLICE, sliced_lag
 
 
 def _count_if(condition: Column) -> Column:
@@ -302,17 +303,17 @@ def match_rate_trend(runs: DataFrame, target: float = C.MATCH_RATE_TARGET) -> Da
     ).orderBy("Run_Date", C.RUN)
 
 
-def match_rate_change(runs: DataFrame) -> DataFrame:
-    """Match rate of the run before, and the change. The window sees one row per run, nothing finer."""
-    by_time = Window.orderBy("Created_At", C.RUN)
-    before = F.lag("Match_Percentage").over(by_time)
-    return runs.select(
-        C.RUN,
-        "Created_At",
-        "Match_Percentage",
-        before.alias("Previous_Match_Percentage"),
-        F.round(F.col("Match_Percentage") - before, 2).alias("Match_Rate_Change"),
-    )
+def match_rate_change(runs: DataFrame, rows_per_task: int = ROWS_PER_SLICE) -> DataFrame:
+    """Match rate of the run before, and the change. Nothing finer than one row per run is ordered, and
+    with more than ``rows_per_task`` runs no task takes all of them."""
+    order, rate, before = ["Created_At", C.RUN], "Match_Percentage", "Previous_Match_Percentage"
+    slices = -(-runs.count() // rows_per_task)
+    if slices > 1:
+        lagged = sliced_lag(runs, order, rate, None, before, slices)
+    else:
+        lagged = runs.withColumn(before, F.lag(rate).over(Window.orderBy(*order)))
+    change = F.round(F.col(rate) - F.col(before), 2).alias("Match_Rate_Change")
+    return lagged.select(C.RUN, "Created_At", rate, before, change)
 
 
 def volume_trend(runs: DataFrame) -> DataFrame:

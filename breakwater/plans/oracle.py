@@ -484,10 +484,10 @@ def _measures() -> str:
     return " UNION ALL ".join(f"SELECT '{n}' AS Measure, {v} AS Value" for n, v in singles.items())
 
 
-def _kpis() -> str:
+def _kpis(seconds: str = "0.0") -> str:
     rows = [
         ("Run ID", "Run_ID"),
-        ("Execution Time", "'0.0000 seconds'"),
+        ("Execution Time", f"printf('%.4f seconds', CAST({seconds} AS DOUBLE))"),
         ("Generated On", "strftime(Created_At, '%Y-%m-%d %H:%M:%S')"),
         ("Front Office Trades", "CAST(Front_Count AS VARCHAR)"),
         ("Back Office Trades", "CAST(Back_Count AS VARCHAR)"),
@@ -521,6 +521,27 @@ def _cards() -> str:
     )
 
 
+def _refusals() -> str:
+    """Texts of refusals; counts come from the feeds."""
+    front, back = "front_office_trades", "back_office_trades"
+    lost = "string_agg(Rule || ' (' || Violations || ')', ', ' ORDER BY place)"
+    rules = _rules().split(" UNION ALL ")
+    numbered = " UNION ALL ".join(f"SELECT {i} AS place, * FROM ({rule}) AS r" for i, rule in enumerate(rules))
+    repeated = f"'{front}: Trade_ID ''' || (SELECT min(Trade_ID) FROM fo) || ''' is not unique'"
+    cases = {
+        "rows against the rules": f"(SELECT '{front}: ' || {lost} FROM ({numbered}) AS v"
+        " WHERE Violations > 0 AND Rule <> 'SETTLED_BEFORE_TRADED')",
+        "column missing": f"'{front}: missing columns [''Desk'', ''Price'']'",
+        "column missing in a file": "'file: missing columns [''Price'']'",
+        "id repeated": repeated,
+        "id repeated by appending": repeated,
+        "feed without rows": f"'{back}: no rows'",
+        "rows without a run": "'a feed has rows without a run'",
+        "export without history": "'no reconciliation run on record'",
+    }
+    return " UNION ALL ".join(f"SELECT '{case}' AS Input, {text} AS Refusal" for case, text in cases.items())
+
+
 def _sizes(name: str, count: str, cast: str = "count(*)") -> str:
     tables = {
         "front_office_trades": "fo",
@@ -568,6 +589,16 @@ def statements() -> dict[str, str]:
         "csv_roundtrip_fo": _with(["fo"], f"SELECT {FEED} FROM fo"),
         "csv_roundtrip_bo": _with(["bo"], f"SELECT {FEED} FROM bo"),
         "append_feed": _with(["fo"], f"SELECT {FEED}, Feed_Month FROM fo"),
+        "replaced_feed": _with(["fo"], f"SELECT {FEED}, Feed_Month FROM fo WHERE Feed_Month >= 199601"),
+        "cleared_tables": _with(
+            ["actions"],
+            " UNION ALL ".join(
+                f"SELECT '{t}' AS Table_Name, CAST(0 AS BIGINT) AS Row_Count"
+                for t in ("front_office_trades", "back_office_trades", "reconciliation_breaks", "reconciliation_summary")
+            )
+            + " UNION ALL SELECT 'break_resolutions_history', count(*) FROM actions",
+        ),
+        "refused_inputs": _with(["defective"], _refusals()),
         "trade_lookup": _with(["fo"], f"SELECT {FEED} FROM fo WHERE Trade_ID = (SELECT min(Trade_ID) FROM fo) LIMIT 1"),
         "table_counts": _with(["runs", "actions"], _sizes("Table_Name", "Row_Count")),
         "control_status": _with(
@@ -630,6 +661,12 @@ def statements() -> dict[str, str]:
             " ELSE 'ATTENTION' END AS Dashboard_Status FROM runs",
         ),
         "executive_kpis": _with(["runs"], _kpis()),
+        "executive_kpis_timed": _with(["runs"], _kpis("round(Front_Count / 1000, 4)")),
+        "measures_timed": _with(
+            ["runs", "breaks"],
+            _measures() + " UNION ALL SELECT 'Average_Processing_Time', avg(round(Front_Count / 1000, 4)) FROM runs",
+        ),
+        "execution_times": _with(["runs"], "SELECT Run_ID, true AS Is_Timed, true AS Is_Shown FROM runs"),
         "kpi_cards": _with(["runs"], _cards()),
         "measures": _with(["runs", "breaks"], _measures()),
         "breaks_enriched": _with(["enriched_state"], "SELECT * FROM enriched_state"),
@@ -795,6 +832,7 @@ def statements() -> dict[str, str]:
             ["breaks"], f"SELECT Break_ID, CAST(json_object({json_fields}) AS VARCHAR) AS Json FROM breaks"
         ),
         "run_audit_json": _with(["runs"], "SELECT * FROM runs"),
+        "json_document": _with(["runs"], "SELECT * FROM runs"),
         "summary_extract": _with(["runs"], "SELECT * FROM runs"),
         "analytics_export": _with(
             ["runs", "breaks"],

@@ -246,6 +246,71 @@ def _csv_roundtrip(table: str) -> Callable[[SparkSession, str], DataFrame]:
     return query
 
 
+def _replaced_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A feed replaced by another, then a load that is refused and changes nothing."""
+    control = _copied(spark, sf_dir, "replaced")
+    front = _feeds(spark, sf_dir)[0]
+    control.load_feed(front.filter(F.col(PERIOD) >= OPEN_RUNS_BEFORE), FRONT)
+    _refusal(lambda: control.load_feed(_defective(spark, sf_dir).withColumn(PERIOD, F.lit(1)), FRONT))
+    return control.read(FRONT)
+
+
+def _cleared_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row counts after recorded tables were emptied; the audit trail stays."""
+    control = _copied(spark, sf_dir, "cleared")
+    reconcile_all(control)
+    control.store_actions(_actions(spark, sf_dir))
+    control.clear()
+    return control.counts()
+
+
+def _refusal(action: Callable[[], object]) -> str:
+    """What a refused input is refused with."""
+    try:
+        action()
+    except ValueError as e:
+        return str(e)
+    raise RuntimeError("nothing was refused")
+
+
+def _refused_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(Case, Refusal): inputs made from the feeds that must not be loaded, reconciled or exported."""
+    front, back = _feeds(spark, sf_dir)
+    control = _copied(spark, sf_dir, "refusing")
+    empty = ControlTables(spark, fresh_path(spark, "empty"), PERIOD)
+    no_price = fresh_path(spark, "no-price")
+    files.write_csv(front.select(*C.FEED_COLUMNS).drop("Price"), no_price)
+    no_rows = ControlTables(spark, fresh_path(spark, "no-rows"), PERIOD)
+    no_rows.replace_feed(front, FRONT, in_order=True)
+    no_rows.replace_feed(back.limit(0), BACK)
+    no_run = front.withColumn(PERIOD, F.when(F.col(PERIOD) >= OPEN_RUNS_BEFORE, F.col(PERIOD)))
+    unnamed = ControlTables(spark, fresh_path(spark, "unnamed"), PERIOD)
+    unnamed.replace_feed(no_run, FRONT)
+    unnamed.replace_feed(back, BACK, in_order=True)
+    first = front.filter(F.col("Trade_ID") == front.agg(F.min("Trade_ID")).first()[0])
+    defective = _defective(spark, sf_dir).withColumn(PERIOD, F.lit(1))
+    cases = {
+        "rows against the rules": lambda: control.load_feed(defective, FRONT),
+        "column missing": lambda: control.load_feed(front.drop("Desk", "Price"), FRONT),
+        "column missing in a file": lambda: files.read_feed_csv(spark, no_price),
+        "id repeated": lambda: control.load_feed(front.unionByName(first), FRONT),
+        "id repeated by appending": lambda: control.append_feed(first, FRONT),
+        "feed without rows": lambda: reconcile_all(no_rows),
+        "rows without a run": lambda: reconcile_all(unnamed),
+        "export without history": lambda: reports.analytics_datasets(empty),
+    }
+    refused = [(name, _refusal(action).replace(no_price, "file")) for name, action in cases.items()]
+    return spark.createDataFrame(refused, "Input string, Refusal string")
+
+
+def _json_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run summaries as one JSON document over many lines, read back."""
+    path = fresh_path(spark, "document")
+    summary = _runs(spark, sf_dir)
+    files.write_json_document(summary, path)
+    return files.read_json(spark, path, summary.schema, multi_line=True)
+
+
 def _copied(spark: SparkSession, sf_dir: str, name: str) -> ControlTables:
     """Control tables of their own with the same feeds, to change and record in."""
     front, back = _feeds(spark, sf_dir)
@@ -482,6 +547,26 @@ def _measures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summarise.measures(_runs(spark, sf_dir), _breaks(spark, sf_dir), _feeds(spark, sf_dir)[0])
 
 
+def _timed_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run summaries with an execution time that follows from the data: a millisecond for each FO row."""
+    return _runs(spark, sf_dir).withColumn("Execution_Time", F.round(F.col("Front_Count") / 1000, 4))
+
+
+def _measures_timed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    timed = _timed_runs(spark, sf_dir)
+    return summarise.measures(timed, _breaks(spark, sf_dir), _feeds(spark, sf_dir)[0])
+
+
+def _execution_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of each recorded run, whether its time was taken and the executive list shows it."""
+    recorded = control_tables(spark, sf_dir).read(RUNS)
+    shown = reports.executive_kpis(recorded).filter(F.col("Attribute") == "Execution Time")
+    texts = F.format_string("%.4f seconds", "Execution_Time")
+    return recorded.join(shown.select("Value").distinct(), texts == F.col("Value"), "left").select(
+        C.RUN, (F.col("Execution_Time") > 0).alias("Is_Timed"), F.col("Value").isNotNull().alias("Is_Shown")
+    )
+
+
 def _executive_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
     timed = _runs(spark, sf_dir).withColumn("Execution_Time", F.lit(0.0))
     return reports.executive_kpis(summarise.latest_run(timed))
@@ -561,6 +646,9 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "csv_roundtrip_fo": _csv_roundtrip(FRONT),
         "csv_roundtrip_bo": _csv_roundtrip(BACK),
         "append_feed": _append_feed,
+        "replaced_feed": _replaced_feed,
+        "cleared_tables": _cleared_tables,
+        "refused_inputs": _refused_inputs,
         "trade_lookup": _trade_lookup,
         "table_counts": lambda s, d: control_tables(s, d).counts(),
         "control_status": _control_status,
@@ -601,6 +689,9 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "critical_trend": lambda s, d: summarise.critical_trend(_breaks(s, d)),
         "run_status_bands": lambda s, d: reports.run_status(_runs(s, d)),
         "executive_kpis": _executive_kpis,
+        "executive_kpis_timed": lambda s, d: reports.executive_kpis(summarise.latest_run(_timed_runs(s, d))),
+        "measures_timed": _measures_timed,
+        "execution_times": _execution_times,
         "kpi_cards": lambda s, d: reports.kpi_cards(summarise.latest_run(_runs(s, d))),
         "measures": _measures,
         # enrichment
@@ -672,6 +763,7 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "breaks_by_category_extract": _category_extract,
         "breaks_json": _breaks_json,
         "run_audit_json": _run_audit_json,
+        "json_document": _json_document,
         "summary_extract": _summary_extract,
         "analytics_export": _analytics_export,
         **{f"analytics_export_{name}": _exported_rows(name) for name in C.DATASETS},

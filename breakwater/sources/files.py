@@ -109,6 +109,13 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 
+def write_json_document(df: DataFrame, path: str) -> None:
+    """All rows as one JSON array, a line each: for tables of few rows, such as run summaries."""
+    row = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
+    lines = F.array_join(F.array_sort(F.collect_list(row)), ",\n")
+    df.agg(F.concat(F.lit("[\n"), lines, F.lit("\n]")).alias("value")).write.mode("overwrite").text(path)
+
+
 def read_json(spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool = False) -> DataFrame:
     reader = spark.read.option("multiLine", multi_line)
     return (reader.schema(schema) if schema else reader).json(path)

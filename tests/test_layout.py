@@ -135,3 +135,15 @@ def test_split_files_keep_their_order(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", bytes_)
     files.write_ordered_csv(rows.limit(0), path, ["k"])
     assert files.read_ordered_csv(spark, path, rows.schema).count() == 0
+
+
+# --- counts ------------------------------------------------------------------------------------------------
+
+
+def test_counts_read_no_column(spark, small_dir):
+    """Row counts come from the footers of the files."""
+    counts = queries.control_tables(spark, small_dir).counts()
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    plan = counts._jdf.queryExecution().explainString(mode)
+    schemas = [line.strip() for line in plan.splitlines() if "ReadSchema" in line]
+    assert len(schemas) >= 5 and all(line == "ReadSchema: struct<>" for line in schemas)

@@ -1,12 +1,13 @@
 """The salted join and the sliced lag against their plain forms."""
 
+import datetime as dt
 import random
 
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from breakwater.operators import skew
+from breakwater.operators import skew, summarise
 from breakwater.operators.skew import SkewPolicy
 from conftest import TOUCHY
 
@@ -58,3 +59,33 @@ def test_sliced_lag_equals_one_window(spark):
         df, "k", ["t", "seq"], "v", "none", "before", slices=7, policy=SkewPolicy(share=0.0, min_rows=50, fraction=1)
     )
     assert _rows(sliced) == _rows(plain)
+
+
+@pytest.mark.parametrize("slices", [2, 7, 40])
+def test_a_lag_over_slices_equals_one_window(spark, slices):
+    rng = random.Random(5)
+    rows = [(i, rng.choice([None, 1.0, 2.0, 3.0])) for i in range(60)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "i int, v double")
+    want = df.withColumn("before", F.lag("v").over(Window.orderBy("i")))
+    assert _rows(skew.sliced_lag(df, ["i"], "v", None, "before", slices)) == _rows(want)
+
+
+def test_slices_follow_the_size_of_a_hot_key(spark, monkeypatch):
+    asked = []
+    sliced = skew.sliced_lag
+    monkeypatch.setattr(skew, "sliced_lag", lambda *a: asked.append(a[5]) or sliced(*a))
+    df = spark.range(4000).select(F.when(F.col("id") < 3000, "a").otherwise(F.col("id").cast("string")).alias("k"), "id")
+    df = df.withColumn("v", F.col("id").cast("string"))
+    policy = SkewPolicy(share=0.05, min_rows=1, fraction=1)
+    found = skew.previous_value(df, "k", ["id"], "v", "-", "before", policy=policy)
+    assert asked == [15]  # 3,000 rows in slices of 200
+    want = df.withColumn("before", F.lag("v", 1, "-").over(Window.partitionBy("k").orderBy("id")))
+    assert _rows(found) == _rows(want)
+
+
+def test_many_runs_are_compared_in_slices(spark):
+    rows = [(f"R{k:03}", dt.datetime(2024, 1, 1) + dt.timedelta(hours=k // 2), float(k * 7 % 100)) for k in range(90)]
+    runs = spark.createDataFrame(rows, "Run_ID string, Created_At timestamp_ntz, Match_Percentage double")
+    plain, many = summarise.match_rate_change(runs), summarise.match_rate_change(runs, rows_per_task=20)
+    assert plain.count() == 90 and _rows(plain) == _rows(many)
