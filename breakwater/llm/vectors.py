@@ -18,6 +18,8 @@ COSINE = 0.95
 PIVOTS_PER_ROOT, LEAST_PIVOTS, MOST_PIVOTS = 4, 32, 4096
 #: Nearest reference points that describe a vector, and how many of them a candidate shares.
 NEAREST, SHARED = 10, 2
+#: Mean cosine of the reference points from which twice as many describe a vector.
+ONE_DIRECTION = 0.5
 #: Times that the next keys are read to fill up for reference points left out.
 PAGES = 8
 #: Vectors on one side of a tile of a long pivot list.
@@ -62,12 +64,14 @@ def _classes(vectors: DataFrame, vec_id: str, embedding: str) -> tuple[DataFrame
 
 def fit_pivots(classes: DataFrame, count: int, cosine: float = COSINE) -> dict[int, np.ndarray]:
     """Reference points by dimension: distinct vectors in the order of their keys, at most 4096, none
-    near another one, so that a dense group has few of them, which its members share.
+    near another one, so that a dense group has few of them, which its members share. How near is
+    measured from the mean of the first ones, so that a direction shared by all vectors leaves out none.
 
     For each that is left out a next key is looked at, up to ``PAGES`` times ``count`` keys. A
     dimension without enough of them is filled up with seeded random directions.
     """
     by_size: dict[int, np.ndarray] = {}
+    middle: dict[int, np.ndarray] = {}
     left, rest = count, classes
     for _ in range(PAGES):
         got = rest.orderBy("key").limit(count).select("key", "unit").collect()
@@ -77,7 +81,8 @@ def fit_pivots(classes: DataFrame, count: int, cosine: float = COSINE) -> dict[i
             fresh.setdefault(len(x), []).append(x)
         for size, some in fresh.items():
             known = by_size.get(size, np.empty((0, size)))
-            by_size[size] = _apart(known, np.stack(some), 2 * cosine - 1, left)
+            mean = middle.setdefault(size, np.mean(some, axis=0) if len(some) > 1 else np.zeros(size))
+            by_size[size] = _apart(known, np.stack(some), 2 * cosine - 1, left, mean)
             left -= len(by_size[size]) - len(known)
         if not left or len(got) < count:
             break
@@ -85,12 +90,18 @@ def fit_pivots(classes: DataFrame, count: int, cosine: float = COSINE) -> dict[i
     return {d: x if len(x) >= 2 * NEAREST else np.concatenate([x, _directions(d)]) for d, x in by_size.items()}
 
 
-def _apart(known: np.ndarray, fresh: np.ndarray, near: float, most: int) -> np.ndarray:
-    """``known`` and up to ``most`` of ``fresh``, each below the cosine ``near`` to all taken before."""
+def _apart(known: np.ndarray, fresh: np.ndarray, near: float, most: int, mean: np.ndarray) -> np.ndarray:
+    """``known`` and up to ``most`` of ``fresh``, each below the cosine ``near``, seen from ``mean``, to
+    all taken before."""
+
+    def seen(x: np.ndarray) -> np.ndarray:
+        away = x - mean
+        return away / np.maximum(np.linalg.norm(away, axis=1, keepdims=True), 1e-300)
+
     for at in range(0, len(fresh), TILE):
         block = fresh[at : at + TILE]
-        block = block[(block @ known.T < near).all(axis=1)]
-        close, taken = block @ block.T >= near, []
+        block = block[(seen(block) @ seen(known).T < near).all(axis=1)]
+        close, taken = seen(block) @ seen(block).T >= near, []
         for k in range(len(block)):
             if len(taken) < most and not close[k, taken].any():
                 taken.append(k)
@@ -98,6 +109,13 @@ def _apart(known: np.ndarray, fresh: np.ndarray, near: float, most: int) -> np.n
     return known
 
 
+def _described_by(points: np.ndarray) -> int:
+    """How many nearest points describe a vector. Where all vectors share a direction, near ones
+    differ more in the order of their points, so more are needed to share ``SHARED`` of them."""
+    mean = points.mean(axis=0)
+    return min(len(points), NEAREST * (1 if mean @ mean < ONE_DIRECTION else 2))
+
+
 def _directions(size: int) -> np.ndarray:
     x = np.random.default_rng(size).standard_normal((LEAST_PIVOTS, size))
     return x / np.linalg.norm(x, axis=1, keepdims=True)
@@ -162,7 +180,7 @@ def _lists(classes: DataFrame, count: int, cosine: float) -> DataFrame:
                 points = known.setdefault(size, _directions(size))
                 of = [k for k, u in enumerate(units) if len(u) == size]
                 similar = np.stack([units[k] for k in of]) @ points.T
-                take = min(NEAREST, similar.shape[1])
+                take = _described_by(points)
                 first = np.argpartition(-similar, take - 1, axis=1)[:, :take]
                 rank = np.argsort(-np.take_along_axis(similar, first, 1), axis=1, kind="stable")
                 ordered = np.take_along_axis(first, rank, 1)

@@ -171,14 +171,31 @@ def _cosine(a, b):
     return -1 if a is None or b is None or len(a) != len(b) else a @ b
 
 
-def test_near_vectors_find_nearly_all(spark):
-    rows = spark.read.parquet("/root/testdata/check_s/embeddings.parquet").collect()
-    x = np.stack([vectors._unit(r.embedding) for r in rows])
-    want = (x @ x.T >= vectors.COSINE).sum(axis=1) - 1
-    got = {r.vec_id: r.n_links for r in queries.op2_vectors(spark, "/root/testdata/check_s").collect()}
-    found = np.array([got[r.vec_id] for r in rows])
+def found_and_wanted(spark, x):
+    """Directed links that the operator finds of each vector, and all there are."""
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    want = np.concatenate([(unit[k : k + 1200] @ unit.T >= vectors.COSINE).sum(axis=1) for k in range(0, len(x), 1200)]) - 1
+    df = spark.createDataFrame([(k, v) for k, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    found = np.array([r.n_links for r in vectors.near_vectors(df).orderBy("vec_id").collect()])
     assert (found <= want).all()
-    assert found.sum() >= 0.97 * want.sum() > 0
+    return found, want
+
+
+@pytest.mark.parametrize("mutual", [0.7, 0.85])
+@pytest.mark.parametrize("n", [2400, 9600])
+def test_pairs_of_vectors_that_share_a_direction(spark, n, mutual):
+    """Pairs of cosine 0.952 among vectors that are all ``mutual`` apart."""
+    some = np.random.default_rng(n)
+    rest = some.standard_normal((2, n // 2, 63))
+    rest /= np.linalg.norm(rest, axis=2, keepdims=True)
+    rest[1] -= (rest[0] * rest[1]).sum(axis=1, keepdims=True) * rest[0]
+    rest[1] /= np.linalg.norm(rest[1], axis=1, keepdims=True)
+    inner = (0.952 - mutual) / (1 - mutual)
+    rest[1] = inner * rest[0] + (1 - inner**2) ** 0.5 * rest[1]
+    x = np.concatenate([np.full((n, 1), mutual**0.5), (1 - mutual) ** 0.5 * rest.reshape(n, 63)], axis=1)
+    found, want = found_and_wanted(spark, x)
+    assert want.sum() >= n
+    assert found.sum() >= 0.97 * want.sum()
 
 
 @pytest.mark.parametrize("n", [2400, 9600])
@@ -187,11 +204,7 @@ def test_links_inside_a_dense_group(spark, n):
     x = some.standard_normal((n, 64))
     x[: n // 3] = 8 * x[0] / np.linalg.norm(x[0]) + 0.2 * x[: n // 3]
     x[n // 3 : n // 2] = x[n // 2 : n // 2 + n // 2 - n // 3] + 0.15 * some.standard_normal((n // 2 - n // 3, 64))
-    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
-    want = np.concatenate([(unit[k : k + 1200] @ unit.T >= vectors.COSINE).sum(axis=1) for k in range(0, n, 1200)]) - 1
-    df = spark.createDataFrame([(k, v) for k, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
-    found = np.array([r.n_links for r in vectors.near_vectors(df).orderBy("vec_id").collect()])
-    assert (found <= want).all()
+    found, want = found_and_wanted(spark, x)
     for part in (slice(0, n // 3), slice(n // 3, n)):  # the group, pairs
         assert found[part].sum() >= 0.97 * want[part].sum() > 0
 
