@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from breakwater.llm.tables import keep
+from breakwater.llm.tables import discard, keep
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -22,21 +22,26 @@ def components(links: DataFrame) -> DataFrame:
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         step = keep(both.groupBy("a").agg(F.least("a", F.min("b")).alias("to")), "step")
         for _ in range(2):
-            further = step.select(F.col("a").alias("_at"), F.col("to").alias("_on"))
+            before, further = step, step.select(F.col("a").alias("_at"), F.col("to").alias("_on"))
             step = keep(
                 step.join(further, F.col("to") == F.col("_at")).select("a", F.col("_on").alias("to")), "step"
             )
+            discard(before)
         if labels is None:
-            labels = step.select(F.col("a").alias("node"), F.col("to").alias("component"))
+            labels = keep(step.select(F.col("a").alias("node"), F.col("to").alias("component")), "labels")
         else:
-            moved = labels.join(step, F.col("component") == F.col("a"), "left")
+            before, moved = labels, labels.join(step, F.col("component") == F.col("a"), "left")
             labels = keep(moved.select("node", F.coalesce("to", "component").alias("component")), "labels")
+            discard(before)
         one = step.select("a", F.col("to").alias("_a"))
         two = step.select(F.col("a").alias("b"), F.col("to").alias("_b"))
+        before = links
         links = keep(links.join(one, "a").join(two, "b").where("_a <> _b").select(
             F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b")
         ).distinct(), "links")
+        discard(before, step)
         if links.isEmpty():
+            discard(links)
             return labels
 
 
@@ -53,5 +58,6 @@ def smallest_ids(rows: DataFrame, labels: DataFrame, node: str, row_id: str) ->
     )
     least = keep(placed.groupBy("component").agg(F.min("_least").alias("component_id")), "least")
     found = keep(placed.join(least, "component").select(F.col(node).alias("_node"), "component_id"), "found")
+    discard(nodes, placed, least)
     joined = rows.join(found, F.col(node) == F.col("_node"), "left").drop("_node")
     return joined.withColumn("component_id", F.when(F.col(node).isNull(), F.col(row_id)).otherwise(F.col("component_id")))

@@ -7,12 +7,10 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from breakwater.llm.tables import attach, keep
+from breakwater.llm.tables import attach, bit_filter, filter_bits, keep, marked
 
 #: Code points of a text's opening that are hashed in the second step.
 OPENING = 256
-#: Bits for each entry of a filter, and the most bits a filter has (16 MB).
-BITS_EACH, LEAST_BITS, MOST_BITS = 8, 1 << 15, 1 << 27
 
 
 def normalised(text: str | Column) -> Column:
@@ -47,17 +45,15 @@ def deduplicate(
     )
     noted = keep(whole.select("length", "opening"), "openings")
     total = noted.count()
-    bits = LEAST_BITS
-    while bits < min(MOST_BITS, BITS_EACH * total):
-        bits *= 2
+    bits = filter_bits(total)
 
     lengths = noted.groupBy("length").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    noted = _marked(noted, _filter(lengths, ["length"], bits), ["length"], bits).where("marked")
+    noted = marked(noted, bit_filter(lengths, ["length"], bits), ["length"], bits).where("marked")
     pairs = noted.groupBy("length", "opening").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = _filter(pairs, ["length", "opening"], bits)
+    shared = bit_filter(pairs, ["length", "opening"], bits)
 
     rows = keep(
-        _marked(whole, shared, ["length", "opening"], bits).select(
+        marked(whole, shared, ["length", "opening"], bits).select(
             "doc_id",
             F.monotonically_increasing_id().alias("row"),
             "length",
@@ -92,29 +88,3 @@ def deduplicate(
     out = found.unionByName(single).select("doc_id", "keep_id", "group_size", "kept", "carried.*")
     return out if carry else out.drop("_none")
 
-
-def _place(keys: list[str], bits: int) -> Column:
-    return F.pmod(F.xxhash64(*keys), F.lit(bits)) + 1
-
-
-def _filter(entries: DataFrame, keys: list[str], bits: int) -> DataFrame:
-    """(bucket, bitmap): a filter of the entries, at most 4,096 bitmaps of 4 KB."""
-    return keep(
-        entries.select(_place(keys, bits).alias("place"))
-        .groupBy(F.bitmap_bucket_number("place").alias("bucket"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bitmap")),
-        "filter",
-    )
-
-
-def _marked(rows: DataFrame, bitmaps: DataFrame, keys: list[str], bits: int) -> DataFrame:
-    """``rows`` with ``marked``: false for keys that are certainly not among the filter's entries."""
-    place = F.bitmap_bit_position(_place(keys, bits))
-    byte = F.substring(F.col("bitmap"), (F.expr("_bit div 8") + 1).cast("int"), F.lit(1))
-    value = F.conv(F.hex(byte), 16, 10).cast("int")
-    return (
-        rows.withColumn("_bit", place)
-        .join(F.broadcast(bitmaps), F.bitmap_bucket_number(_place(keys, bits)) == F.col("bucket"), "left")
-        .withColumn("marked", F.coalesce(F.getbit(value, (F.col("_bit") % 8).cast("int")) == 1, F.lit(False)))
-        .drop("_bit", "bucket", "bitmap")
-    )

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from breakwater.llm.components import components, smallest_ids
-from breakwater.llm.tables import keep
+from breakwater.llm.tables import bit_filter, discard, filter_bits, keep, marked
 from breakwater.llm.vectors import _groups as groups
 
 #: Words in a shingle and the similarity, as a fraction, from which documents link.
@@ -189,26 +189,33 @@ def similar(
         "classes",
     )
     tiles = _tiles(classes)
-    alone = classes.select("node", F.col("node").alias("label"))
-    pairs = _candidates(tiles, alone, similarity, True)
+    pairs = _candidates(tiles, None, similarity)
     sets = _sets(rows, classes, _nodes(pairs), words)
     links = _verified(pairs, sets, similarity)
+    discard(pairs)
     labels = _labels(links)
-    pairs = _candidates(tiles, _labelled(alone, labels), similarity, False)
+    alone = classes.select("node", F.col("node").alias("label"))
+    labelled = _labelled(alone, labels)
+    pairs = _candidates(tiles, labelled, similarity)
+    discard(tiles, labelled)
     further = _sets(rows, classes, _nodes(pairs).join(sets, "node", "left_anti"), words)
     rest = _verified(pairs, sets.unionByName(further), similarity)
+    discard(pairs, sets, further)
     if not rest.isEmpty():
+        discard(labels)
         labels = _labels(links.unionByName(rest))
+    discard(links, rest)
     named = classes.select(F.col("key").alias("_key"), "node")
     noded = keep(
         described.join(named, F.col("key") == F.col("_key"), "left").select("doc_id", "n_shingles", "node"), "noded"
     )
+    discard(described, classes)
     return smallest_ids(noded, labels, "node", "doc_id").select("doc_id", "n_shingles", "component_id")
 
 
 def _labels(links: DataFrame) -> DataFrame:
     if links.isEmpty():
-        return links.select(F.col("a").alias("node"), F.col("b").alias("component"))
+        return keep(links.select(F.col("a").alias("node"), F.col("b").alias("component")), "labels")
     return components(links)
 
 
@@ -234,7 +241,7 @@ def _tiles(classes: DataFrame) -> DataFrame:
     lists = keep(shared.groupBy("length", "_x", "_y").agg(F.min("shingle").alias("shingle")), "lists")
     listed = keep(entries.join(lists.select("shingle", "length"), "shingle"), "listed")
     signed = listed.join(classes.select("node", "n", "signature"), "node")
-    return keep(
+    tiles = keep(
         signed.withColumn("_parts", F.expr(f"cast(ceil(length / {TILE}) as int)"))
         .withColumn("side", F.pmod(F.xxhash64("node"), F.col("_parts")).cast("int"))
         .withColumn("_other", F.explode(F.expr("sequence(0, _parts - 1)")))
@@ -244,6 +251,8 @@ def _tiles(classes: DataFrame) -> DataFrame:
         ),
         "tiles",
     )
+    discard(lists, listed)
+    return tiles
 
 
 def _nodes(pairs: DataFrame) -> DataFrame:
@@ -268,9 +277,16 @@ def _most_shared(a: bytes, b: bytes, n_a: int, n_b: int) -> int:
 
 
 def _sets(rows: DataFrame, classes: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
-    """(node, n, bitmap, shingles) of classes, made anew from the text of their first row."""
-    needed = nodes.join(classes.select("node", "key", "doc_id"), "node")
-    chosen = rows.join(needed.select(F.col("doc_id").alias("_doc"), "key", "node"), F.col("doc_id").eqNullSafe(F.col("_doc")))
+    """(node, n, bitmap, shingles) of classes, made anew from the text of their first row. A filter of
+    the ids keeps the texts of other rows out of the shuffle."""
+    needed = keep(
+        nodes.join(classes.select("node", "key", F.col("doc_id").alias("_doc")), "node").select("_doc", "key", "node"),
+        "needed",
+    )
+    bits = filter_bits(needed.count())
+    ids = bit_filter(needed.select(F.col("_doc").alias("doc_id")), ["doc_id"], bits)
+    chosen = marked(rows, ids, ["doc_id"], bits).where("marked")
+    chosen = chosen.join(needed, F.col("doc_id").eqNullSafe(F.col("_doc")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Shingles(words)
@@ -297,9 +313,14 @@ def _sets(rows: DataFrame, classes: DataFrame, nodes: DataFrame, words: int) ->
         run, "node long, n long, bitmap binary, shingles array<long>"
     )
     made = keep(made, "sets")
+    discard(needed, ids)
     # A class has several sets only where rows repeat both id and text.
     repeated = made.groupBy("node").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    return made if repeated.isEmpty() else keep(made.dropDuplicates(["node"]), "sets")
+    if repeated.isEmpty():
+        return made
+    single = keep(made.dropDuplicates(["node"]), "sets")
+    discard(made)
+    return single
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
@@ -315,17 +336,20 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: tuple[int, int]) ->
 
     one = sets.select(F.col("node").alias("a"), F.col("bitmap").alias("_a"), F.col("n").alias("_n"))
     two = sets.select(F.col("node").alias("b"), F.col("bitmap").alias("_b"), F.col("n").alias("_m"))
-    pairs = keep(pairs.join(one, "a").join(two, "b").mapInArrow(possible, "a long, b long"), "possible")
+    possible_pairs = keep(pairs.join(one, "a").join(two, "b").mapInArrow(possible, "a long, b long"), "possible")
     one = sets.select(F.col("node").alias("a"), F.col("shingles").alias("_a"))
     two = sets.select(F.col("node").alias("b"), F.col("shingles").alias("_b"))
-    both = pairs.join(one, "a").join(two, "b").withColumn("_same", F.size(F.array_intersect("_a", "_b")))
+    both = possible_pairs.join(one, "a").join(two, "b").withColumn("_same", F.size(F.array_intersect("_a", "_b")))
     union = F.size("_a") + F.size("_b") - F.col("_same")
-    return keep(both.where(F.col("_same") * of >= union * some).select("a", "b"), "similar")
+    links = keep(both.where(F.col("_same") * of >= union * some).select("a", "b"), "similar")
+    discard(possible_pairs)
+    return links
 
 
-def _candidates(tiles: DataFrame, labels: DataFrame, similarity: tuple[int, int], spanning: bool) -> DataFrame:
-    """Distinct pairs (a, b) of classes of different label that the trees leave. ``spanning``: of
-    each class in a tile only the one with the smallest other class."""
+def _candidates(tiles: DataFrame, labels: DataFrame | None, similarity: tuple[int, int]) -> DataFrame:
+    """Distinct pairs (a, b) of classes of different label that the trees leave. Without labels every
+    class has its own, and of each class in a tile only the pair with the smallest other class is taken."""
+    spanning = labels is None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in groups(batches, ("shingle", "i", "j")):
@@ -337,7 +361,8 @@ def _candidates(tiles: DataFrame, labels: DataFrame, similarity: tuple[int, int]
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
     order = ["shingle", "i", "j"]
-    dealt = tiles.join(labels, "node").repartition(*order).sortWithinPartitions(*order, "n", "node")
+    named = tiles.withColumn("label", F.col("node")) if labels is None else tiles.join(labels, "node")
+    dealt = named.repartition(*order).sortWithinPartitions(*order, "n", "node")
     found = dealt.mapInArrow(run, "a long, b long")
     return keep(found.distinct(), "candidates")
 

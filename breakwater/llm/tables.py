@@ -15,10 +15,13 @@ ROW_BITS = 33
 
 
 def folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, else one in the warehouse."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or one set as checkpoint
+    folder; only a local session without either takes one in its warehouse."""
     context = spark.sparkContext
-    base = context.getConf().get("spark.checkpoint.dir")
+    base = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if base is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(base)
@@ -29,7 +32,54 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     """Writes the rows to the shared folder and reads them back, so that later jobs start from files."""
     path = f"{folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    kept = df.sparkSession.read.schema(df.schema).parquet(path)
+    kept._kept_in = path
+    return kept
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes the files of tables that ``keep`` has returned, once no later plan reads them."""
+    for table in tables:
+        path = table._kept_in
+        hadoop_path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+        hadoop_path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
+#: Bits for each entry of a filter, and the least and most bits a filter has (16 MB).
+BITS_EACH, LEAST_BITS, MOST_BITS = 8, 1 << 15, 1 << 27
+
+
+def filter_bits(entries: int) -> int:
+    bits = LEAST_BITS
+    while bits < min(MOST_BITS, BITS_EACH * entries):
+        bits *= 2
+    return bits
+
+
+def _place(keys: list[str], bits: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(bits)) + 1
+
+
+def bit_filter(entries: DataFrame, keys: list[str], bits: int) -> DataFrame:
+    """(bucket, bitmap): which hashes of the keys occur, at most 4,096 bitmaps of 4 KB."""
+    return keep(
+        entries.select(_place(keys, bits).alias("place"))
+        .groupBy(F.bitmap_bucket_number("place").alias("bucket"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bitmap")),
+        "filter",
+    )
+
+
+def marked(rows: DataFrame, bitmaps: DataFrame, keys: list[str], bits: int) -> DataFrame:
+    """``rows`` with ``marked``: false for keys that are certainly not among the filter's entries."""
+    byte = F.substring(F.col("bitmap"), (F.expr("_bit div 8") + 1).cast("int"), F.lit(1))
+    value = F.conv(F.hex(byte), 16, 10).cast("int")
+    return (
+        rows.withColumn("_bit", F.bitmap_bit_position(_place(keys, bits)))
+        .join(F.broadcast(bitmaps), F.bitmap_bucket_number(_place(keys, bits)) == F.col("bucket"), "left")
+        .withColumn("marked", F.coalesce(F.getbit(value, (F.col("_bit") % 8).cast("int")) == 1, F.lit(False)))
+        .drop("_bit", "bucket", "bitmap")
+    )
 
 
 def free(name: str, taken: list[str]) -> str:

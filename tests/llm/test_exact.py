@@ -33,11 +33,11 @@ def plain(rows):
     return sorted(map(str, out)), Counter({(i, hashlib.sha256(t.encode()).hexdigest()): n for (i, t), n in kept.items()})
 
 
-@pytest.mark.parametrize("share, opening, bits", [(tables.HOT_SHARE, exact.OPENING, exact.LEAST_BITS), (1, 2, 1 << 15), (10**9, 0, 1 << 16)])
+@pytest.mark.parametrize("share, opening, bits", [(tables.HOT_SHARE, exact.OPENING, tables.LEAST_BITS), (1, 2, 1 << 15), (10**9, 0, 1 << 16)])
 def test_copies_of_odd_texts(spark, monkeypatch, share, opening, bits):
     monkeypatch.setattr(tables, "HOT_SHARE", share)
     monkeypatch.setattr(exact, "OPENING", opening)
-    monkeypatch.setattr(exact, "LEAST_BITS", bits)
+    monkeypatch.setattr(tables, "LEAST_BITS", bits)
     docs = spark.createDataFrame(rows(), SCHEMA)
     digest = exact.F.sha2(exact.normalised("text"), 256).alias("sha")
     got = exact.deduplicate(docs, carry=[digest]).collect()
@@ -55,8 +55,8 @@ def test_nothing_and_one(spark):
 
 def test_a_full_filter_costs_nothing_but_hashes(spark, monkeypatch):
     """Bits that are all taken let every row through; the groups stay right."""
-    monkeypatch.setattr(exact, "MOST_BITS", 1)
-    monkeypatch.setattr(exact, "LEAST_BITS", 1)
+    monkeypatch.setattr(tables, "LEAST_BITS", 1)
+    monkeypatch.setattr(tables, "MOST_BITS", 1)
     got = exact.deduplicate(spark.createDataFrame(rows(), SCHEMA)).collect()
     assert sorted(str((r.doc_id, r.keep_id, r.group_size)) for r in got) == sorted(
         str(tuple(__import__("ast").literal_eval(s)[:3])) for s in plain(rows())[0]
