@@ -378,6 +378,8 @@ def measures(runs: DataFrame, breaks: DataFrame, trades: DataFrame) -> DataFrame
     rows = F.array(*[F.struct(F.lit(n).alias("Measure"), v.alias("Value")) for n, v in named.items()])
     out = sums.select(F.explode(rows).alias("_m")).select("_m.*")
     if timing:
-        mean = runs.agg(F.avg("Execution_Time").alias("Value"))
+        # Seconds are kept to four places; a sum of decimals is the same in any order.
+        seconds = F.sum(F.col("Execution_Time").cast("decimal(18,4)")).cast("double")
+        mean = runs.agg((seconds / F.count("Execution_Time")).alias("Value"))
         out = out.unionByName(mean.select(F.lit("Average_Processing_Time").alias("Measure"), "Value"))
     return out

@@ -664,7 +664,8 @@ def statements() -> dict[str, str]:
         "executive_kpis_timed": _with(["runs"], _kpis("round(Front_Count / 1000, 4)")),
         "measures_timed": _with(
             ["runs", "breaks"],
-            _measures() + " UNION ALL SELECT 'Average_Processing_Time', avg(round(Front_Count / 1000, 4)) FROM runs",
+            _measures() + " UNION ALL SELECT 'Average_Processing_Time', CAST(sum(CAST(round(Front_Count / 1000, 4)"
+            " AS DECIMAL(18,4))) AS DOUBLE) / count(*) FROM runs",
         ),
         "execution_times": _with(["runs"], "SELECT Run_ID, true AS Is_Timed, true AS Is_Shown FROM runs"),
         "kpi_cards": _with(["runs"], _cards()),
