@@ -18,8 +18,9 @@ from breakwater.llm.vectors import _groups as groups
 WORDS, SIMILARITY = 5, (4, 5)
 #: Bits of a signature, children of a tree node, documents on one side of a tile.
 BITS, FAN_OUT, TILE = 1024, 16, 1024
-#: Shingles that are sorted last: so many at most, found among so many of each chunk.
-FREQUENT, FREQUENT_OF_CHUNK, CHUNK = 20_000, 2_000, 1 << 21
+#: Places of the sketch that says how frequent shingles are, and of one slice of it.
+PLACE_BITS = 24
+PLACES, SLICE = 1 << PLACE_BITS, 1 << 16
 REMEMBERED = 500_000
 
 
@@ -62,58 +63,59 @@ class Shingles:
         return (xxhash.xxh3_128_hexdigest(b" ".join(words)) if words else None), x[distinct]
 
 
-def _frequent(docs: DataFrame, words: int) -> np.ndarray:
-    """Shingles that occur often, the most frequent last; at most FREQUENT of them.
+def _levels(docs: DataFrame, words: int) -> np.ndarray:
+    """How often shingles occur, as a sketch over all of them: the occurrences of each of ``PLACES``
+    hash values, as a level of six steps to a doubling.
 
-    They only settle an order, on which the results don't depend: candidates are looked up by
-    other shingles as long as there are any.
+    Levels only settle an order, on which the results don't depend: candidates are looked up by the
+    shingles that seem rarest. Tasks count into an array of fixed size and send it in compressed
+    slices, a byte of all counts after another; the driver gets one byte a place.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, held, n = Shingles(words), [], 0
-
-        def counted() -> pa.RecordBatch:
-            x, counts = np.unique(np.concatenate(held), return_counts=True)
-            top = np.argsort(-counts, kind="stable")[:FREQUENT_OF_CHUNK]
-            top = top[counts[top] > 3]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(x[top].view(np.int64)), pa.array(counts[top].astype(np.int64))], names=["shingle", "n"]
-            )
-
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, counts = Shingles(words), np.zeros(PLACES, np.uint32)
         for batch in batches:
             for text in batch.column("text"):
-                held.append(own.all(text.as_py())[1])
-                n += len(held[-1])
-                if n >= CHUNK:
-                    yield counted()
-                    held, n = [], 0
-        if held:
-            yield counted()
+                np.add.at(counts, _places(own.all(text.as_py())[1]), 1)
+        for k, part in enumerate(counts.reshape(-1, SLICE)):
+            if part.any():
+                planes = np.ascontiguousarray(part.view(np.uint8).reshape(-1, 4).T)
+                data = pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([data])], names=["slice", "data"])
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, data in zip(batch.column("slice").to_pylist(), batch.column("data"), strict=True):
+                planes = np.frombuffer(pa.decompress(data.as_py(), 4 * SLICE, "zstd", asbytes=True), np.uint8)
+                part = np.ascontiguousarray(planes.reshape(4, -1).T).view(np.uint32).ravel()
+                sums[k] = sums[k] + part if k in sums else part.astype(np.int64)
+        for k, part in sums.items():
+            levels = np.minimum(255, 6 * np.log2(part + 1)).astype(np.uint8)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([k], pa.int32()), pa.array([levels.tobytes()])], names=["slice", "data"]
+            )
+
+    schema = "slice int, data binary"
+    sums = docs.select("text").mapInArrow(counted, schema).repartition("slice").mapInArrow(added, schema)
+    levels = np.zeros((PLACES // SLICE, SLICE), np.uint8)
+    for row in sums.collect():
+        levels[row.slice] = np.frombuffer(row.data, np.uint8)
+    return levels.ravel()
+
 
-    found = docs.select("text").mapInArrow(run, "shingle long, n long")
-    top = found.groupBy("shingle").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "shingle").limit(FREQUENT)
-    rows = top.collect()
-    return np.array([r.shingle for r in reversed(rows)], np.int64).view(np.uint64)
+def _places(x: np.ndarray) -> np.ndarray:
+    return (x >> np.uint64(64 - PLACE_BITS)).astype(np.int64)
 
 
 def _described(docs: DataFrame, words: int, similarity: tuple[int, int]) -> DataFrame:
     """Per row: doc_id, key, n_shingles, prefix (shingles one of which a linked document shares)
     and signature."""
     some, of = similarity
-    late = docs.sparkSession.sparkContext.broadcast(_frequent(docs, words))
+    sent = docs.sparkSession.sparkContext.broadcast(_levels(docs, words))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, order = Shingles(words), late.value
-        by_value = np.argsort(order)
-        ascending = order[by_value]
-
-        def places(x: np.ndarray) -> np.ndarray:
-            """Places in the order of frequent shingles, -1 for the others."""
-            if not len(ascending):
-                return np.full(len(x), -1)
-            at = np.minimum(np.searchsorted(ascending, x), len(ascending) - 1)
-            return np.where(ascending[at] == x, by_value[at], -1)
-
+        own, levels = Shingles(words), sent.value
         for batch in batches:
             keys, sizes, prefixes, signatures = [], [], [], []
             for text in batch.column("text"):
@@ -121,16 +123,12 @@ def _described(docs: DataFrame, words: int, similarity: tuple[int, int]) -> Data
                 n = len(x)
                 # Linked sets share at least the fraction of the larger one.
                 take = n - (some * n + of - 1) // of + 1 if n else 0
-                # Mostly the smaller values already hold enough shingles that are not frequent.
-                head = x[: 2 * take]
-                ranked = head[places(head) < 0]
-                if len(ranked) < take:
-                    ranked = x[np.argsort(places(x), kind="stable")]
+                rarest = np.argsort(levels[_places(x)], kind="stable")[:take]  # ties in the order of x
                 bits = np.zeros(BITS, np.uint8)
                 bits[(x >> np.uint64(20)).astype(np.int64) % BITS] = 1
                 keys.append(key)
                 sizes.append(n)
-                prefixes.append(ranked[:take].view(np.int64))
+                prefixes.append(x[rarest].view(np.int64))
                 signatures.append(np.packbits(bits).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [
