@@ -18,6 +18,8 @@ from breakwater.llm.vectors import _groups as groups
 WORDS, SIMILARITY = 5, (4, 5)
 #: Bits of a signature, children of a tree node, documents on one side of a tile.
 BITS, FAN_OUT, TILE = 1024, 16, 1024
+#: Other lists of its class that a list knows at most: fewer let a pair be proposed more often, none is missed.
+EARLIER = 16
 #: Places of the sketch that says how frequent shingles are, and of one slice of it.
 PLACE_BITS = 24
 PLACES, SLICE = 1 << PLACE_BITS, 1 << 16
@@ -224,7 +226,8 @@ def _labelled(alone: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _tiles(classes: DataFrame) -> DataFrame:
-    """(shingle, i, j, side, node, n, signature): the classes that share a prefix shingle."""
+    """(shingle, i, j, side, node, n, signature, earlier): the classes that share a prefix shingle, and
+    other such shingles of each class, whose tiles propose its pairs already."""
     entries = classes.select("node", F.explode("prefix").alias("shingle"))
     shared = (
         entries.groupBy("shingle")
@@ -238,14 +241,20 @@ def _tiles(classes: DataFrame) -> DataFrame:
     # Of shingles shared by the very same classes one is enough.
     lists = keep(shared.groupBy("length", "_x", "_y").agg(F.min("shingle").alias("shingle")), "lists")
     listed = keep(entries.join(lists.select("shingle", "length"), "shingle"), "listed")
-    signed = listed.join(classes.select("node", "n", "signature"), "node")
+    # Of each class its lists, the longest first; a list knows some of those before it.
+    own = listed.groupBy("node").agg(F.sort_array(F.collect_list(F.struct(-F.col("length"), "shingle"))).alias("_own"))
+    signed = own.join(classes.select("node", "n", "signature"), "node").select(
+        "node", "n", "signature", F.col("_own.shingle").alias("_all"), F.posexplode("_own").alias("_at", "_list")
+    )
     tiles = keep(
-        signed.withColumn("_parts", F.expr(f"cast(ceil(length / {TILE}) as int)"))
+        signed.withColumn("shingle", F.col("_list.shingle"))
+        .withColumn("earlier", F.slice("_all", F.lit(1), F.least(F.col("_at"), F.lit(EARLIER))))
+        .withColumn("_parts", F.expr(f"cast(ceil(-_list.col1 / {TILE}) as int)"))
         .withColumn("side", F.pmod(F.xxhash64("node"), F.col("_parts")).cast("int"))
         .withColumn("_other", F.explode(F.expr("sequence(0, _parts - 1)")))
         .select(
             "shingle", F.least("side", "_other").alias("i"), F.greatest("side", "_other").alias("j"),
-            "side", "node", "n", "signature",
+            "side", "node", "n", "signature", "earlier",
         ),
         "tiles",
     )
@@ -332,15 +341,23 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: tuple[int, int]) ->
             good = [(of + some) * _most_shared(a, b, n, m) >= some * (n + m) for a, b, n, m in values]
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    one = sets.select(F.col("node").alias("a"), F.col("bitmap").alias("_a"), F.col("n").alias("_n"))
-    two = sets.select(F.col("node").alias("b"), F.col("bitmap").alias("_b"), F.col("n").alias("_m"))
+    def sides(pairs: DataFrame, column: str) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
+        """The column for the nodes of either end; filters keep the others out of the shuffle."""
+        bits, filters, ends = filter_bits(pairs.count()), [], []
+        for end, value, size in (("a", "_a", "_n"), ("b", "_b", "_m")):
+            filters.append(bit_filter(pairs.select(end), [end], bits))
+            named = sets.select(F.col("node").alias(end), F.col(column).alias(value), F.col("n").alias(size))
+            ends.append(marked(named, filters[-1], [end], bits).where("marked").drop("marked"))
+        return *ends, filters
+
+    one, two, filters = sides(pairs, "bitmap")
     possible_pairs = keep(pairs.join(one, "a").join(two, "b").mapInArrow(possible, "a long, b long"), "possible")
-    one = sets.select(F.col("node").alias("a"), F.col("shingles").alias("_a"))
-    two = sets.select(F.col("node").alias("b"), F.col("shingles").alias("_b"))
+    discard(*filters)
+    one, two, filters = sides(possible_pairs, "shingles")
     both = possible_pairs.join(one, "a").join(two, "b").withColumn("_same", F.size(F.array_intersect("_a", "_b")))
     union = F.size("_a") + F.size("_b") - F.col("_same")
     links = keep(both.where(F.col("_same") * of >= union * some).select("a", "b"), "similar")
-    discard(possible_pairs)
+    discard(possible_pairs, *filters)
     return links
 
 
@@ -349,12 +366,21 @@ def _candidates(tiles: DataFrame, labels: DataFrame | None, similarity: tuple[in
     class has its own, and of each class in a tile only the pair with the smallest other class is taken."""
     spanning = labels is None
 
+    def new(group: pa.Table, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """False for pairs whose classes have an earlier shingle in common."""
+        earlier = dict(zip(group.column("node").to_pylist(), map(set, group.column("earlier").to_pylist()), strict=True))
+        pairs = zip(a.tolist(), b.tolist(), strict=True)
+        return np.fromiter((earlier[x].isdisjoint(earlier[y]) for x, y in pairs), bool, len(a))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in groups(batches, ("shingle", "i", "j")):
             a, b = _traverse(group, similarity)
             if spanning and len(a):
                 a, at = np.unique(a, return_index=True)
                 b = b[at]
+            elif len(a):
+                first = new(group, a, b)
+                a, b = a[first], b[first]
             if len(a):
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
