@@ -7,8 +7,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from breakwater.llm.tables import keep
 from breakwater.llm.vectors import _groups as groups
@@ -411,7 +412,11 @@ def _spans(docs: DataFrame) -> DataFrame:
 
 
 def remove_repeats(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", characters: bool = False
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    characters: bool = False,
+    carry: Column | None = None,
 ) -> DataFrame:
     """Removes each byte covered by a string of 200 bytes that also starts anywhere else.
 
@@ -425,15 +430,17 @@ def remove_repeats(
 
     Returns doc_id, n_bytes, kept (binary, the remaining bytes; not always whole characters),
     n_removed, n_spans (maximal removed runs), with ``characters`` also text: the characters that
-    remain whole, without the pieces at the ends of removed runs. Null texts count as empty; rows of one doc_id
+    remain whole, without the pieces at the ends of removed runs, and ``carry``, a column of any kind
+    that comes along with each row. Null texts count as empty; rows of one doc_id
     are texts each, repeated rows repeat each other's strings; an empty table gives no rows;
     other columns are ignored.
     """
     rows = docs.select(
         F.col(f"`{doc_id}`").alias("doc_id"),
         F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"),
+        *([] if carry is None else [carry.alias("carry")]),
     ).withColumn("key", F.unhex(F.md5(F.col("text").cast("binary"))))
-    kind = rows.schema["doc_id"].dataType.simpleString()
+    carried = ["carry"] if carry is not None else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -458,14 +465,21 @@ def remove_repeats(
                     pa.array(removed, pa.int64()),
                     pa.array(count, pa.int64()),
                     *([pa.array(whole, pa.string())] if characters else []),
+                    *(batch.column(c) for c in carried),
                 ],
-                names=["doc_id", "n_bytes", "kept", "n_removed", "n_spans", *(["text"] if characters else [])],
+                names=[f.name for f in schema],
             )
 
-    spans = _spans(rows)
-    joined = rows.join(spans, F.col("key") == F.col("_key"), "left").select("doc_id", "text", "spans")
-    schema = f"doc_id {kind}, n_bytes long, kept binary, n_removed long, n_spans long"
-    return joined.mapInArrow(run, schema + ", text string" if characters else schema)
+    spans = _spans(rows.drop(*carried))
+    joined = rows.join(spans, F.col("key") == F.col("_key"), "left").select("doc_id", "text", "spans", *carried)
+    schema = T.StructType([joined.schema["doc_id"]])
+    schema.add("n_bytes", T.LongType()).add("kept", T.BinaryType())
+    schema.add("n_removed", T.LongType()).add("n_spans", T.LongType())
+    if characters:
+        schema.add("text", T.StringType())
+    for c in carried:
+        schema.add(joined.schema[c])
+    return joined.mapInArrow(run, schema)
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:

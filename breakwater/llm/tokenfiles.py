@@ -215,7 +215,8 @@ def write(
 class Library:
     """The tokenizers library behind a memory of pieces, which a worker keeps for all its tasks.
 
-    Strings of special tokens are ordinary text. The library runs on the task's own core.
+    A text with the string of an added token is encoded whole, by the library as it comes; in the
+    pieces of all others there are none. The library runs on the task's own core.
     """
 
     def __init__(self, spec: str):
@@ -234,14 +235,19 @@ class Library:
         from tokenizers import Tokenizer
 
         self.own = Tokenizer.from_str(self.spec)
-        self.own.encode_special_tokens = True
+        self.added = [t.content for t in self.own.get_added_tokens_decoder().values()]
         self.memory = Memory(self._learn, REMEMBERED)
         ids = self._ids(["\n"])[0]
         self.line_end = int(ids[0]) if len(ids) == 1 else None
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as little-endian unsigned 32-bit integers."""
-        return self.memory.encode(texts)
+        whole = [k for k, text in enumerate(texts) if any(mark in text for mark in self.added)]
+        if not whole:
+            return self.memory.encode(texts)
+        alone = dict(zip(whole, self._ids([texts[k] for k in whole]), strict=True))
+        others = iter(self.memory.encode([t for k, t in enumerate(texts) if k not in alone]))
+        return [alone[k].tobytes() if k in alone else next(others) for k in range(len(texts))]
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(c.ids, "<u4") for c in self.own.encode_batch_fast(texts, add_special_tokens=False)]

@@ -153,7 +153,7 @@ def score(
         features = Features()
         for batch in batches:
             scores = []
-            for own in batch.column(batch.schema.get_field_index(text)):
+            for own in batch.column("row").field(text):
                 if not len(index):
                     scores.append(0.0)
                     continue
@@ -161,11 +161,13 @@ def score(
                 hit = x[dense[x] != 0.0]
                 scores.append(_sigmoid(dense[BIAS] + dense[np.unique(hit)].sum()))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(scores, pa.float64())], names=[*batch.schema.names, name]
+                [batch.column("row"), pa.array(scores, pa.float64())], names=["row", "score"]
             )
 
-    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())])
-    return docs.mapInArrow(run, schema)
+    # In one column, names of any kind get through.
+    packed = docs.select(F.struct("*").alias("row"))
+    scored = packed.mapInArrow(run, T.StructType([*packed.schema.fields, T.StructField("score", T.DoubleType())]))
+    return scored.select("row.*", F.col("score").alias(name))
 
 
 def classify(

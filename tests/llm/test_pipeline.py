@@ -112,6 +112,18 @@ def test_columns_of_our_names_stay(spark, tmp_path, extra):
     assert got and set(got) <= set(rows)
 
 
+def test_columns_of_any_kind_stay(spark, tmp_path):
+    rows = [(k, f"plain words number {k} here", "ab"[k % 2], {"k": k}, k / 2) for k in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, m map<string,int>, `a.b` double")
+    spark.createDataFrame([(1, 0), (2, 1)], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    before = docs.columns
+    for name, stage in pipeline.STAGES[:-1]:
+        docs = pipeline.keep(stage(spark, docs, str(tmp_path)), name)
+        assert docs.columns == before
+    got = [tuple(r) for r in docs.collect()]
+    assert got and all(r in rows for r in got)
+
+
 def test_only_cut_characters_go_with_repeats(spark):
     one, two = ("".join(chr(97 + (k * k * m) % 23) + str(k) for k in range(120)) for m in (3, 5))
     texts = [f"keep \ufffd one é{one}é tail one", f"other \ufffd two ĩ{one}ã end two", f"x \ufffd é{two}1", f"y \ufffd ĩ{two}2"]

@@ -102,7 +102,6 @@ def test_frames_give_back_their_ids(n, kinds):
 
 def expected(pairs):
     own = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    own.encode_special_tokens = True
     start, out = 0, []
     for doc, text in pairs:
         ids = np.array([*own.encode(text, add_special_tokens=False).ids, queries.END_ID], "<u4")
@@ -119,7 +118,9 @@ def test_files_over_documents(spark, medium_dir):
 
 
 def test_files_of_odd_rows(spark):
-    docs = spark.createDataFrame(ROWS, SCHEMA)
+    marked = ["hello <|endoftext|> there", "<|endoftext|>", " <|endoftext|><|endoftext|>x", "<|endoftext", "a\n<|endoftext|>\n b"]
+    rows = [*ROWS, *((100 + k, t, *ROWS[0][2:]) for k, t in enumerate(marked))]
+    docs = spark.createDataFrame(rows, SCHEMA)
 
     def stored(rows):
         path = tokenfiles.fresh_path(spark)
@@ -127,6 +128,6 @@ def test_files_of_odd_rows(spark):
         return [tuple(r) for r in tokenfiles.read(spark, path).orderBy("start").collect()]
 
     got = [(d, s, len(i) // 4, zlib.crc32(i)) for d, s, i in stored(docs)]
-    pairs = [(d, t or "") for d, t, *_ in ROWS]
+    pairs = [(d, t or "") for d, t, *_ in rows]
     assert got == expected(sorted(pairs, key=lambda p: (p[0] is not None, p[0] or 0, p[1].encode())))
     assert stored(docs.where(F.lit(False))) == []
