@@ -16,12 +16,16 @@ from breakwater.llm import bpe, jaccard, mixing, suffixes, toxicity
 from breakwater.llm.tables import free, keep
 
 
+def quoted(columns: list[str]) -> list[str]:
+    return ["`" + c.replace("`", "``") + "`" for c in columns]
+
+
 def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that the classifier, fitted on the labels of ``sf_dir``, calls toxic."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     weights = toxicity.train(docs, labels)
     name = free("_toxicity", docs.columns)
-    return toxicity.score(docs, weights, name=name).where(F.col(name) < toxicity.THRESHOLD).select(*docs.columns)
+    return toxicity.score(docs, weights, name=name).where(F.col(name) < toxicity.THRESHOLD).select(*quoted(docs.columns))
 
 
 def near_duplicates_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,18 +36,17 @@ def near_duplicates_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     named = rows.select(F.struct("doc_id", F.col(row).alias("_row")).alias("_id"), "text")
     groups = jaccard.similar(named, words=5, similarity=(4, 5), doc_id="_id")
     kept = groups.where("doc_id = component_id").select(F.col("doc_id._row").alias(row))
-    return rows.join(kept, row, "left_semi").select(*docs.columns)
+    return rows.join(kept, row, "left_semi").select(*quoted(docs.columns))
 
 
 def repeats_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Removes the bytes of strings of 200 bytes that start elsewhere too. Pieces of a character
     cut by that go as well; n_chars is counted anew; documents left without text stay."""
-    others = [c for c in docs.columns if c != "text"]
-    rows = docs.select(F.struct(*others).alias("_id"), "text")
-    clean = suffixes.remove_repeats(rows, doc_id="_id", characters=True).select("doc_id.*", "text")
-    if "n_chars" in others:
+    others = F.struct(*quoted([c for c in docs.columns if c != "text"]))
+    clean = suffixes.remove_repeats(docs, characters=True, carry=others).select("carry.*", "text")
+    if "n_chars" in docs.columns:
         clean = clean.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return clean.select(*docs.columns)
+    return clean.select(*quoted(docs.columns))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
