@@ -7,16 +7,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from breakwater.llm.tables import numbered, partitions
+from breakwater.llm.tables import keep, partitions
 
 #: Two moduli with a base each; products of residues fit in 64 bits.
 MODULI = ((2147483647, 911382323), (2147483629, 972663749))
 #: Code points in a span, and spans in a fingerprint.
 SPAN, KEPT = 24, 64
-#: Ranges of documents per shuffle partition.
+#: Parts of the order per shuffle partition.
 RANGES = 4
 
 _powers: list[np.ndarray] = []
@@ -124,40 +124,33 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
-def with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows (doc_id, text, bucket, extra) in which each document is followed, in its partition
-    and bucket, by the next one in ascending order; the last by the first.
+def in_order(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Rows (doc_id, text, part) in ascending order inside each part, and from part to part.
 
-    Buckets are ranges of equal numbers of rows. The first row of each range is repeated, as
-    ``extra``, at the end of the range before, so that texts are shuffled once.
+    One range shuffle, of which the number of parts is a setting. Repeated rows tie on id and
+    text; their place in the input sets them apart, so that they spread over parts as others do.
     """
-    spark = docs.sparkSession
-    rows = docs.select(
-        F.col(f"`{doc_id}`").alias("doc_id"),
-        F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"),
-    ).withColumn("_mix", F.xxhash64("text"))
-    placed = numbered(rows.select("doc_id", "_mix"), [F.col("doc_id"), F.col("_mix")], "_at")
-    n = partitions(spark) * RANGES
-    size = max(1, -(-placed.count() // n))
-    # One row for each range: their number is a setting.
-    firsts = placed.where(F.col("_at") % size == 0).orderBy("_at").select("doc_id", "_mix").distinct()
-    cuts = sorted(firsts.collect(), key=lambda r: (r[0] is not None, r[0] if r[0] is not None else 0, r[1]))
-    kind = rows.schema["doc_id"].dataType
-    marks = [F.struct(F.lit(c[0]).cast(kind).alias("doc_id"), F.lit(c[1]).cast("long").alias("_mix")) for c in cuts]
-    if not marks:
-        return rows.select("doc_id", "text", F.lit(0).alias("bucket"), F.lit(True).alias("extra")).limit(0)
-    bounds, own = F.array(*marks), F.struct("doc_id", "_mix")
-    rows = rows.withColumn("bucket", F.size(F.filter(bounds, lambda b: b <= own)) - 1)
-    first = F.get(bounds, F.col("bucket")).eqNullSafe(own)
-    extra = rows.where(first).withColumn("bucket", (F.col("bucket") + len(marks) - 1) % len(marks))
-    both = rows.withColumn("extra", F.lit(False)).unionByName(extra.withColumn("extra", F.lit(True)))
+    order = [F.col("doc_id"), F.col("_mix"), F.col("_row")]
     return (
-        both.repartition(n, "bucket")
-        .sortWithinPartitions("bucket", "extra", "doc_id", "_mix", "text")
-        .select("doc_id", "text", "bucket", "extra")
+        docs.select(
+            F.col(f"`{doc_id}`").alias("doc_id"),
+            F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"),
+        )
+        .withColumn("_mix", F.xxhash64("text"))
+        .withColumn("_row", F.monotonically_increasing_id())
+        .repartitionByRange(partitions(docs.sparkSession) * RANGES, *order)
+        .sortWithinPartitions(*order)
+        .select("doc_id", "text", F.spark_partition_id().alias("part"))
     )
 
 
+#: What a comparison writes down of a document, digests as bytes.
+COMPARED = (
+    "n_chars long, edited_chars long, edited_sha256 binary, print binary, edited_print binary, "
+    "near_edited double, near_next double, common_edited long, common_next long"
+)
+
+
 def compare_edits(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Fingerprints every whole text and its edited text, and compares.
 
@@ -167,56 +160,107 @@ def compare_edits(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     binary search). Null texts count as empty; a null doc_id is the smallest; documents of the
     same id follow each other by a hash of their text; a single document is its own next. An
     empty table gives no rows, other columns are ignored. A task holds two documents at a time.
+
+    Each part of the order is compared in one task, which leaves its first and its last text
+    beside the results. These, two for each part, are then compared from part to part. The
+    first results are written, since the parts could be cut elsewhere when computed again.
     """
-    rows = with_next(docs, doc_id, text)
-    kind = rows.schema["doc_id"].dataType.simpleString()
+    rows = in_order(docs, doc_id, text)
+    own_id = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
-        out: list[tuple] = []
         for batch in batches:
-            schema = batch.schema.field("doc_id").type
-            columns = (batch.column(c) for c in ("doc_id", "text", "bucket", "extra"))
-            for doc, own, bucket, extra in zip(*columns, strict=True):
-                own, bucket = own.as_py(), bucket.as_py()
-                if extra.as_py() and (held is None or held[2] != bucket):
-                    continue  # the range's last document has met its next one
-                prefixes = Prefixes(own)
-                now = (doc.as_py(), own, bucket, prefixes, prefixes.fingerprint())
-                if held is not None and held[2] == bucket:
-                    out.append(_row(held, now))
-                held = None if extra.as_py() else now
+            kind, out = batch.schema.field("doc_id").type, []
+            for doc, own, part in zip(*(batch.column(c) for c in ("doc_id", "text", "part")), strict=True):
+                now = _described(doc.as_py(), own.as_py())
+                if held is None:
+                    out.append(_end(now, part.as_py(), True))
+                else:
+                    out.append((*_row(held, now), None, None, None))
+                held, at = now, part.as_py()
             if out:
-                yield _batch(out, schema)
-                out = []
+                yield _batch(out, kind, ENDS)
+        if held is not None:
+            yield _batch([_end(held, at, False)], kind, ENDS)
+
+    def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = (batch.column(c) for c in ("doc_id", "text", "following"))
+            for doc, own, following in zip(*columns, strict=True):
+                row = _row(_described(doc.as_py(), own.as_py()), _described(None, following.as_py()))
+                yield _batch([row], batch.schema.field("doc_id").type)
+
+    written = keep(rows.mapInArrow(inside, f"{own_id}, {COMPARED}, part int, first boolean, text string"), "compared")
+    ends = written.where(F.col("part").isNotNull()).select("doc_id", "text", "part", "first")
+    firsts = ends.where("first").select(F.col("part").alias("_next"), F.col("text").alias("following"))
+    # Numbers of parts only; the last is followed by the first, parts may be empty.
+    order = Window.orderBy("part")
+    turn = ends.where("first").select(
+        "part",
+        F.coalesce(F.lead("part").over(order), F.first("part").over(order)).alias("_next"),
+    )
+    lasts = ends.where(~F.col("first")).join(turn, "part").join(firsts, "_next")
+    met = lasts.select("doc_id", "text", "following").mapInArrow(across, f"{own_id}, {COMPARED}")
+    both = written.where(F.col("part").isNull()).drop("part", "first", "text").unionByName(met)
+    return both.select(
+        "doc_id",
+        "n_chars",
+        F.lower(F.hex("edited_sha256")).alias("edited_sha256"),
+        _shown("n_chars", "print").alias("fingerprint"),
+        _shown("edited_chars", "edited_print").alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+        "common_edited",
+        "common_next",
+    )
+
 
-    return rows.mapInArrow(
-        run,
-        f"doc_id {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
-        "near_edited double, near_next double, common_edited long, common_next long",
+def _shown(n_chars: str, digest: str) -> Column:
+    """The text form of a fingerprint that was written as bytes."""
+    digits = F.hex(digest)
+    return F.lower(
+        F.concat_ws("-", F.hex(n_chars), F.substring(digits, 1, 16), F.substr(digits, F.lit(17)))
     )
 
 
+def _packed(fingerprint: str) -> bytes:
+    return bytes.fromhex("".join(fingerprint.split("-")[1:]))
+
+
+def _described(doc: object, text: str) -> tuple:
+    prefixes = Prefixes(text)
+    return doc, text, prefixes, prefixes.fingerprint()
+
+
+def _end(own: tuple, part: int, first: bool) -> tuple:
+    """A row that holds the first or the last text of a part in place of a comparison."""
+    return (own[0], *[None] * 9, part, first, own[1])
+
+
 def _row(own: tuple, following: tuple) -> tuple:
-    new = edited(own[1], following[1])
-    prefixes = Prefixes(new)
-    print_ = prefixes.fingerprint()
+    new = _described(None, edited(own[1], following[1]))
     return (
         own[0],
         len(own[1]),
-        hashlib.sha256(new.encode()).hexdigest(),
-        own[4],
-        print_,
-        likeness(own[4], print_),
-        likeness(own[4], following[4]),
-        own[3].extension(0, prefixes, 0),
-        own[3].extension(0, following[3], 0),
+        len(new[1]),
+        hashlib.sha256(new[1].encode()).digest(),
+        _packed(own[3]),
+        _packed(new[3]),
+        likeness(own[3], new[3]),
+        likeness(own[3], following[3]),
+        own[2].extension(0, new[2], 0),
+        own[2].extension(0, following[2], 0),
     )
 
 
-def _batch(rows: list[tuple], id_type: pa.DataType) -> pa.RecordBatch:
-    long, text, real = pa.int64(), pa.string(), pa.float64()
-    kinds = [id_type, long, text, text, text, real, real, long, long]
-    names = "doc_id n_chars edited_sha256 fingerprint edited_fingerprint near_edited near_next common_edited common_next"
-    columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
-    return pa.RecordBatch.from_arrays(columns, names=names.split())
+_long, _bytes, _real = pa.int64(), pa.binary(), pa.float64()
+_KINDS = [_long, _long, _bytes, _bytes, _bytes, _real, _real, _long, _long]
+#: The further columns of a part's first and last text.
+ENDS = {"part": pa.int32(), "first": pa.bool_(), "text": pa.string()}
+
+
+def _batch(rows: list[tuple], id_type: pa.DataType, more: dict[str, pa.DataType] = {}) -> pa.RecordBatch:
+    names = ["doc_id", *(c.split()[0] for c in COMPARED.split(", ")), *more]
+    columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), [id_type, *_KINDS, *more.values()], strict=True)]
+    return pa.RecordBatch.from_arrays(columns, names=names)

@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 import pytest
 from compare import connect, differences
 
-from breakwater.llm import chat, prints, queries, sharding
+from breakwater.llm import chat, prints, queries, sharding, tables
 
 SCHEMA = "doc_id long, text string, source string, size long, shard int, bucket int"
 ROWS = [
@@ -60,7 +60,10 @@ def test_odd_rows_are_sharded(spark):
     assert sharding.interleave(docs).count() == len(ROWS)
 
 
-def test_snapshots_collapse(spark):
+@pytest.mark.parametrize("share", [0, 3, 1000], ids=["none hot", "one hot", "all hot"])
+def test_snapshots_collapse(spark, monkeypatch, share):
+    monkeypatch.setattr(chat, "HOT_SHARE", share)
+    monkeypatch.setattr(tables, "HOT_SHARE", share)
     said = [("user", "hi"), ("bot", None), (None, ""), ("user", "more")]
     logs = {1: said[:2], 2: said, 3: said, 4: said[:3], 5: [("user", "other")], None: said[:1], 6: [("bot", "")]}
     rows = [(c, k * 10, r, t, c, 0) for c, turns in logs.items() for k, (r, t) in enumerate(turns)]
@@ -77,6 +80,11 @@ def test_snapshots_collapse(spark):
 
     want = {2: said, 5: logs[5], 6: logs[6], 7: [("a", "tie")] * 2, 8: [("u", f"turn {k}") for k in range(600)]}
     assert got == {c: plain(s) for c, s in want.items()}
+    kept = defaultdict(list)
+    for r in sorted(chat.maximal(turns).collect(), key=lambda r: (r.conv_id, r.place)):
+        assert r.turns == len(want[r.conv_id])
+        kept[r.conv_id].append((r.role, r.text))
+    assert kept == want
     assert chat.render(turns.limit(0)).count() == 0
 
 
@@ -115,6 +123,62 @@ def test_fingerprints_over_documents(spark, medium_dir):
         assert r.common_edited >= r.n_chars - r.n_chars // 2
 
 
+def plain_print(text):
+    """The fingerprint from each span's own polynomial, in Python's integers."""
+    codes = [ord(c) + 1 for c in text]
+    powers = [[pow(base, k, p) for k in range(max(prints.SPAN, len(codes)))] for p, base in prints.MODULI]
+
+    def value(span):
+        high, low = (sum(map(int.__mul__, span, own)) % p for own, (p, _) in zip(powers, prints.MODULI))
+        return high << 31 | low
+
+    size, found = min(prints.SPAN, len(codes)), set()
+    for k in range(len(codes) - size + 1) if codes else ():
+        x = value(codes[k : k + size])
+        x = (x ^ x >> 31) * 0x9E3779B97F4A7C15 % 2**64
+        found.add((x ^ x >> 29) * 0xD6E8FEB86659FD93 % 2**64 >> 32)
+    return f"{len(codes):x}-{value(codes):016x}-" + "".join(f"{v:08x}" for v in sorted(found)[: prints.KEPT])
+
+
+def spans_of(text):
+    """All spans of a text: what the likeness of two fingerprints estimates."""
+    return {text[k : k + prints.SPAN] for k in range(max(1, len(text) - prints.SPAN + 1))} if text else set()
+
+
+def test_fingerprints_equal_plain_ones(spark, small_dir):
+    table = spark.read.parquet(f"{small_dir}/documents.parquet")
+    texts = sorted((r.doc_id, r.text or "") for r in table.collect())
+    got = {r.doc_id: r for r in queries.op9_fingerprints(spark, small_dir).collect()}
+    off = []
+    for k, (doc, text) in enumerate(texts):
+        following = texts[(k + 1) % len(texts)][1]
+        new = prints.edited(text, following)
+        if len(text) < 800:
+            assert (got[doc].fingerprint, got[doc].edited_fingerprint) == (plain_print(text), plain_print(new))
+        assert got[doc].common_next == next((i for i, (a, b) in enumerate(zip(text, following)) if a != b), min(len(text), len(following)))
+        for other, near in ((new, got[doc].near_edited), (following, got[doc].near_next)):
+            both = spans_of(text) | spans_of(other)
+            off.append(abs(near - (len(spans_of(text) & spans_of(other)) / len(both) if both else 1.0)))
+    assert max(off) < 0.35 and sum(off) / len(off) < 0.05
+
+
+@pytest.mark.parametrize("n", [1, 2, 50, 400])
+def test_next_documents_over_parts(spark, n):
+    """A third of all rows are one row, ids tie, parts may be empty."""
+    rows = sorted((k // 3 if k % 3 else 0, f"text {k // 3}" if k % 3 else "same") for k in range(n))
+    got = prints.compare_edits(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
+    assert Counter(r.doc_id for r in got) == Counter(r[0] for r in rows)
+    groups = defaultdict(set)
+    for doc, text in rows:
+        groups[doc].add(text)
+    single = [k for k, (doc, _) in enumerate(rows) if len(groups[doc]) == 1 and len(groups[rows[(k + 1) % n][0]]) == 1]
+    want = Counter()
+    for k in single:
+        want[rows[k][0], hashlib.sha256(prints.edited(rows[k][1], rows[(k + 1) % n][1]).encode()).hexdigest()] += 1
+    have = Counter((r.doc_id, r.edited_sha256) for r in got)
+    assert not want - have
+
+
 def test_odd_rows_are_fingerprinted(spark):
     docs = spark.createDataFrame([r for r in ROWS if r[0] != 1], SCHEMA)
     rows = prints.compare_edits(docs).collect()
