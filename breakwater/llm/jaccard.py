@@ -21,7 +21,7 @@ BITS, FAN_OUT, TILE = 1024, 16, 1024
 #: Other lists of its class that a list knows at most: fewer let a pair be proposed more often, none is missed.
 EARLIER = 16
 #: Places of the sketch that says how frequent shingles are, and of one slice of it.
-PLACE_BITS = 24
+PLACE_BITS = 26
 PLACES, SLICE = 1 << PLACE_BITS, 1 << 16
 REMEMBERED = 500_000
 
@@ -66,40 +66,48 @@ class Shingles:
 
 
 def _levels(docs: DataFrame, words: int) -> np.ndarray:
-    """How often shingles occur, as a sketch over all of them: the occurrences of each of ``PLACES``
-    hash values, as a level of six steps to a doubling.
+    """How often shingles occur, as a sketch over all of them: the documents, by task 255 at most, that
+    have each of ``PLACES`` hash values, as a level of six steps to a doubling.
 
     Levels only settle an order, on which the results don't depend: candidates are looked up by the
     shingles that seem rarest. Tasks count into an array of fixed size and send it in compressed
-    slices, a byte of all counts after another; the driver gets one byte a place.
+    slices, as gaps between places that are not empty; the driver gets one byte a place.
     """
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, counts = Shingles(words), np.zeros(PLACES, np.uint32)
+        own, counts = Shingles(words), np.zeros(PLACES, np.uint8)
         for batch in batches:
             for text in batch.column("text"):
-                np.add.at(counts, _places(own.all(text.as_py())[1]), 1)
+                at = _places(own.all(text.as_py())[1])
+                counts[at] = np.minimum(counts[at], 254) + 1  # a place once for each document
         for k, part in enumerate(counts.reshape(-1, SLICE)):
-            if part.any():
-                planes = np.ascontiguousarray(part.view(np.uint8).reshape(-1, 4).T)
-                data = pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
-                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([data])], names=["slice", "data"])
+            at = np.flatnonzero(part)
+            if len(at):
+                gaps = np.diff(at, prepend=0).astype(np.uint16)
+                data = np.ascontiguousarray(gaps.view(np.uint8).reshape(-1, 2).T).tobytes() + part[at].tobytes()
+                data = pa.compress(data, codec="zstd", asbytes=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([k], pa.int32()), pa.array([len(at)], pa.int32()), pa.array([data])],
+                    names=["slice", "n", "data"],
+                )
 
     def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
-            for k, data in zip(batch.column("slice").to_pylist(), batch.column("data"), strict=True):
-                planes = np.frombuffer(pa.decompress(data.as_py(), 4 * SLICE, "zstd", asbytes=True), np.uint8)
-                part = np.ascontiguousarray(planes.reshape(4, -1).T).view(np.uint32).ravel()
-                sums[k] = sums[k] + part if k in sums else part.astype(np.int64)
+            for k, n, data in zip(*(batch.column(c).to_pylist() for c in ("slice", "n", "data")), strict=True):
+                planes = np.frombuffer(pa.decompress(data, 3 * n, "zstd", asbytes=True), np.uint8).reshape(3, n)
+                at = np.cumsum(planes[0].astype(np.int64) + (planes[1].astype(np.int64) << 8))
+                if k not in sums:
+                    sums[k] = np.zeros(SLICE, np.uint32)
+                sums[k][at] += planes[2]
         for k, part in sums.items():
             levels = np.minimum(255, 6 * np.log2(part + 1)).astype(np.uint8)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([k], pa.int32()), pa.array([levels.tobytes()])], names=["slice", "data"]
             )
 
-    schema = "slice int, data binary"
-    sums = docs.select("text").mapInArrow(counted, schema).repartition("slice").mapInArrow(added, schema)
+    sent = docs.select("text").mapInArrow(counted, "slice int, n int, data binary")
+    sums = sent.repartition("slice").mapInArrow(added, "slice int, data binary")
     levels = np.zeros((PLACES // SLICE, SLICE), np.uint8)
     for row in sums.collect():
         levels[row.slice] = np.frombuffer(row.data, np.uint8)
@@ -240,6 +248,10 @@ def _tiles(classes: DataFrame) -> DataFrame:
     )
     # Of shingles shared by the very same classes one is enough.
     lists = keep(shared.groupBy("length", "_x", "_y").agg(F.min("shingle").alias("shingle")), "lists")
+    # Most entries are in no list; a filter keeps them out of the shuffle.
+    bits = filter_bits(lists.count())
+    some = bit_filter(lists, ["shingle"], bits)
+    entries = marked(entries, some, ["shingle"], bits).where("marked").select("node", "shingle")
     listed = keep(entries.join(lists.select("shingle", "length"), "shingle"), "listed")
     # Of each class its lists, the longest first; a list knows some of those before it.
     own = listed.groupBy("node").agg(F.sort_array(F.collect_list(F.struct(-F.col("length"), "shingle"))).alias("_own"))
@@ -258,7 +270,7 @@ def _tiles(classes: DataFrame) -> DataFrame:
         ),
         "tiles",
     )
-    discard(lists, listed)
+    discard(lists, some, listed)
     return tiles
 
 
@@ -385,7 +397,7 @@ def _candidates(tiles: DataFrame, labels: DataFrame | None, similarity: tuple[in
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
     order = ["shingle", "i", "j"]
-    named = tiles.withColumn("label", F.col("node")) if labels is None else tiles.join(labels, "node")
+    named = tiles.drop("earlier").withColumn("label", F.col("node")) if spanning else tiles.join(labels, "node")
     dealt = named.repartition(*order).sortWithinPartitions(*order, "n", "node")
     found = dealt.mapInArrow(run, "a long, b long")
     return keep(found.distinct(), "candidates")

@@ -1,6 +1,7 @@
 """Near duplicates and repeated strings against brute force."""
 
 import hashlib
+import os
 import random
 from collections import Counter, defaultdict
 
@@ -223,3 +224,18 @@ def test_odd_vectors(spark, monkeypatch, tile):
     got = [tuple(r) for r in vectors.near_vectors(df).orderBy("vec_id").collect()]
     assert got == linked([t[0] for t in table], [t[1] for t in table])
     assert vectors.near_vectors(df.limit(0)).count() == 0
+
+
+def test_rare_shingles_are_told_apart():
+    """Places of their own for nearly all shingles of a table as large as the check's."""
+    x = np.random.default_rng(5).integers(0, 1 << 64, 3_000_000, np.uint64, endpoint=False)
+    assert len(np.unique(jaccard._places(x))) > 0.95 * len(x)
+
+
+def test_sketch_counts_documents(spark):
+    rows = [(k, "a b c d") for k in range(600)] + [(700, "e f g h"), (701, "e f g h e f g h"), (702, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").fillna("").coalesce(1)
+    levels, own = jaccard._levels(docs, 4), jaccard.Shingles(4)
+    often, twice = (jaccard._places(own.of(t)[1])[0] for t in ("a b c d", "e f g h"))
+    assert (levels[often], levels[twice]) == (int(6 * np.log2(256)), int(6 * np.log2(3)))
+    assert np.count_nonzero(levels) == 5
