@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from breakwater.llm.tables import keep
+from breakwater.llm.tables import discard, keep
 from breakwater.llm.vectors import _groups as groups
 
 #: Bytes of a repeated string, and of the anchor strings by which repeats are looked up.
@@ -26,16 +26,57 @@ _powers: list[np.ndarray] = []
 def suffix_array(text: bytes) -> list[int]:
     """The starts of all suffixes in ascending order; a suffix that begins another is smaller.
 
-    Groups of suffixes, at first those of equal first byte, are processed from the largest to
-    the smallest. The suffixes of a group are followed to the previous smaller one; those that
-    are reached extend their common prefix by the group's and move, by how often they are
-    reached, to new groups above their own. Each group then is a Lyndon prefix, and one pass
-    over the order found so far puts every suffix to the front of its group.
+    Valleys, places that are smaller than the place before and as suffixes smaller than the next, cut
+    the text into strings. The text of these strings' ranks, some third as long, is sorted by linear
+    grouping. That gives the order of the valleys, from which the order of all others follows: two
+    passes put each suffix to its place by the one that begins behind its first byte.
     """
     n = len(text) + 1  # with an end smaller than all bytes
     codes = np.zeros(n, np.int64)
     codes[:-1] = np.frombuffer(text, np.uint8)
     codes[:-1] += 1
+    steps = np.sign(np.diff(codes))
+    at = np.where(steps != 0, np.arange(n - 1), n)
+    at = np.minimum.accumulate(at[::-1])[::-1]  # the next place whose code differs from its neighbour's
+    rises = np.r_[steps[at] > 0, True] if n > 1 else np.ones(1, bool)
+    valleys = (np.flatnonzero(rises[1:] & ~rises[:-1]) + 1).tolist() or [0]  # the end is the last one
+    symbols = (2 * codes + rises).astype(">u2").tobytes()
+    strings = [symbols[2 * a : 2 * b + 2] for a, b in zip(valleys, [*valleys[1:], n - 1], strict=True)]
+    ranks = {x: k for k, x in enumerate(sorted(set(strings)))}
+    ordered = [valleys[k] for k in _grouped(np.array([ranks[x] for x in strings], np.int64))]
+
+    ends = np.cumsum(np.bincount(codes, minlength=257))
+    heads, tails = [0, *ends[:-1].tolist()], ends.tolist()
+    out = [-1] * n
+    for p, c in zip(reversed(ordered), codes[ordered[::-1]].tolist(), strict=True):
+        tails[c] -= 1
+        out[tails[c]] = p
+    # By place, the code before it if that is larger as a suffix, or if it is smaller; else -1.
+    falling = np.r_[-1, np.where(rises[:-1], -1, codes[:-1])].tolist()
+    rising = np.r_[-1, np.where(rises[:-1], codes[:-1], -1)].tolist()
+    for p in out:
+        if p > 0 and (c := falling[p]) >= 0:
+            out[heads[c]] = p - 1
+            heads[c] += 1
+    tails = ends.tolist()
+    for p in reversed(out):
+        if p > 0 and (c := rising[p]) >= 0:
+            tails[c] -= 1
+            out[tails[c]] = p - 1
+    return out[1:]
+
+
+def _grouped(codes: np.ndarray) -> list[int]:
+    """The starts of all suffixes in ascending order, by linear grouping; the last code is the
+    smallest and occurs once.
+
+    Groups of suffixes, at first those of equal first code, are processed from the largest to
+    the smallest. The suffixes of a group are followed to the previous smaller one; those that
+    are reached extend their common prefix by the group's and move, by how often they are
+    reached, to new groups above their own. Each group then is a Lyndon prefix, and one pass
+    over the order found so far puts every suffix to the front of its group.
+    """
+    n = len(codes)
     order = np.argsort(codes, kind="stable")
     ranked = codes[order]
     first = np.r_[True, ranked[1:] != ranked[:-1]]
@@ -98,7 +139,7 @@ def suffix_array(text: bytes) -> list[int]:
             head[own] += 1
             done[p] = True
             p = before[p]
-    return at[1:]
+    return at
 
 
 def _grown(n: int) -> list[np.ndarray]:
@@ -345,8 +386,9 @@ def _sorted(contexts: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, "h long, x long, low int, high int")
 
 
-def _counted(contexts: DataFrame) -> DataFrame:
-    """The same for anchors of very many contexts: their windows are counted by their bytes."""
+def _counted(contexts: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """The same for anchors of very many contexts: their windows are counted by their bytes. Also the
+    written tables that the result reads."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -367,7 +409,8 @@ def _counted(contexts: DataFrame) -> DataFrame:
     windows = many.mapInArrow(run, "h long, x long, n long, low int, window binary")
     windows = keep(windows, "windows")
     often = keep(windows.groupBy("window").agg(F.sum("n").alias("_n")).where("_n > 1").select("window"), "often")
-    return windows.join(often, "window").select("h", "x", "low", (F.col("low") + LENGTH).alias("high"))
+    found = windows.join(often, "window").select("h", "x", "low", (F.col("low") + LENGTH).alias("high"))
+    return found, [windows, often]
 
 
 def _spans(docs: DataFrame) -> DataFrame:
@@ -379,6 +422,7 @@ def _spans(docs: DataFrame) -> DataFrame:
         runs.join(shared, "h").groupBy("h", "x", "key", "start", "size", "place").agg(F.count(F.lit(1)).alias("n")),
         "members",
     )
+    discard(runs)
     classes = members.groupBy("h", "x", "size", "place").agg(
         F.sum("n").alias("n"), F.min(F.struct("key", "start")).alias("one")
     )
@@ -398,8 +442,12 @@ def _spans(docs: DataFrame) -> DataFrame:
     )
     first = docs.groupBy(F.col("key").alias("_first")).agg(F.min("doc_id").alias("_doc"))
     wanted = wanted.join(first, F.col("_key") == F.col("_first")).select("_key", "_doc", "runs")
-    contexts = _contexts(docs, keep(wanted, "wanted"))
-    found = keep(_sorted(contexts).unionByName(_counted(contexts)), "found")
+    wanted = keep(wanted, "wanted")
+    contexts = _contexts(docs, wanted)
+    discard(anchors_, wanted)
+    counted, read = _counted(contexts)
+    found = keep(_sorted(contexts).unionByName(counted), "found")
+    discard(contexts, *read)
     copied = classes.where("n > 1").select("h", "x")
     whole = members.join(copied, ["h", "x"]).select(
         "key", F.col("start").alias("low"), (F.col("start") + F.col("size") + LENGTH - 1).alias("high")
@@ -408,7 +456,9 @@ def _spans(docs: DataFrame) -> DataFrame:
         "key", (F.col("start") + F.col("low")).alias("low"), (F.col("start") + F.col("high")).alias("high")
     )
     spans = whole.unionByName(parts).groupBy(F.col("key").alias("_key"))
-    return keep(spans.agg(F.collect_set(F.struct("low", "high")).alias("spans")), "spans")
+    out = keep(spans.agg(F.collect_set(F.struct("low", "high")).alias("spans")), "spans")
+    discard(members, classes, found)
+    return out
 
 
 def remove_repeats(

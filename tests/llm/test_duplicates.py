@@ -239,3 +239,27 @@ def test_sketch_counts_documents(spark):
     often, twice = (jaccard._places(own.of(t)[1])[0] for t in ("a b c d", "e f g h"))
     assert (levels[often], levels[twice]) == (int(6 * np.log2(256)), int(6 * np.log2(3)))
     assert np.count_nonzero(levels) == 5
+
+
+def test_grouping_sorts_a_shorter_text(monkeypatch):
+    lengths, grouped = [], suffixes._grouped
+    monkeypatch.setattr(suffixes, "_grouped", lambda codes: lengths.append(len(codes)) or grouped(codes))
+    some = random.Random(8)
+    texts = [b"", b"a", b"b" * 700, b"ab" * 300 + b"a", "ça va 中文 ".encode() * 40]
+    texts += [bytes(some.choices(letters, k=500)) for letters in (b"ab", b"abc\xff", bytes(range(256))) for _ in range(20)]
+    for text in texts:
+        assert suffixes.suffix_array(text) == sorted(range(len(text)), key=lambda i: text[i:])
+        assert lengths[-1] <= len(text) // 2 + 1
+
+
+@pytest.mark.parametrize("hot", [3, suffixes.HOT])
+def test_tables_of_repeats_are_deleted(spark, monkeypatch, hot):
+    kept = []
+    monkeypatch.setattr(suffixes, "HOT", hot)
+    keep = suffixes.keep
+    monkeypatch.setattr(suffixes, "keep", lambda df, name: kept.append(keep(df, name)) or kept[-1])
+    docs = spark.createDataFrame(list(enumerate(odd_texts())), "doc_id long, text string")
+    rows = suffixes.remove_repeats(docs)
+    left = [t._kept_in for t in kept if os.path.exists(t._kept_in.removeprefix("file:"))]
+    assert len(kept) > 7 and left == [kept[-1]._kept_in]
+    assert rows.count() == docs.count()
