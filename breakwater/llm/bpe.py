@@ -151,11 +151,16 @@ class Memory:
         self.old: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        cut = [pieces(t) for t in texts]
+        young = self.known(set().union(*cut))
+        return [b"".join([young[p] for p in of]) for of in cut]
+
+    def known(self, wanted: set[str]) -> dict[str, bytes]:
+        """The pieces that are remembered, those wanted among them."""
         if len(self.young) > self.remembered:
             self.old, self.young = self.young, {}
-        cut = [pieces(t) for t in texts]
         young, old = self.young, self.old
-        needed = set().union(*cut).difference(young)
+        needed = wanted.difference(young)
         if old:
             kept = needed.intersection(old)
             young.update((p, old[p]) for p in kept)
@@ -163,7 +168,7 @@ class Memory:
         if needed:
             new = list(needed)
             young.update(zip(new, self.learn(new), strict=True))
-        return [b"".join([young[p] for p in of]) for of in cut]
+        return young
 
 
 class Codec:

@@ -17,11 +17,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from breakwater.llm.bpe import Memory, slices
+from breakwater.llm.bpe import TWO_SPACES, Memory, slices
 from breakwater.llm.tables import folder, partitions
 
 LANES = 1024
@@ -193,9 +194,9 @@ def write(
             schema = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(ids_kind), pa.list_(pa.int64()), pa.binary()]
             for at in slices(batch.column("text")):
                 own = batch.slice(*at)
-                coded = library.encode(own.column("text").to_pylist())
+                coded = library.encode(own.column("text"))
                 for doc, ids in zip(own.column("doc_id").to_pylist(), coded, strict=True):
-                    held.append(np.append(np.frombuffer(ids, "<u4"), np.uint32(end_id)))
+                    held.append(np.append(ids, np.uint32(end_id)))
                     docs_held.append(doc)
                     n += len(held[-1])
                     if n >= FRAME:
@@ -240,14 +241,41 @@ class Library:
         ids = self._ids(["\n"])[0]
         self.line_end = int(ids[0]) if len(ids) == 1 else None
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text, as little-endian unsigned 32-bit integers."""
-        whole = [k for k, text in enumerate(texts) if any(mark in text for mark in self.added)]
-        if not whole:
-            return self.memory.encode(texts)
-        alone = dict(zip(whole, self._ids([texts[k] for k in whole]), strict=True))
-        others = iter(self.memory.encode([t for k, t in enumerate(texts) if k not in alone]))
-        return [alone[k].tobytes() if k in alone else next(others) for k in range(len(texts))]
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of each text."""
+        whole, spaced, plain = [], [], []
+        strings = texts.to_pylist()
+        for k, text in enumerate(strings):
+            marked = any(mark in text for mark in self.added)
+            (whole if marked else spaced if TWO_SPACES.search(text) else plain).append(k)
+        found = dict(zip(whole, self._ids([strings[k] for k in whole]), strict=True))
+        coded = self.memory.encode([strings[k] for k in spaced])
+        found.update((k, np.frombuffer(ids, "<u4")) for k, ids in zip(spaced, coded, strict=True))
+        found.update(zip(plain, self._plain(texts.take(pa.array(plain, pa.int64()))), strict=True))
+        return [found[k] for k in range(len(strings))]
+
+    def _plain(self, texts: pa.Array) -> list[np.ndarray]:
+        """The same for texts without white space beside other white space, whose pieces are the words
+        between blanks, each but a text's first with the blank before it. Each distinct piece is
+        looked up once; its ids are copied to all its places."""
+        if not len(texts):
+            return []
+        lists = pc.split_pattern(texts, " ")
+        words = lists.flatten().dictionary_encode()
+        edges, index = lists.offsets.to_numpy(), words.indices.to_numpy().astype(np.int64)
+        names, n = words.dictionary.to_pylist(), len(words.dictionary)
+        opening, at = np.unique(index[edges[:-1]], return_inverse=True)
+        index[edges[:-1]] = n + at
+        pieces = [" " + w for w in names] + [names[k] for k in opening.tolist()]
+        known = self.memory.known(set(pieces))
+        coded = [known[p] for p in pieces]
+        sizes = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
+        starts, takes = np.cumsum(sizes) - sizes, sizes[index]
+        ends = np.cumsum(takes)
+        places = np.repeat(starts[index] - ends + takes, takes) + np.arange(ends[-1])
+        ids = np.frombuffer(b"".join(coded), "<u4")[places]
+        cuts = np.r_[0, ends][edges].tolist()
+        return [ids[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(c.ids, "<u4") for c in self.own.encode_batch_fast(texts, add_special_tokens=False)]

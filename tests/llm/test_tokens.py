@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -131,3 +132,18 @@ def test_files_of_odd_rows(spark):
     pairs = [(d, t or "") for d, t, *_ in rows]
     assert got == expected(sorted(pairs, key=lambda p: (p[0] is not None, p[0] or 0, p[1].encode())))
     assert stored(docs.where(F.lit(False))) == []
+
+
+def test_texts_of_a_batch_as_the_library(monkeypatch):
+    own = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    library = tokenfiles.Library(own.to_str())
+    some, words = random.Random(4), ["", "", "a", "cat", "Cat's", "12345", "é中", "🙂", "\x1c", "\x85", "x\n", "\ty", "<|endoftext|>"]
+    texts = [" ".join(some.choices(words, k=some.randint(1, 9))) for _ in range(1500)]
+    texts += ["plain words only", " plain words only", "plain words only ", "", " ", "plain", *ROWS[6][1].split("é")]
+    asked = []
+    memory = library.memory.known
+    monkeypatch.setattr(library.memory, "known", lambda wanted: asked.append(len(wanted)) or memory(wanted))
+    for batch in (texts, texts[1490:], ["plain words " * 5000 + "end"], []):
+        ids = library.encode(pa.array(batch, pa.string()).slice(0))
+        assert [i.tolist() for i in ids] == [own.encode(t, add_special_tokens=False).ids for t in batch]
+    assert asked[-2] <= 4 or asked[-1] <= 4  # each distinct piece is asked for once
