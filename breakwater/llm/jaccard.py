@@ -10,6 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from breakwater.llm.bpe import slices
 from breakwater.llm.components import components, smallest_ids
 from breakwater.llm.tables import bit_filter, discard, filter_bits, keep, marked
 from breakwater.llm.vectors import _groups as groups
@@ -23,22 +24,13 @@ EARLIER = 16
 #: Places of the sketch that says how frequent shingles are, and of one slice of it.
 PLACE_BITS = 26
 PLACES, SLICE = 1 << PLACE_BITS, 1 << 16
-REMEMBERED = 500_000
-
-
-class Known(dict):
-    """Hashes of words, made when first asked for."""
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = found = xxhash.xxh3_64_intdigest(word)
-        return found
 
 
 class Shingles:
-    """Shingle hashes of texts; hashes of words met lately are remembered."""
+    """Shingle hashes of texts. Nothing is remembered: hashing a word takes less than finding it."""
 
     def __init__(self, words: int):
-        self.words, self.known = words, Known()
+        self.words = words
         self.factors = [np.uint64(f | 1) for f in np.random.default_rng(7).integers(1 << 62, 1 << 63, words).tolist()]
 
     def all(self, text: str) -> tuple[list[bytes], np.ndarray]:
@@ -47,9 +39,7 @@ class Shingles:
         words = text.encode().lower().split()
         if not words:
             return words, np.zeros(0, np.uint64)
-        if len(self.known) > REMEMBERED:
-            self.known = Known()
-        h = np.fromiter(map(self.known.__getitem__, words), np.uint64, len(words))
+        h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
         size = min(self.words, len(words))
         x = np.full(len(words) - size + 1, size, np.uint64)
         for k in range(size):
@@ -65,13 +55,13 @@ class Shingles:
         return (xxhash.xxh3_128_hexdigest(b" ".join(words)) if words else None), x[distinct]
 
 
-def _levels(docs: DataFrame, words: int) -> np.ndarray:
+def _sketch(docs: DataFrame, words: int) -> list[bytes]:
     """How often shingles occur, as a sketch over all of them: the documents, by task 255 at most, that
     have each of ``PLACES`` hash values, as a level of six steps to a doubling.
 
     Levels only settle an order, on which the results don't depend: candidates are looked up by the
     shingles that seem rarest. Tasks count into an array of fixed size and send it in compressed
-    slices, as gaps between places that are not empty; the driver gets one byte a place.
+    slices, as gaps between places that are not empty; the driver gets one byte a place, compressed too.
     """
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -102,31 +92,51 @@ def _levels(docs: DataFrame, words: int) -> np.ndarray:
                 sums[k][at] += planes[2]
         for k, part in sums.items():
             levels = np.minimum(255, 6 * np.log2(part + 1)).astype(np.uint8)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([k], pa.int32()), pa.array([levels.tobytes()])], names=["slice", "data"]
-            )
+            data = pa.compress(levels.tobytes(), codec="zstd", asbytes=True)
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([data])], names=["slice", "data"])
 
     sent = docs.select("text").mapInArrow(counted, "slice int, n int, data binary")
     sums = sent.repartition("slice").mapInArrow(added, "slice int, data binary")
-    levels = np.zeros((PLACES // SLICE, SLICE), np.uint8)
+    sketch = [b""] * (PLACES // SLICE)
     for row in sums.collect():
-        levels[row.slice] = np.frombuffer(row.data, np.uint8)
+        sketch[row.slice] = bytes(row.data)
+    return sketch
+
+
+def _unpacked(sketch: list[bytes]) -> np.ndarray:
+    """The level of each place."""
+    levels = np.zeros((len(sketch), SLICE), np.uint8)
+    for own, data in zip(levels, sketch, strict=True):
+        if data:
+            own[:] = np.frombuffer(pa.decompress(data, SLICE, "zstd"), np.uint8)
     return levels.ravel()
 
 
+def _levels(docs: DataFrame, words: int) -> np.ndarray:
+    return _unpacked(_sketch(docs, words))
+
+
+def lighter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches that hold a few MB of text."""
+    for batch in batches:
+        for at in slices(batch.column("text")):
+            yield batch.slice(*at)
+
+
 def _places(x: np.ndarray) -> np.ndarray:
     return (x >> np.uint64(64 - PLACE_BITS)).astype(np.int64)
 
 
 def _described(docs: DataFrame, words: int, similarity: tuple[int, int]) -> DataFrame:
     """Per row: doc_id, key, n_shingles, prefix (shingles one of which a linked document shares)
-    and signature."""
+    and signature. The sketch is sent compressed, and only a task that runs has its levels: workers
+    keep what is sent to them until their next task, also while they wait."""
     some, of = similarity
-    sent = docs.sparkSession.sparkContext.broadcast(_levels(docs, words))
+    sent = docs.sparkSession.sparkContext.broadcast(_sketch(docs, words))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, levels = Shingles(words), sent.value
-        for batch in batches:
+        own, levels = Shingles(words), _unpacked(sent.value)
+        for batch in lighter(batches):
             keys, sizes, prefixes, signatures = [], [], [], []
             for text in batch.column("text"):
                 key, x = own.of(text.as_py())
@@ -153,7 +163,9 @@ def _described(docs: DataFrame, words: int, similarity: tuple[int, int]) -> Data
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, key string, n_shingles long, prefix array<long>, signature binary"
-    return keep(docs.mapInArrow(run, schema), "described")
+    described = keep(docs.mapInArrow(run, schema), "described")
+    sent.destroy()
+    return described
 
 
 def similar(
@@ -309,7 +321,7 @@ def _sets(rows: DataFrame, classes: DataFrame, nodes: DataFrame, words: int) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Shingles(words)
-        for batch in batches:
+        for batch in lighter(batches):
             nodes, sizes, bitmaps, sets = [], [], [], []
             for text, key, node in zip(*(batch.column(c) for c in ("text", "key", "node")), strict=True):
                 found, x = own.of(text.as_py())

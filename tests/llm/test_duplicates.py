@@ -6,6 +6,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from breakwater.llm import jaccard, queries, suffixes, vectors
@@ -263,3 +264,30 @@ def test_tables_of_repeats_are_deleted(spark, monkeypatch, hot):
     left = [t._kept_in for t in kept if os.path.exists(t._kept_in.removeprefix("file:"))]
     assert len(kept) > 7 and left == [kept[-1]._kept_in]
     assert rows.count() == docs.count()
+
+
+def test_workers_hold_little_between_tasks(spark, monkeypatch):
+    """What is sent to workers is small, is gone afterwards, and tells the level of each place."""
+    sent, kind = [], type(spark.sparkContext)
+    broadcast = kind.broadcast
+    monkeypatch.setattr(kind, "broadcast", lambda self, value: sent.append((value, broadcast(self, value))) or sent[-1][1])
+    rows = [(k, " ".join(f"w{(7 * k + j) % 3000}" for j in range(90))) for k in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert jaccard._described(docs, 4, (85, 100)).count() == 400
+    ((sketch, handle),) = sent
+    assert sum(map(len, sketch)) < jaccard.PLACES // 16
+    assert not os.path.exists(handle._path)
+    own = jaccard.Shingles(4)
+    at = [jaccard._places(own.of(t)[1]) for _, t in rows]
+    holders = np.bincount(np.concatenate(at))
+    levels = jaccard._unpacked(sketch)
+    assert np.count_nonzero(levels) == np.count_nonzero(holders)
+    assert all(np.array_equal(levels[x], (6 * np.log2(holders[x] + 1)).astype(np.uint8)) for x in at)
+    assert not [v for v in vars(own).values() if isinstance(v, dict)]  # nothing grows with the words met
+
+
+def test_batches_are_cut_by_their_text():
+    texts = ["a" * 3_000_000, "b", "", "c" * 3_000_000, "d"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(5)), pa.array(texts)], names=["doc_id", "text"])
+    lots = list(jaccard.lighter(iter([batch, batch.slice(0, 0)])))
+    assert len(lots) == 2 and pa.Table.from_batches(lots).to_pylist() == batch.to_pylist()
