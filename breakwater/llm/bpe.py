@@ -26,7 +26,9 @@ LOAD = 4
 #: Displacements tried at once for a bucket.
 TRIES = 512
 #: Pieces remembered with their ids in each worker; the same number of older ones stays at hand.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
+#: Bytes of text that are cut into pieces at a time.
+PART = 1 << 20
 TWO_SPACES = re.compile(r"\s\s")
 
 
@@ -254,7 +256,7 @@ def encode_documents(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec.value
         for batch in batches:
-            for at in slices(batch.column("text")):
+            for at in slices(batch.column("text"), PART):
                 part = batch.slice(*at)
                 ids = own.encode(part.column("text").to_pylist())
                 yield pa.RecordBatch.from_arrays(

@@ -23,7 +23,7 @@ THRESHOLD = 0.3
 #: Labels of the documents with this remainder of the id's CRC are never learned.
 HELD_OUT, FOLDS = 2, 4
 #: Words whose hashes a worker remembers.
-REMEMBERED = 500_000
+REMEMBERED = 100_000
 
 WORD = re.compile(r"\w+")
 BIAS = 0

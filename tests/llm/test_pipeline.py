@@ -2,11 +2,12 @@
 
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 from test_duplicates import groups, without_repeats
 
 import corpus_pipeline as pipeline
-from breakwater.llm import mixing, queries, toxicity
+from breakwater.llm import bpe, mixing, queries, toxicity
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 INSULTS = set("trash clown idiot scum worthless moron pathetic loser disgusting stupid".split())
@@ -149,3 +150,16 @@ def test_targets_stop_at_three_times(spark):
     assert got["s2", 2].taken == 604 - 12
     assert mixing.curriculum(docs).count() == 3 + 1 + 6
     assert mixing.schedule(docs.limit(0)).count() == 0
+
+
+def test_memories_of_workers_are_bounded():
+    """Two workers and the JVM of an executor share 3,000 MB; each keeps what it remembers for all its tasks."""
+    memory = bpe.Memory(lambda new: [b"1234"] * len(new))
+    features = toxicity.Features()
+    for k in range(60):
+        words = [f"{k}x{j}" for j in range(10_000)]
+        assert len(memory.known(set(words))) >= len(words)
+        features.of(" ".join(words))
+        assert len(memory.young) + len(memory.old) <= 430_000
+        assert len(features.known) <= 110_001
+    assert [n for _, n in bpe.slices(pa.array(["a" * 400_000] * 6), bpe.PART)] == [2, 3, 1]
