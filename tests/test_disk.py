@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 from breakwater.plans import queries, runs
 from breakwater.sources import star_feeds
 from breakwater.sources.shared import short_lived_shuffles
-from breakwater.sources.star_feeds import PERIOD, as_of, run_id
-from breakwater.sources.tables import BACK, BREAKS, FRONT, ControlTables
+from breakwater.sources.star_feeds import PERIOD, run_id
+from breakwater.sources.tables import BACK, BREAKS, FRONT, RUNS, ControlTables
 
 
 def shuffle_files(spark):
@@ -66,3 +66,32 @@ def test_parts_make_up_the_feed(spark, small_dir, monkeypatch):
     names = [c for c in control.read(FRONT).columns]
     assert rows(control.read(FRONT)) == rows(whole.select(*names))
     assert rows(control.read(BACK)) == rows(star_feeds.back_office(whole).select(*names))
+
+
+# --- periods in batches ------------------------------------------------------------------------------------
+
+
+def test_periods_are_dealt_out_whole(spark, feed):
+    front, back = months(feed, 2, 3, 1, 4, 1), months(feed, 0, 3, 1, 0, 2)
+    dealt = [
+        (sorted((r[0] or 0 for r in front.filter(b).select(PERIOD).collect())), back.filter(b).count())
+        for b in runs._batches((front, back), PERIOD, 8)
+    ]
+    assert dealt == [([0, 0, 1, 1, 1], 3), ([2, 3, 3, 3, 3], 1), ([4], 2)]
+
+
+def test_batches_find_the_same_breaks(spark, tmp_path, feed, monkeypatch):
+    front = months(feed, 0, 3, 4, 2)
+    back = months(feed, 0, 2, 5, 2).withColumn("Price", F.col("Price") + F.col(PERIOD) % 2)
+    compared, recorded = [], []
+    detect = runs.all_breaks
+    monkeypatch.setattr(runs, "all_breaks", lambda f, b, *a: compared.append(f.count()) or detect(f, b, *a))
+    for size in (1000, 8):
+        monkeypatch.setattr(runs, "ROWS_AT_ONCE", size)
+        control = ControlTables(spark, str(tmp_path / f"of-{size}"), PERIOD)
+        control.replace_feed(front, FRONT)
+        control.replace_feed(back, BACK)
+        runs.reconcile_runs(control, run_id(), F.lit("2024-01-31").cast("timestamp_ntz"), PERIOD)
+        recorded.append((rows(control.read(BREAKS)), rows(control.read(RUNS).drop("Execution_Time"))))
+    assert compared == [9, 3, 4, 2]
+    assert recorded[0] == recorded[1] and len(recorded[0][0]) == 6
