@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from breakwater.operators import detect
 from breakwater.plans import queries, runs
 from breakwater.sources import star_feeds
 from breakwater.sources.shared import short_lived_shuffles
@@ -95,3 +96,15 @@ def test_batches_find_the_same_breaks(spark, tmp_path, feed, monkeypatch):
         recorded.append((rows(control.read(BREAKS)), rows(control.read(RUNS).drop("Execution_Time"))))
     assert compared == [9, 3, 4, 2]
     assert recorded[0] == recorded[1] and len(recorded[0][0]) == 6
+
+
+def test_single_detectors_follow_each_other(spark, feed):
+    front = months(feed, 0, 3, 4)
+    back = front.withColumn("Price", F.col("Price") + F.col(PERIOD) % 2)
+    before = shuffle_files(spark)
+    found = detect.breaks_one_by_one(front, back, PERIOD)
+    found.collect()
+    # What is left to do for the union is to read nine tables.
+    assert not [n for n in shuffle_files(spark) - before if n.endswith(".data")]
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    assert rows(found) == rows(detect.all_breaks(front, back, PERIOD)) and found.count() == 3
