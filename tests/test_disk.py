@@ -1,12 +1,14 @@
 """What lies on disk while large tables are worked on: shuffles go as jobs end, large jobs come in parts."""
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
 from breakwater.operators import detect
 from breakwater.plans import queries, runs
 from breakwater.sources import star_feeds
-from breakwater.sources.shared import short_lived_shuffles
+from breakwater.sources.shared import fresh_path, short_lived_shuffles
 from breakwater.sources.star_feeds import PERIOD, run_id
 from breakwater.sources.tables import BACK, BREAKS, FRONT, RUNS, ControlTables
 
@@ -36,8 +38,8 @@ def test_writes_leave_no_shuffle_behind(spark, tmp_path, feed):
     control = ControlTables(spark, str(tmp_path / "control"), PERIOD)
     front, back = months(feed, 0, 3, 4), months(feed, 0, 2, 4).withColumn("Quantity", F.col("Quantity") + F.col(PERIOD) % 2)
     before = shuffle_files(spark)
-    control.load_feed(front, FRONT)
-    control.load_feed(back, BACK)
+    control.replace_feed(front, FRONT)
+    control.replace_feed(back, BACK)
     runs.reconcile_runs(control, run_id(), F.lit("2024-01-31").cast("timestamp_ntz"), PERIOD)
     assert control.read(BREAKS).count() == 3
     with short_lived_shuffles(spark):
@@ -108,3 +110,19 @@ def test_single_detectors_follow_each_other(spark, feed):
     assert not [n for n in shuffle_files(spark) - before if n.endswith(".data")]
     assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
     assert rows(found) == rows(detect.all_breaks(front, back, PERIOD)) and found.count() == 3
+
+
+# --- tables of the queries ---------------------------------------------------------------------------------
+
+
+def folders(spark):
+    """Paths two levels below the folder for tables of this session."""
+    top = Path(fresh_path(spark, "any")).parent
+    return {str(p.relative_to(top)) for p in top.glob("*/*")}
+
+
+def test_refused_inputs_leave_no_tables(spark, small_dir):
+    queries.control_tables(spark, small_dir)
+    before = folders(spark)
+    assert queries.registry()["refused_inputs"](spark, small_dir).count() == 8
+    assert folders(spark) == before
