@@ -126,3 +126,15 @@ def test_refused_inputs_leave_no_tables(spark, small_dir):
     before = folders(spark)
     assert queries.registry()["refused_inputs"](spark, small_dir).count() == 8
     assert folders(spark) == before
+
+
+def test_cleared_tables_in_batches(spark, small_dir, monkeypatch):
+    queries.control_tables(spark, small_dir)
+    compared, found = [], runs.all_breaks
+    monkeypatch.setattr(runs, "all_breaks", lambda *a: compared.append(a) or found(*a))
+    monkeypatch.setattr(runs, "ROWS_AT_ONCE", 3000)
+    before = shuffle_files(spark)
+    counts = queries.registry()["cleared_tables"](spark, small_dir)
+    assert len(compared) > 3
+    assert not [n for n in shuffle_files(spark) - before if n.endswith(".data")]
+    assert sorted(r.Row_Count for r in counts.collect())[:4] == [0, 0, 0, 0]
