@@ -138,3 +138,12 @@ def test_cleared_tables_in_batches(spark, small_dir, monkeypatch):
     assert len(compared) > 3
     assert not [n for n in shuffle_files(spark) - before if n.endswith(".data")]
     assert sorted(r.Row_Count for r in counts.collect())[:4] == [0, 0, 0, 0]
+
+
+def test_changed_periods_leave_their_history_alone(spark, small_dir):
+    queries.control_tables(spark, small_dir)
+    before = folders(spark)
+    found = queries.registry()["backfill_changed"](spark, small_dir)
+    left = {name.split("/")[1] for name in folders(spark) - before}
+    assert BREAKS in left and not left & {FRONT, BACK}
+    assert found.count() == 92
