@@ -147,3 +147,13 @@ def test_changed_periods_leave_their_history_alone(spark, small_dir):
     left = {name.split("/")[1] for name in folders(spark) - before}
     assert BREAKS in left and not left & {FRONT, BACK}
     assert found.count() == 92
+
+
+@pytest.mark.parametrize("name", ["break_history", "rerun_history"])
+def test_batches_of_periods_leave_their_history_alone(spark, small_dir, name):
+    queries.control_tables(spark, small_dir)
+    before = folders(spark)
+    found = queries.registry()[name](spark, small_dir)
+    left = {folder.split("/")[1] for folder in folders(spark) - before}
+    assert BREAKS in left and not left & {FRONT, BACK}
+    assert found.count() == (568 if name == "break_history" else 80)
