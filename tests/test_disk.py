@@ -5,7 +5,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from breakwater.operators import detect
+from breakwater.operators import detect, sieve, summarise
 from breakwater.plans import queries, runs
 from breakwater.sources import star_feeds
 from breakwater.sources.shared import fresh_path, short_lived_shuffles
@@ -157,3 +157,48 @@ def test_batches_of_periods_leave_their_history_alone(spark, small_dir, name):
     left = {folder.split("/")[1] for folder in folders(spark) - before}
     assert BREAKS in left and not left & {FRONT, BACK}
     assert found.count() == (568 if name == "break_history" else 80)
+
+
+# --- sieve -------------------------------------------------------------------------------------------------
+
+
+def test_a_sieve_keeps_all_that_is_wanted(spark):
+    table = spark.range(20_000).select((F.col("id") % 7).cast("int").alias("m"), F.col("id").cast("string").alias("k"), "id")
+    wanted = table.filter("id % 10 = 3").select("m", "k")
+    left = sieve.sifted(table, wanted, ["m", "k"])
+    assert left.columns == table.columns and 2000 <= left.count() < 2100
+    assert left.join(wanted, ["m", "k"]).count() == 2000
+    assert sieve.sifted(table, wanted.limit(0), ["m", "k"]).count() == 0
+    # Equal numbers of other types have other hashes.
+    assert sieve.sifted(table, wanted.withColumn("m", F.col("m").cast("long")), ["m", "k"]).count() == 20_000
+
+
+def shuffled_rows(df):
+    """Rows written to the largest shuffle of a query."""
+    df.collect()
+    plans, most = [df._jdf.queryExecution().executedPlan()], 0
+    while plans:
+        plan = plans.pop()
+        name = plan.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            plans.append(plan.executedPlan())
+        elif name.endswith("QueryStageExec"):
+            plans.append(plan.plan())
+        if name == "ShuffleExchangeExec":
+            most = max(most, plan.metrics().apply("shuffleRecordsWritten").value())
+        children = plan.children()
+        plans += [children.apply(k) for k in range(children.size())]
+    return most
+
+
+def test_only_trades_with_breaks_are_shuffled(spark, feed):
+    front = months(feed, 0, 300, 300)
+    back = front.withColumn("Quantity", F.col("Quantity") + F.when(F.col("Trade_ID").endswith("-7"), 1).otherwise(0))
+    breaks = detect.all_breaks(front, back, PERIOD).localCheckpoint()
+    counts = summarise.break_counts(breaks, front, back, "Asset_Class", PERIOD)
+    assert [tuple(r) for r in counts.collect()] == [("Bond", 2, 0)]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        assert shuffled_rows(summarise.break_counts(breaks, front, back, "Asset_Class", PERIOD)) < 50
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
