@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from breakwater.operators import detect, sieve, summarise
 from breakwater.plans import queries, runs
-from breakwater.sources import star_feeds
+from breakwater.sources import files, star_feeds
 from breakwater.sources.shared import fresh_path, short_lived_shuffles
 from breakwater.sources.star_feeds import PERIOD, run_id
 from breakwater.sources.tables import BACK, BREAKS, FRONT, RUNS, ControlTables
@@ -202,3 +202,34 @@ def test_only_trades_with_breaks_are_shuffled(spark, feed):
         assert shuffled_rows(summarise.break_counts(breaks, front, back, "Asset_Class", PERIOD)) < 50
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+# --- exports -----------------------------------------------------------------------------------------------
+
+
+def test_ordered_files_in_parts(spark, tmp_path, monkeypatch):
+    """The same files in order, whether sorted at once or in parts, with repeated and missing keys."""
+    monkeypatch.setattr(files, "KEYS_PER_CUT", 20)
+    key = F.when(F.col("id") % 50 == 0, F.lit(None)).when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 997)
+    table = spark.range(4000).select(key.alias("a"), F.md5(F.col("id").cast("string")).alias("b"), F.lit("x").alias("c"))
+    written, lines = [], []
+    for k, size in enumerate((100_000, 700)):
+        path = tmp_path / str(k)
+        files.write_ordered_csv(table, str(path), ["a", "b"], ["c"], 300, k == 0, "gzip" if k else "none", size)
+        written.append(sorted(p.name for p in path.iterdir() if p.name.startswith("part-")))
+        found = files.read_ordered_csv(spark, str(path), table.drop("c").schema)
+        lines.append([tuple(r) for r in found.orderBy("Position").collect()])
+        assert [p.name for p in path.iterdir() if p.is_dir()] == [] and (path / "_SUCCESS").exists()
+    assert lines[0] == lines[1] and [r[-1] for r in lines[0]] == list(range(1, 4001))
+    assert lines[0] == [(*r, n) for n, r in enumerate(map(tuple, table.drop("c").orderBy("a", "b").collect()), 1)]
+    assert len(written[1]) >= 13 and all(n.endswith(".csv.gz") for n in written[1])
+    assert [int(n[5:11]) for n in written[1]] == list(range(len(written[1])))
+
+
+def test_cuts_deal_out_all_rows(spark):
+    table = spark.createDataFrame([(a, b) for a in (None, 1, 1, 2, 5) for b in (None, "x", "y")], "a int, b string")
+    cuts = table.distinct().selectExpr("a", "b").orderBy("a", "b").selectExpr("string(a) a", "b").collect()[::3]
+    ends = [None, *cuts, None]
+    parts = [files._between(table, ["a", "b"], *ends[k : k + 2]).collect() for k in range(len(ends) - 1)]
+    assert [len(p) for p in parts] == [0, 3, 6, 3, 3]
+    assert sorted(sum(parts, []), key=str) == sorted(table.collect(), key=str)
