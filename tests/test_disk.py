@@ -233,3 +233,12 @@ def test_cuts_deal_out_all_rows(spark):
     parts = [files._between(table, ["a", "b"], *ends[k : k + 2]).collect() for k in range(len(ends) - 1)]
     assert [len(p) for p in parts] == [0, 3, 6, 3, 3]
     assert sorted(sum(parts, []), key=str) == sorted(table.collect(), key=str)
+
+
+def test_positions_shuffle_no_rows(spark, tmp_path):
+    path = str(tmp_path / "ordered")
+    table = spark.range(4000).select(F.md5(F.col("id").cast("string")).alias("k"))
+    files.write_ordered_csv(table, path, ["k"], rows_per_file=400)
+    found = files.read_ordered_csv(spark, path, table.schema)
+    assert shuffled_rows(found) < 100
+    assert [r.Position for r in found.orderBy("k").collect()] == list(range(1, 4001))
